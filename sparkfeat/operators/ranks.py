@@ -32,10 +32,10 @@ def with_quantile_bucket(
     on where the bounds lie.
     """
     points = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    bounds = rows.agg(F.percentile_approx(col(value), points, 20 * buckets).alias("b"))
+    bounds = rows.agg(F.array_distinct(F.percentile_approx(col(value), points, 20 * buckets)).alias("b"))
     place = F.size(F.filter("__bounds", lambda b: b < col(value)))
     return (
-        df.withColumn("__bounds", F.array_distinct(bounds.scalar()))
+        df.withColumn("__bounds", bounds.scalar())
         .withColumn(out, F.coalesce(place, F.lit(0)))
         .drop("__bounds")
     )

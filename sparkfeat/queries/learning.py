@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkfeat.learning.grids import expand_grid
+from sparkfeat.learning.estimators import gbt, logistic
+from sparkfeat.learning.grids import Normal, expand_grid, random_grid
+from sparkfeat.learning.search import Search, Stage, staged_search, with_repeated_folds
+from sparkfeat.learning.training import FeatureVectors, FoldModels, boosting_rounds, keep_matrix, refit_score
 from sparkfeat.operators.categories import Vocabulary
 from sparkfeat.operators.evaluate import (
     best_row,
@@ -14,10 +17,13 @@ from sparkfeat.operators.evaluate import (
     score_table,
     stratified_folds,
     stratified_split,
+    top_importance_rows,
 )
 from sparkfeat.operators.ranks import HASH_SPACE
 from sparkfeat.queries.encodings import sql_hash
+from sparkfeat.queries.matrix import feature_matrix
 from sparkfeat.queries.registry import SQL_PEOPLE, people, query, read
+from sparkfeat.sources.tables import split_labelled
 
 K = 5
 
@@ -156,3 +162,82 @@ def score_params(spark: SparkSession, sf: str) -> DataFrame:
 )
 def pick_best(spark: SparkSession, sf: str) -> DataFrame:
     return best_row(score_params(spark, sf), "candidate").select("candidate", "Score_Weighted")
+
+
+@query("random_grid")
+def random_params(spark: SparkSession, sf: str) -> DataFrame:
+    """Draws from values and distributions taken from the tables, with the orders each would cover."""
+    orders = read(spark, sf, "orders").select("o_orderpriority", "o_totalprice")
+    values = Vocabulary.fit(orders, ["o_orderpriority"]).values["o_orderpriority"]
+    centre = orders.agg(F.avg("o_totalprice").alias("m"), F.stddev("o_totalprice").alias("s")).first()
+    space = {"o_orderpriority": list(values), "limit": Normal(centre["m"], centre["s"], low=0.0)}
+    draws = random_grid(spark, space, 20, 1)
+    sizes = orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n_orders"))
+    return draws.join(sizes, "o_orderpriority")
+
+
+FEATURE_NAMES = ["balance", "BURO_amount_MEAN", "BURO_num_SIZE_MEAN", "CLOSED_amount_SUM", "NEW_RATIO_BURO_day_MAX", "EV_value_MEAN"]
+
+
+def training_matrix(spark: SparkSession, sf: str, folds: int, repeats: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Labelled and unlabelled vectors over the feature matrix, with fold columns on the labelled rows."""
+    wide = feature_matrix(spark, sf).select("c_custkey", "label", *FEATURE_NAMES)
+    # the balance gives the label away, so blur it to leave the models something to do
+    wide = keep_matrix(wide.withColumn("balance", F.round(F.col("balance") / 200_000)))
+    train, test = split_labelled(wide, "label")
+    vectors = FeatureVectors.fit(train, FEATURE_NAMES)
+    folded = with_repeated_folds(vectors.transform(train, ["c_custkey", "label"]), "c_custkey", "label", folds, repeats)
+    return keep_matrix(folded), vectors.transform(test, ["c_custkey"]), vectors.names
+
+
+TREES = {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.3, "max_bin": 32}
+
+
+@query("oof_predict")
+def oof_predict(spark: SparkSession, sf: str) -> DataFrame:
+    """Out-of-fold predictions of train rows, bagged ones of train and test rows."""
+    train, test, names = training_matrix(spark, sf, 2, 1)
+    models = FoldModels.fit(train, gbt(TREES), 2, "fold_0", names)
+    own = models.out_of_fold(train, ["c_custkey", "label"], "oof").withColumnRenamed("fold_0", "fold")
+    bagged = models.mean_prediction(train, ["c_custkey"], "mean")
+    scored = own.join(bagged, "c_custkey")
+    return scored.unionByName(models.mean_prediction(test, ["c_custkey"], "mean"), allowMissingColumns=True)
+
+
+@query("fold_importance")
+def fold_importance(spark: SparkSession, sf: str) -> DataFrame:
+    train, _, names = training_matrix(spark, sf, 2, 1)
+    models = FoldModels.fit(train, gbt(TREES), 2, "fold_0", names)
+    return top_importance_rows(models.importance(train), 5)
+
+
+@query("refit_score")
+def refit(spark: SparkSession, sf: str) -> DataFrame:
+    """Test scores of both model families, each fitted on all of train."""
+    train, test, _ = training_matrix(spark, sf, 2, 1)
+    trees = refit_score(gbt(TREES), train, test, "c_custkey", "gbt")
+    line = refit_score(logistic({"C": 1.0}, train.count()), train, test, "c_custkey", "logistic_regression")
+    return trees.join(line, "c_custkey")
+
+
+@query("boosting_rounds")
+def rounds(spark: SparkSession, sf: str) -> DataFrame:
+    """The chosen number of trees, and the training rows behind the choice."""
+    train, _, _ = training_matrix(spark, sf, 2, 1)
+    best = boosting_rounds(train, gbt({**TREES, "n_estimators": 8}), 2, "fold_0", patience=3)
+    return train.groupBy("fold_0").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("rounds", F.lit(best))
+
+
+@query("staged_search")
+def search(spark: SparkSession, sf: str) -> DataFrame:
+    """Two stages of two logistic candidates; one row per stage and candidate."""
+    train, _, _ = training_matrix(spark, sf, 2, 1)
+    n = train.count()
+    work = Search(train, "c_custkey", lambda p: logistic(p, n), folds=2, repeats=1)
+    stages = [
+        Stage("strength", lambda best: {"C": [0.01, 1.0]}),
+        Stage("iterations", lambda best: {"max_iter": [5, 20]}),
+    ]
+    results = staged_search(work, stages, {"C": 1.0, "max_iter": 10})
+    tables = [r.scored.report().withColumn("stage", F.lit(r.name)) for r in results]
+    return tables[0].unionByName(tables[1])

@@ -55,7 +55,7 @@ class Search:
         def job(params: Params, r: int) -> Callable[[], FoldModels]:
             return lambda: FoldModels.fit(self.matrix, self.factory(params), self.folds, f"fold_{r}", [], 1)
 
-        fitted = fit_all([job(p, r) for _, p, r in runs], self.parallelism)
+        fitted = fit_all(self.matrix.sparkSession, [job(p, r) for _, p, r in runs], self.parallelism)
         parts = []
         for (i, _, r), models in zip(runs, fitted, strict=True):
             scored = models.out_of_fold(self.matrix, [self.key, "label"], "pred")

@@ -6,12 +6,13 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from multiprocessing.pool import ThreadPool
+from typing import Any
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfeat.functions.columns import col, numeric_columns
@@ -67,12 +68,12 @@ def positive_probability() -> Column:
     return vector_to_array("probability")[1]
 
 
-def fit_all(jobs: Sequence[Callable[[], Model]], parallelism: int) -> list[Model]:
+def fit_all(spark: SparkSession, jobs: Sequence[Callable[[], Any]], parallelism: int) -> list[Any]:
     """Run independent fits side by side, so that small ones share the cluster."""
     if parallelism <= 1 or len(jobs) <= 1:
         return [job() for job in jobs]
     with ThreadPool(min(parallelism, len(jobs))) as pool:
-        return pool.map(inheritable_thread_target(lambda job: job()), jobs)
+        return pool.map(inheritable_thread_target(spark)(lambda job: job()), jobs)
 
 
 @dataclass(frozen=True)
@@ -92,7 +93,8 @@ class FoldModels:
         def job(j: int) -> Callable[[], Model]:
             return lambda: estimator.fit(matrix.filter(col(fold) != j))
 
-        return FoldModels(tuple(fit_all([job(j) for j in range(k)], parallelism)), tuple(names), fold)
+        models = fit_all(matrix.sparkSession, [job(j) for j in range(k)], parallelism)
+        return FoldModels(tuple(models), tuple(names), fold)
 
     def out_of_fold(self, matrix: DataFrame, keep: Sequence[str], out: str = "prediction") -> DataFrame:
         """Predict every row with the model that has not seen it."""

@@ -10,6 +10,7 @@ heavy key costs no more than the others.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -133,3 +134,53 @@ def filled_sum(x: Column, mean: Column) -> Column:
     missing = F.count(F.lit(1)) - F.count(x)
     filled = F.coalesce(missing.cast("double") * mean, F.lit(0.0))
     return F.coalesce(F.sum(x).cast("double"), F.lit(0.0)) + filled
+
+
+@dataclass(frozen=True)
+class Family:
+    """Named aggregates of a child table, and the features made of them.
+
+    ``features`` gets a function from aggregate name to column; without it the
+    aggregates are the features.
+    """
+
+    aggregates: Mapping[str, Column]
+    features: Callable[[Callable[[str], Column]], Mapping[str, Column]] | None = None
+
+    @staticmethod
+    def of_spec(spec: Spec, namer: Namer, inputs: Mapping[str, Column] | None = None) -> Family:
+        derived = inputs or {}
+        return Family(
+            {
+                namer(c, f): agg_column(derived[c] if c in derived else col(c), f)
+                for c, funcs in spec.items()
+                for f in funcs
+            }
+        )
+
+    def adding(self, **aggregates: Column) -> Family:
+        return Family({**self.aggregates, **aggregates}, self.features)
+
+
+def family_features(df: DataFrame, key: str, families: Mapping[str, Family]) -> DataFrame:
+    """All families of one table in one pass, columns named ``<family>__<feature>``.
+
+    An aggregate that several families share is computed once.
+    """
+    aggregates = [e.alias(f"{f}__{n}") for f, family in families.items() for n, e in family.aggregates.items()]
+    grouped = df.filter(col(key).isNotNull()).groupBy(col(key)).agg(*aggregates)
+    outputs = []
+    for f, family in families.items():
+
+        def ref(name: str, f: str = f) -> Column:
+            return col(f"{f}__{name}")
+
+        made = family.features(ref) if family.features else {n: ref(n) for n in family.aggregates}
+        outputs += [e.alias(f"{f}__{n}") for n, e in made.items()]
+    return grouped.select(col(key), *outputs)
+
+
+def one_family(df: DataFrame, key: str, family: Family) -> DataFrame:
+    """The features of a single family under their own names."""
+    out = family_features(df, key, {"f": family})
+    return out.select(col(key), *[col(c).alias(c.removeprefix("f__")) for c in out.columns if c != key])

@@ -19,10 +19,9 @@ from sparkfeat.functions.columns import (
 from sparkfeat.functions.scalars import null_count
 from sparkfeat.operators.aggregate import aggregate
 from sparkfeat.operators.categories import Vocabulary, factorize, first_seen_values
-from sparkfeat.operators.encode import FoldEncoding, frequency_encode, standardise
+from sparkfeat.operators.encode import FoldEncoding, frequency_encode, standardise, unseen_shares
 from sparkfeat.operators.evaluate import kfold
 from sparkfeat.operators.formula import formula_features
-from sparkfeat.operators.lookup import unseen_share
 from sparkfeat.sources.schemas import BUREAU_KEY, ENTITY_KEY, LABEL, LOAN_KEY
 from sparkfeat.sources.tables import split_labelled, union_labelled
 
@@ -130,20 +129,18 @@ def joined_averages(tables: Mapping[str, DataFrame]) -> DataFrame:
 def encoded_matrix(joined: DataFrame, encode: Sequence[str] | None = None) -> EncodedMatrix:
     """Target and frequency encodings of the whole-number columns, null count, then scaling.
 
-    ``joined`` is read many times; hand in a stored or persisted frame.
+    ``joined`` is read several times; hand in a stored or checkpointed frame. The
+    encoded rows are checkpointed too, before their statistics are taken.
     """
     train, test = split_labelled(joined, LABEL)
     train = train.withColumn("__fold", kfold(ENTITY_KEY, FOLDS, SEED))
     columns = list(encode) if encode is not None else integer_columns(joined, [LABEL])
-    base_train, base_test = train, test
-    for c in columns:
-        smoothing = unseen_share(base_train, base_test, c)
-        fitted = FoldEncoding.fit(base_train, c, LABEL, "__fold", FOLDS, MIN_SAMPLES_LEAF, smoothing)
-        train = fitted.transform_train(train, "__fold", f"te_{c}")
-        test = fitted.transform_test(test, f"te_{c}")
-    both = union_labelled(train.drop("__fold"), test)
-    both = both.withColumn("nans", null_count([c for c in both.columns if c != LABEL]))
-    both = frequency_encode(both, [c for c in columns if c != ENTITY_KEY])
+    smoothing = unseen_shares(train, test, columns)
+    fitted = FoldEncoding.fit(train, columns, LABEL, "__fold", FOLDS, MIN_SAMPLES_LEAF, smoothing)
+    train = fitted.transform_train(train, "__fold").drop("__fold")
+    both = union_labelled(train, fitted.transform_test(test))
+    both = both.withColumn("nans", null_count([c for c in both.columns if c != LABEL])).checkpoint()
+    both = frequency_encode(both, [c for c in columns if c != ENTITY_KEY]).checkpoint()
     features = numeric_columns(both, [ENTITY_KEY, LABEL])
     return EncodedMatrix(standardise(both, features), tuple(features))
 
@@ -151,8 +148,8 @@ def encoded_matrix(joined: DataFrame, encode: Sequence[str] | None = None) -> En
 def formula_matrix(tables: Mapping[str, DataFrame], formulas: Mapping[str, str]) -> DataFrame:
     """The whole pipeline: one column per formula beside the applicant's key and label.
 
-    The joined averages and the scaled inputs are checkpointed: several hundred
-    formulas would otherwise pull their whole lineage into one plan.
+    The joined averages and the encoded rows are checkpointed: several hundred formulas
+    would otherwise pull the whole lineage into one plan.
     """
     matrix = encoded_matrix(joined_averages(tables).checkpoint())
-    return formula_features(matrix.frame.checkpoint(), formulas, [ENTITY_KEY, LABEL])
+    return formula_features(matrix.frame, formulas, [ENTITY_KEY, LABEL])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -158,27 +158,24 @@ class FoldEncoding:
         table = grouped.select("column", "value", F.array(*entries).alias("enc"))
         return FoldEncoding(tuple(columns), ValueTable.of(table), priors)
 
-    def transform_train(self, df: DataFrame, fold: str, prefix: str = "te_") -> DataFrame:
-        """Encode each row with the statistics of the folds it is not in."""
-        place = col(fold).cast("int") + 1
-        fallback = F.element_at(F.array(*[F.lit(p) for p in self.priors]), place)
-        return self._transform(df, prefix, lambda enc: F.coalesce(F.element_at(enc, place), fallback))
+    def transform(self, df: DataFrame, fold: str | None = None, prefix: str = "te_") -> DataFrame:
+        """Encode train rows with the statistics of the folds they are not in, others with all.
 
-    def transform_test(self, df: DataFrame, prefix: str = "te_") -> DataFrame:
-        """Encode each row with the mean of the ``k`` encodings of its value."""
+        A row whose ``fold`` is NULL is not a train row: it gets the mean of the ``k``
+        encodings of its value. Train and test may share one frame.
+        """
         k = len(self.priors)
-
-        def mean(enc: Column) -> Column:
-            parts = [F.coalesce(enc[j], F.lit(p)) for j, p in enumerate(self.priors)]
-            return sum(parts[1:], parts[0]) / k
-
-        return self._transform(df, prefix, mean)
-
-    def _transform(self, df: DataFrame, prefix: str, value: Callable[[Column], Column]) -> DataFrame:
         out = df
         for i, c in enumerate(self.columns):
             out = self.values.attach(out, c, "enc", f"__enc{i}")
-        made = [value(F.col(f"__enc{i}")).alias(prefix + c) for i, c in enumerate(self.columns)]
+        made = []
+        for i, c in enumerate(self.columns):
+            enc = F.coalesce(F.col(f"__enc{i}"), F.array(*[F.lit(p) for p in self.priors]))
+            mean = sum((enc[j] for j in range(1, k)), enc[0]) / k
+            if fold is not None:
+                own = F.element_at(enc, col(fold).cast("int") + 1)
+                mean = F.when(col(fold).isNotNull(), own).otherwise(mean)
+            made.append(mean.alias(prefix + c))
         return out.select(*[col(c) for c in df.columns], *made)
 
 

@@ -23,7 +23,7 @@ from sparkfeat.operators.encode import FoldEncoding, frequency_encode, standardi
 from sparkfeat.operators.evaluate import kfold
 from sparkfeat.operators.formula import formula_features
 from sparkfeat.sources.schemas import BUREAU_KEY, ENTITY_KEY, LABEL, LOAN_KEY
-from sparkfeat.sources.tables import split_labelled, union_labelled
+from sparkfeat.sources.tables import split_labelled
 
 # The encoder's folds, seed and smallest category.
 FOLDS = 5
@@ -132,24 +132,25 @@ def encoded_matrix(joined: DataFrame, encode: Sequence[str] | None = None) -> En
     ``joined`` is read several times; hand in a stored or checkpointed frame. The
     encoded rows are checkpointed too, before their statistics are taken.
     """
-    train, test = split_labelled(joined, LABEL)
-    train = train.withColumn("__fold", kfold(ENTITY_KEY, FOLDS, SEED))
+    folded = joined.withColumn("__fold", F.when(col(LABEL).isNotNull(), kfold(ENTITY_KEY, FOLDS, SEED)))
+    train, test = split_labelled(folded, LABEL)
     columns = list(encode) if encode is not None else integer_columns(joined, [LABEL])
     smoothing = unseen_shares(train, test, columns)
     fitted = FoldEncoding.fit(train, columns, LABEL, "__fold", FOLDS, MIN_SAMPLES_LEAF, smoothing)
-    train = fitted.transform_train(train, "__fold").drop("__fold")
-    both = union_labelled(train, fitted.transform_test(test))
+    both = fitted.transform(folded, "__fold").drop("__fold")
     both = both.withColumn("nans", null_count([c for c in both.columns if c != LABEL])).checkpoint()
     both = frequency_encode(both, [c for c in columns if c != ENTITY_KEY]).checkpoint()
     features = numeric_columns(both, [ENTITY_KEY, LABEL])
     return EncodedMatrix(standardise(both, features), tuple(features))
 
 
-def formula_matrix(tables: Mapping[str, DataFrame], formulas: Mapping[str, str]) -> DataFrame:
+def formula_matrix(
+    tables: Mapping[str, DataFrame], formulas: Mapping[str, str], encode: Sequence[str] | None = None
+) -> DataFrame:
     """The whole pipeline: one column per formula beside the applicant's key and label.
 
     The joined averages and the encoded rows are checkpointed: several hundred formulas
     would otherwise pull the whole lineage into one plan.
     """
-    matrix = encoded_matrix(joined_averages(tables).checkpoint())
+    matrix = encoded_matrix(joined_averages(tables).checkpoint(), encode)
     return formula_features(matrix.frame, formulas, [ENTITY_KEY, LABEL])

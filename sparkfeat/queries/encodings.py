@@ -147,7 +147,7 @@ SQL_FOLDED = (
 def oof_target_encode(spark: SparkSession, sf: str) -> DataFrame:
     train = people(spark, sf).filter("label is not null").withColumn("fold", kfold("c_custkey", K, 42))
     fitted = FoldEncoding.fit(train, ["c_nationkey"], "label", "fold", K, 38, 0.0)
-    out = fitted.transform_train(train, "fold")
+    out = fitted.transform(train, "fold")
     return out.select("c_custkey", "fold", "te_c_nationkey")
 
 
@@ -163,7 +163,7 @@ def test_target_encode(spark: SparkSession, sf: str) -> DataFrame:
     df = people(spark, sf)
     train = df.filter("label is not null").withColumn("fold", kfold("c_custkey", K, 42))
     fitted = FoldEncoding.fit(train, ["c_nationkey"], "label", "fold", K, 38, 0.0)
-    out = fitted.transform_test(df.filter("label is null"))
+    out = fitted.transform(df.filter("label is null"))
     return out.select("c_custkey", F.round("te_c_nationkey", 10).alias("te_c_nationkey"))
 
 

@@ -113,7 +113,7 @@ def test_encoded_matrix(joined):
 
 def test_formula_matrix(spark, tables):
     formulas = {f"i{i}": f"greatest(EXT_SOURCE_1, te_CNT_CHILDREN) * {i}.5 - nans" for i in range(120)}
-    out = formula_matrix(tables, formulas).cache()
+    out = formula_matrix(tables, formulas, ["CNT_CHILDREN", "CODE_GENDER"]).cache()
     assert out.columns == [KEY, "TARGET", *formulas]
     assert out.count() == tables["application"].count()
     assert no_nan(out)

@@ -77,6 +77,9 @@ class Search:
         table = scores.persist(StorageLevel.MEMORY_AND_DISK)
         top = best_row(table, "candidate").first()["candidate"]
         best = kept.filter(F.col("candidate") == top).groupBy(col(self.key)).agg(F.avg("pred").alias("pred"))
+        best = best.persist(StorageLevel.MEMORY_AND_DISK)
+        best.count()
+        kept.unpersist()
         return Scored(list(candidates), table, dict(candidates[top]), best)
 
 

@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from sparkfeat.functions.columns import col
 
 BUCKETS = 128
+STRIDE = 12
 HASH_SPACE = 1_000_003
 HASH_FACTOR = 2_654_435_761
+SEED_STEP = 104_729
 
 
 def with_quantile_bucket(
@@ -32,17 +34,25 @@ def with_quantile_bucket(
     on where the bounds lie.
     """
     points = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    bounds = rows.agg(F.array_distinct(F.percentile_approx(col(value), points, 20 * buckets)).alias("b"))
-    place = F.size(F.filter("__bounds", lambda b: b < col(value)))
+    bounds = F.array_distinct(F.percentile_approx(col(value), points, 20 * buckets))
+    # every STRIDE-th bound picks a stretch of bounds, so few of them are compared per row
+    coarse = F.filter("fine", lambda b, i: i % STRIDE == STRIDE - 1)
+    fitted = rows.agg(bounds.alias("fine")).select(F.struct("fine", coarse.alias("coarse")).alias("b"))
+
+    def below(array: Column) -> Column:
+        return F.coalesce(F.size(F.filter(array, lambda b: b < col(value))), F.lit(0))
+
+    stretch = F.slice(F.col("__bounds.fine"), F.col("__stretch") * STRIDE + 1, F.lit(STRIDE))
     return (
-        df.withColumn("__bounds", bounds.scalar())
-        .withColumn(out, F.coalesce(place, F.lit(0)))
-        .drop("__bounds")
+        df.withColumn("__bounds", fitted.scalar())
+        .withColumn("__stretch", below(F.col("__bounds.coarse")))
+        .withColumn(out, F.col("__stretch") * STRIDE + below(stretch))
+        .drop("__bounds", "__stretch")
     )
 
 
 def group_median(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """Exact median per key, skipping missing values; a group of missing values gives NULL."""
+    """Exact median per key, skipping missing values; a group without values has no row."""
     keys = list(keys)
     by = [col(k) for k in keys]
     rows = df.filter(by[0].isNotNull()).select(*by, col(value).cast("double").alias("v"))
@@ -72,13 +82,17 @@ def group_median(df: DataFrame, keys: Sequence[str], value: str, out: str) -> Da
         .withColumn("below", F.col("upto") - F.col("n"))
         .filter("(below < low and low <= upto) or (below < high and high <= upto)")
     )
-    medians = ranked.groupBy(*keys).agg(((F.min("v") + F.max("v")) / 2).alias(out))
-    return df.filter(by[0].isNotNull()).select(*by).distinct().join(medians, keys, "left")
+    return ranked.groupBy(*keys).agg(((F.min("v") + F.max("v")) / 2).alias(out))
 
 
 def fold_hash(key: str, seed: int) -> Column:
-    """Even spread of a whole-number key over ``[0, HASH_SPACE)``, the same on every engine."""
-    return F.pmod(F.pmod(col(key), F.lit(HASH_SPACE)) * F.lit(HASH_FACTOR) + F.lit(seed), F.lit(HASH_SPACE))
+    """Even spread of a whole-number key over ``[0, HASH_SPACE)``, the same on every engine.
+
+    The seed changes the factor: added to the product it would only turn the order round,
+    and folds cut from that order would stay the same.
+    """
+    factor = HASH_FACTOR + seed * SEED_STEP
+    return F.pmod(F.pmod(col(key), F.lit(HASH_SPACE)) * F.lit(factor) + F.lit(seed), F.lit(HASH_SPACE))
 
 
 def stratified_rank(df: DataFrame, key: str, label: str, seed: int, rank: str, size: str) -> DataFrame:

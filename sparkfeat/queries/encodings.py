@@ -26,7 +26,7 @@ K = 5
 
 
 def sql_hash(key: str, seed: int) -> str:
-    return f"((({key} % 1000003) * 2654435761 + {seed}) % 1000003)"
+    return f"((({key} % 1000003) * {2654435761 + seed * 104729} + {seed}) % 1000003)"
 
 
 @query(

@@ -233,7 +233,7 @@ def search(spark: SparkSession, sf: str) -> DataFrame:
     """Two stages of two logistic candidates; one row per stage and candidate."""
     train, _, _ = training_matrix(spark, sf, 2, 1)
     n = train.count()
-    work = Search(train, "c_custkey", lambda p: logistic(p, n), folds=2, repeats=1)
+    work = Search(train, "c_custkey", lambda p: logistic(p, n), folds=2, repeats=1, parallelism=4)
     stages = [
         Stage("strength", lambda best: {"C": [0.01, 1.0]}),
         Stage("iterations", lambda best: {"max_iter": [5, 20]}),

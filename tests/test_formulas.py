@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from sparkfeat.operators.ranks import HASH_FACTOR, HASH_SPACE
+from sparkfeat.operators.ranks import HASH_FACTOR, HASH_SPACE, SEED_STEP
 from sparkfeat.plans.formulas import (
     FOLDS,
     SEED,
@@ -76,7 +76,7 @@ def test_encoded_matrix(joined):
     got = encoded_matrix(joined, columns)
     raw = joined.toPandas().sort_values(KEY).reset_index(drop=True)
     train, test = raw[raw.TARGET.notna()], raw[raw.TARGET.isna()]
-    fold = ((train[KEY] % HASH_SPACE * HASH_FACTOR + SEED) % HASH_SPACE) % FOLDS
+    fold = ((train[KEY] % HASH_SPACE * (HASH_FACTOR + SEED * SEED_STEP) + SEED) % HASH_SPACE) % FOLDS
     parts = []
     te = {}
     for c in columns:

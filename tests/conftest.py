@@ -35,3 +35,18 @@ def frames():
 def tables(spark, frames):
     """The credit tables as Spark frames."""
     return credit_tables(spark, frames)
+
+
+@pytest.fixture(scope="module")
+def plain_execution(spark):
+    """Skip run-time re-planning and code generation: on tiny rows wide plans spend their time there.
+
+    The query tests run with both.
+    """
+    names = ["spark.sql.adaptive.enabled", "spark.sql.codegen.wholeStage"]
+    before = {n: spark.conf.get(n) for n in names}
+    for n in names:
+        spark.conf.set(n, "false")
+    yield
+    for n, v in before.items():
+        spark.conf.set(n, v)

@@ -12,6 +12,8 @@ from tests.credit import assert_same, no_nan
 
 KEY = "SK_ID_CURR"
 
+pytestmark = pytest.mark.usefixtures("plain_execution")
+
 
 def div(a, b):
     return (a / b).replace([np.inf, -np.inf], np.nan)

@@ -25,6 +25,8 @@ from tests.test_library import KEY, div, payments, spec_frame
 
 VARIANTS = [SELECTED, SIMPLE]
 
+pytestmark = pytest.mark.usefixtures("plain_execution")
+
 
 def dummies(df, missing=True):
     text = [c for c in df.columns if df[c].dtype == object]

@@ -39,11 +39,11 @@ def tables(spark, frames):
 
 @pytest.fixture(scope="module")
 def plain_execution(spark):
-    """Skip run-time re-planning and code generation: on tiny rows wide plans spend their time there.
+    """Skip run-time re-planning: on tiny rows wide plans spend their time there.
 
-    The query tests run with both.
+    The query tests run with it.
     """
-    names = ["spark.sql.adaptive.enabled", "spark.sql.codegen.wholeStage"]
+    names = ["spark.sql.adaptive.enabled"]
     before = {n: spark.conf.get(n) for n in names}
     for n in names:
         spark.conf.set(n, "false")

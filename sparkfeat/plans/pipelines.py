@@ -7,12 +7,27 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from sparkfeat.functions.columns import col, unique_names
 from sparkfeat.learning.estimators import gbt
-from sparkfeat.learning.training import FeatureVectors, FoldModels, feature_names, keep_matrix
-from sparkfeat.operators.evaluate import kfold, roc_auc, stratified_folds
+from sparkfeat.learning.search import (
+    Factory,
+    Search,
+    Stage,
+    StageResult,
+    staged_search,
+    with_repeated_folds,
+)
+from sparkfeat.learning.training import (
+    FeatureVectors,
+    FoldModels,
+    feature_names,
+    keep_matrix,
+    positive_probability,
+)
+from sparkfeat.operators.assemble import number_columns
+from sparkfeat.operators.evaluate import kfold, roc_auc, stratified_folds, stratified_split
+from sparkfeat.plans.formulas import formula_matrix
 from sparkfeat.plans.selected import SELECTED, Variant, wide_matrix
 from sparkfeat.sources.schemas import ENTITY_KEY, LABEL
 from sparkfeat.sources.sinks import timestamped, write_importance, write_matrix, write_predictions
@@ -50,6 +65,8 @@ FORMULA_TREES = {
     "min_child_weight": 100,
 }
 FOLD_SEED = 1001
+FORMULA_FOLD_SEED = 42
+HOLD_OUT_SHARE = 0.33
 
 
 @dataclass(frozen=True)
@@ -123,6 +140,90 @@ def write_results(result: CrossValidated, directory: str) -> None:
     write_importance(result.importance, timestamped(directory, "importance"))
 
 
+def run_formulas(
+    tables: Mapping[str, DataFrame],
+    formulas: Mapping[str, str],
+    directory: str,
+    params: Mapping[str, Any] | None = None,
+    k: int = 5,
+    encode: Sequence[str] | None = None,
+) -> CrossValidated:
+    """Evaluate the formulas, store them, cross-validate on the stored copy, write the results."""
+    spark = tables["application"].sparkSession
+    path = timestamped(directory, "formulas")
+    write_matrix(formula_matrix(tables, formulas, encode), path)
+    result = cross_validate(spark.read.parquet(path), params or FORMULA_TREES, k, seed=FORMULA_FOLD_SEED)
+    write_results(result, directory)
+    return result
+
+
 def hold_out(df: DataFrame, flag: str = "is_test") -> tuple[DataFrame, DataFrame]:
-    """The two sides of a marked split."""
-    return df.filter(col(flag) == 0), df.filter(F.col(flag) == 1)
+    """The two sides of a marked split, without the mark."""
+    return df.filter(col(flag) == 0).drop(flag), df.filter(col(flag) == 1).drop(flag)
+
+
+@dataclass(frozen=True)
+class SearchData:
+    """Train vectors with repeated folds, held-out and unlabelled vectors, feature names."""
+
+    train: DataFrame
+    held_out: DataFrame
+    unlabelled: DataFrame
+    names: tuple[str, ...]
+
+
+def prepare_search(
+    features: DataFrame, folds: int = 5, repeats: int = 5, test_share: float = HOLD_OUT_SHARE, seed: int = 1
+) -> SearchData:
+    """Number the columns, hold out a stratified share of the labelled rows, add fold columns.
+
+    ``features`` has one row per applicant and is read several times: store it first.
+    """
+    numbered = number_columns(features, [ENTITY_KEY, LABEL])
+    labelled, unlabelled = split_labelled(numbered, LABEL)
+    names = feature_names(numbered)
+    train, held_out = hold_out(stratified_split(labelled, ENTITY_KEY, LABEL, test_share, seed))
+    vectors = FeatureVectors.fit(train, names)
+    keep = [ENTITY_KEY, LABEL]
+    rows = vectors.transform(train, keep).withColumnRenamed(LABEL, "label")
+    return SearchData(
+        train=keep_matrix(with_repeated_folds(rows, ENTITY_KEY, "label", folds, repeats)),
+        held_out=vectors.transform(held_out, keep).withColumnRenamed(LABEL, "label"),
+        unlabelled=vectors.transform(unlabelled, [ENTITY_KEY]),
+        names=tuple(vectors.names),
+    )
+
+
+@dataclass(frozen=True)
+class Tuned:
+    """Every stage's scores, the best parameters, and the refitted model's scores."""
+
+    stages: list[StageResult]
+    best: dict[str, Any]
+    held_out_auc: DataFrame
+    predictions: DataFrame
+
+
+def run_search(
+    features: DataFrame,
+    directory: str,
+    stages: Sequence[Stage],
+    start: Mapping[str, Any],
+    factory: Factory = gbt,
+    folds: int = 5,
+    repeats: int = 5,
+    parallelism: int = 2,
+) -> Tuned:
+    """Search parameters stage by stage, refit the best on train, score the rest and write it.
+
+    ``features`` is any labelled matrix, such as all features of the library.
+    """
+    data = prepare_search(features, folds, repeats)
+    work = Search(data.train, ENTITY_KEY, factory, folds, repeats, parallelism)
+    results = staged_search(work, stages, dict(start))
+    best = results[-1].scored.best
+    model = factory(best).fit(data.train)
+    checked = model.transform(data.held_out).select(ENTITY_KEY, "label", positive_probability().alias("prediction"))
+    scored = model.transform(data.unlabelled).select(ENTITY_KEY, positive_probability().alias("prediction"))
+    write_predictions(scored, timestamped(directory, "tuned_predictions"), ENTITY_KEY, "prediction")
+    return Tuned(results, best, roc_auc(checked, "label", "prediction"), scored)

@@ -7,7 +7,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from sparkfeat.plans.pipelines import cross_validate, hold_out, run_wide
+from sparkfeat.learning.estimators import logistic
+from sparkfeat.learning.search import Stage
+from sparkfeat.plans.pipelines import cross_validate, hold_out, prepare_search, run_formulas, run_search, run_wide
 from sparkfeat.plans.selected import SIMPLE, wide_matrix
 from sparkfeat.sources.checkpoints import ensure_checkpoint_dir
 from sparkfeat.sources.sinks import timestamped, write_matrix, write_predictions
@@ -111,3 +113,35 @@ def test_cross_validation_by_hash(spark, tables):
     assert result.out_of_fold.select("fold").distinct().count() == 3
     flagged = wide.withColumn("is_test", (F.col("SK_ID_CURR") % 2).cast("int"))
     assert [p.count() for p in hold_out(flagged)] == [40, 40]
+
+
+def test_search_from_features_to_predictions(spark, tables, tmp_path):
+    features = tables["application"].select("SK_ID_CURR", "TARGET", "EXT_SOURCE_1", "DAYS_BIRTH").cache()
+    data = prepare_search(features, folds=2, repeats=1)
+    assert data.names == ("0_EXT_SOURCE_1", "1_DAYS_BIRTH", "0_EXT_SOURCE_1__missing")
+    assert data.train.count() + data.held_out.count() == 60 and data.unlabelled.count() == 20
+    tuned = run_search(
+        features,
+        str(tmp_path),
+        [Stage("strength", lambda best: {"C": [0.1, 1.0]})],
+        {"C": 1.0, "max_iter": 3},
+        factory=lambda p: logistic(p, 40),
+        folds=2,
+        repeats=1,
+    )
+    assert tuned.best["C"] in (0.1, 1.0)
+    assert tuned.predictions.count() == 20 and 0 <= tuned.held_out_auc.first()["auc"] <= 1
+    assert len(list(tmp_path.glob("tuned_predictions*"))) == 1
+
+
+def test_formulas_from_tables_to_predictions(spark, tables, tmp_path):
+    formulas = {"i0": "EXT_SOURCE_1 - te_CNT_CHILDREN", "i1": "greatest(DAYS_BIRTH, nans)"}
+    trees = {"n_estimators": 1, "max_depth": 1}
+    result = run_formulas(tables, formulas, str(tmp_path), trees, k=2, encode=["CNT_CHILDREN"])
+    assert result.test.count() == 20
+    assert {p.name.split("_20")[0] for p in tmp_path.iterdir()} == {
+        "formulas",
+        "test_predictions",
+        "train_predictions",
+        "importance",
+    }

@@ -96,7 +96,7 @@ def event_gap(spark: SparkSession, sf: str) -> DataFrame:
           from r left join seq using (l_orderkey) left join h using (l_orderkey) group by o_custkey)
     select o_custkey, round(coalesce(seq_std, (select avg(seq_std) from e)), 7) as seq_std,
            round(coalesce(late_mean, (select avg(late_mean) from e)) + 2e-8, 7) as late_mean,
-           round(coalesce(short_mean, (select avg(short_mean) from e)), 8) as short_mean
+           round(coalesce(short_mean, (select avg(short_mean) from e)) + 2e-9, 8) as short_mean
     from e""",
 )
 def weighted(spark: SparkSession, sf: str) -> DataFrame:
@@ -116,8 +116,9 @@ def weighted(spark: SparkSession, sf: str) -> DataFrame:
     )
     digits = {"seq_std": 7, "late_mean": 7, "short_mean": 8}
     out = weighted_rollup(rows, "l_orderkey", "o_custkey", stats, list(digits))
-    # the shift keeps means over 128 lines away from rounding ties
-    out = out.withColumn("late_mean", F.col("late_mean") + 2e-8)
+    # the shifts keep means over 128 or 256 lines away from rounding ties
+    shifted = {"late_mean": F.col("late_mean") + 2e-8, "short_mean": F.col("short_mean") + 2e-9}
+    out = out.withColumns(shifted)
     return out.select("o_custkey", *[F.round(c, d).alias(c) for c, d in digits.items()])
 
 

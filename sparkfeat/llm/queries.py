@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sparkfeat.llm.simhash import near_duplicates
+from sparkfeat.llm.wu_manber import find_passages, hit_words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -16,6 +18,46 @@ def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{table}.parquet")
 
 
+def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of each document that lie in a passage of ten words of a benchmark item."""
+    found = find_passages(_read(spark, sf, "documents").select("doc_id", "text"), _read(spark, sf, "benchmark"))
+    n_hit = hit_words(F.col("found"))
+    return found.select(
+        "doc_id",
+        "found.n_words",
+        n_hit.alias("n_hit"),
+        F.size("found.items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "found.items"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+QUERIES["op5_decontaminate"] = op5_decontaminate
+
+SQL_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+ORACLES["op5_decontaminate"] = rf"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), {SQL_LETTERS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents),
+b as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), {SQL_LETTERS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark),
+windows as (
+  select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as gram
+  from (select item_id, w, least(10, len(w)) as n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from b where len(w) > 0)),
+grams as (
+  select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as gram
+  from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from d, (select distinct n from windows) where len(w) >= n)),
+hits as (select doc_id, i, grams.n, item_id from grams join windows using (n, gram)),
+covered as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from hits) group by doc_id),
+named as (
+  select doc_id, count(*) as n_items, string_agg(name, ',' order by name) as names
+  from (select distinct doc_id, cast(item_id as varchar) as name from hits) group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join covered using (doc_id) left join named using (doc_id)"""
+
+
 def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprints of 3-word shingles, linked at 2 differing bits or fewer."""
     return near_duplicates(_read(spark, sf, "documents"), shingle=3, max_bits=2)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkfeat.llm.sharding import assign_shards
 from sparkfeat.llm.simhash import near_duplicates
 from sparkfeat.llm.wu_manber import find_passages, hit_words
 
@@ -18,6 +19,40 @@ def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{table}.parquet")
 
 
+#: Bytes of text in a shard.
+SHARD_BYTES = 1 << 20
+
+
+def op1_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    """The shard of each document, its bytes and its documents."""
+    docs = _read(spark, sf, "documents").select("doc_id", "text")
+    shard = assign_shards(docs, SHARD_BYTES)
+    return shard.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"),
+        F.col("shard.label").alias("shard"),
+        F.col("shard.size").alias("shard_bytes"),
+        F.col("shard.n").alias("shard_docs"),
+    )
+
+
+QUERIES["op1_sharding"] = op1_sharding
+ORACLES["op1_sharding"] = f"""
+with d as (
+  select doc_id, strlen(coalesce(text, '')) as n_bytes, coalesce(cast(doc_id as varchar), '') as k, coalesce(text, '') as t
+  from documents),
+c as (select doc_id, n_bytes, cast('0x' || substr(md5(k), 1, 8) || substr(md5(k || chr(31) || t), 1, 7) as bigint) as code from d),
+up as (select doc_id, n_bytes, code, depth, code >> (60 - depth) as prefix from c, (select unnest(range(0, 61)) as depth)),
+nodes as (
+  select depth, prefix, sum(n_bytes) as shard_bytes, count(*) as shard_docs
+  from up group by depth, prefix having sum(n_bytes) <= {SHARD_BYTES} or min(code) = max(code)),
+best as (select doc_id, n_bytes, min(depth) as depth, any_value(code) as code from up join nodes using (depth, prefix) group by doc_id, n_bytes)
+select doc_id, cast(n_bytes as bigint) as n_bytes,
+       right(lpad(bin(code >> (60 - best.depth)), 60, '0'), best.depth) as shard,
+       cast(shard_bytes as bigint) as shard_bytes, shard_docs
+from best join nodes on nodes.depth = best.depth and nodes.prefix = (code >> (60 - best.depth))"""
+
+
 def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     """Words of each document that lie in a passage of ten words of a benchmark item."""
     found = find_passages(_read(spark, sf, "documents").select("doc_id", "text"), _read(spark, sf, "benchmark"))

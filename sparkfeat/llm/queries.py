@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkfeat.llm.mixing import mix_sources, topic_of
 from sparkfeat.llm.sharding import assign_shards
 from sparkfeat.llm.simhash import near_duplicates
 from sparkfeat.llm.wu_manber import find_passages, hit_words
@@ -53,6 +54,80 @@ select doc_id, cast(n_bytes as bigint) as n_bytes,
 from best join nodes on nodes.depth = best.depth and nodes.prefix = (code >> (60 - best.depth))"""
 
 
+#: Wanted shares of tokens: the hot source is held down, small languages are raised.
+TARGETS = {
+    "source": {"src0": 0.20, **{f"src{i}": 0.04 for i in range(1, 20)}},
+    "lang": {"en": 0.52, "de": 0.18, "fr": 0.18, "es": 0.12},
+    "topic": {"prose": 0.90, "numbers": 0.05, "legal": 0.03, "tables": 0.02},
+}
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """``docs`` with their chance to be sampled under ``TARGETS``."""
+    dimensions = {"source": docs["source"], "lang": docs["lang"], "topic": topic_of(docs["text"])}
+    return mix_sources(docs, TARGETS, dimensions)
+
+
+def op2_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    """The raked probability of each document, and whether it is sampled."""
+    docs = _read(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    return mixed(docs).select(
+        "doc_id",
+        topic_of(F.col("text")).alias("topic"),
+        F.col("mix.tokens").alias("n_tokens"),
+        F.round("mix.probability", 6).alias("probability"),
+        F.col("mix.kept").alias("kept"),
+    )
+
+
+def _sql_shares() -> str:
+    rows = [f"('{d}', '{v}', {share})" for d, values in TARGETS.items() for v, share in values.items()]
+    rest = [f"('{d}', 'other', {max(0.0, 1.0 - sum(values.values()))})" for d, values in TARGETS.items()]
+    return ", ".join(rows + rest)
+
+
+def _sql_category(dim: str, value: str) -> str:
+    names = ", ".join(f"'{v}'" for v in TARGETS[dim])
+    return f"case when {value} in ({names}) then {value} else 'other' end"
+
+
+QUERIES["op2_mixing"] = op2_mixing
+ORACLES["op2_mixing"] = rf"""
+with recursive t as (
+  select doc_id, text, lang, source,
+         case when regexp_matches(coalesce(text, ''), '(?i)licen[cs]e') then 'legal'
+              when contains(coalesce(text, ''), ' | ') then 'tables'
+              when regexp_matches(coalesce(text, ''), '[0-9]{{3}}') then 'numbers' else 'prose' end as topic,
+         len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) as n_tokens,
+         cast('0x' || substr(md5('mix' || chr(31) || coalesce(cast(doc_id as varchar), '') || chr(31) || coalesce(text, '')), 1, 13) as bigint)
+           / cast(4503599627370496 as double) as draw
+  from documents),
+d as (
+  select *, {_sql_category("source", "source")} as s, {_sql_category("lang", "lang")} as l, {_sql_category("topic", "topic")} as c from t),
+cells as (select s, l, c, sum(n_tokens) as w from d group by s, l, c having sum(n_tokens) > 0),
+shares as (select * from (values {_sql_shares()}) as v(dim, value, share)),
+reach as (
+  select dim, value, share / sum(share) over (partition by dim) as share
+  from shares
+  where (dim, value) in (select ('source', s) from cells union select ('lang', l) from cells union select ('topic', c) from cells)),
+fit as (
+  select 0 as k, s, l, c, cast(w as double) as w, cast(1 as double) as f, rs.share as ps, rl.share as pl, rc.share as pc, sum(w) over () as total
+  from cells
+  join reach rs on rs.dim = 'source' and rs.value = s
+  join reach rl on rl.dim = 'lang' and rl.value = l
+  join reach rc on rc.dim = 'topic' and rc.value = c
+  union all
+  select k + 1, s, l, c, w,
+         f * case k % 3 when 0 then ps * total / sum(w * f) over (partition by s)
+                        when 1 then pl * total / sum(w * f) over (partition by l)
+                        else pc * total / sum(w * f) over (partition by c) end,
+         ps, pl, pc, total
+  from fit where k < 150),
+last as (select s, l, c, f / max(f) over () as p from fit where k = 150)
+select doc_id, topic, n_tokens, round(coalesce(p, 0.0), 6) as probability, draw < coalesce(p, 0.0) as kept
+from d left join last using (s, l, c)"""
+
+
 def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     """Words of each document that lie in a passage of ten words of a benchmark item."""
     found = find_passages(_read(spark, sf, "documents").select("doc_id", "text"), _read(spark, sf, "benchmark"))

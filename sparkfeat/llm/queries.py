@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfeat.llm.mixing import mix_sources, topic_of
+from sparkfeat.llm.quality import QualityModel, train_quality
 from sparkfeat.llm.sharding import assign_shards
 from sparkfeat.llm.simhash import near_duplicates
 from sparkfeat.llm.wu_manber import find_passages, hit_words
@@ -98,7 +99,8 @@ with recursive t as (
          case when regexp_matches(coalesce(text, ''), '(?i)licen[cs]e') then 'legal'
               when contains(coalesce(text, ''), ' | ') then 'tables'
               when regexp_matches(coalesce(text, ''), '[0-9]{{3}}') then 'numbers' else 'prose' end as topic,
-         len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) as n_tokens,
+         len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) as n_tokens,
          cast('0x' || substr(md5('mix' || chr(31) || coalesce(cast(doc_id as varchar), '') || chr(31) || coalesce(text, '')), 1, 13) as bigint)
            / cast(4503599627370496 as double) as draw
   from documents),
@@ -168,6 +170,32 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, c
 from d left join covered using (doc_id) left join named using (doc_id)"""
 
 
+def id_remainder(doc_id: str, n: int) -> Column:
+    """crc32 of the id as text, modulo ``n``; a null id counts as empty text."""
+    text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
+    return F.crc32(text.cast("binary")) % n
+
+
+#: Scores from here on are predicted to be of good quality.
+GOOD = 0.3
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> QualityModel:
+    """A model that has not seen the held-out ids."""
+    return train_quality(docs, labels.filter(id_remainder("doc_id", 5) != 0))
+
+
+def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality score of each document by a model that was trained on other ids than the held-out ones."""
+    docs = _read(spark, sf, "documents").select("doc_id", "text")
+    score = quality_model(docs, _read(spark, sf, "labels")).score(F.col("text"))
+    scored = docs.select("doc_id", (id_remainder("doc_id", 5) == 0).alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
+
+
+QUERIES["op9_quality"] = op9_quality
+
+
 def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprints of 3-word shingles, linked at 2 differing bits or fewer."""
     return near_duplicates(_read(spark, sf, "documents"), shingle=3, max_bits=2)

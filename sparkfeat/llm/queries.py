@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkfeat.llm.langid import train_languages
 from sparkfeat.llm.mixing import mix_sources, topic_of
 from sparkfeat.llm.quality import QualityModel, train_quality
 from sparkfeat.llm.sharding import assign_shards
@@ -176,6 +177,17 @@ def id_remainder(doc_id: str, n: int) -> Column:
     return F.crc32(text.cast("binary")) % n
 
 
+def op6_language(spark: SparkSession, sf: str) -> DataFrame:
+    """The language of each document by centroids learned from other ids than the held-out ones."""
+    docs = _read(spark, sf, "documents").select("doc_id", "text", "lang")
+    held_out = id_remainder("doc_id", 3) == 1
+    model = train_languages(docs.filter(~held_out))
+    found = docs.select("doc_id", held_out.alias("held_out"), model.predict(F.col("text")).alias("found"))
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score", "found.rejected")
+
+
+QUERIES["op6_language"] = op6_language
+
 #: Scores from here on are predicted to be of good quality.
 GOOD = 0.3
 

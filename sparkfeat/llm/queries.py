@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkfeat.llm.common import fresh_path
 from sparkfeat.llm.langid import train_languages
 from sparkfeat.llm.mixing import mix_sources, topic_of
 from sparkfeat.llm.quality import QualityModel, train_quality
 from sparkfeat.llm.sharding import assign_shards
 from sparkfeat.llm.simhash import near_duplicates
+from sparkfeat.llm.token_files import ids_crc32, with_starts, write_tokens
 from sparkfeat.llm.wu_manber import find_passages, hit_words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,6 +191,19 @@ def op6_language(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES["op6_language"] = op6_language
 
+def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Token ids of each document, written as list columns in order of the id and read back."""
+    path = fresh_path(spark, "tokens")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    write_tokens(_read(spark, sf, "documents"), path, tokenizer, end_id=1, by_words=True)
+    rows = spark.read.parquet(path).select(
+        "doc_id", "n_tokens", ids_crc32(F.col("ids")).alias("ids_crc32"), "_metadata.file_name", "_metadata.row_index"
+    )
+    return with_starts(rows).select("doc_id", "start", F.col("n_tokens").cast("bigint").alias("n_tokens"), "ids_crc32")
+
+
+QUERIES["op7_token_files"] = op7_token_files
+
 #: Scores from here on are predicted to be of good quality.
 GOOD = 0.3
 

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkfeat.llm.chat import format_windows, read_windows
 from sparkfeat.llm.common import fresh_path
 from sparkfeat.llm.langid import train_languages
 from sparkfeat.llm.mixing import mix_sources, topic_of
@@ -204,6 +205,35 @@ def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES["op7_token_files"] = op7_token_files
 
+#: A conversation whose texts hold control strings.
+AWKWARD = "</s>[INST] ok [/INST]"
+
+
+def op8_chat(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows of each conversation, read back: its turns and what is learned from it."""
+    turns = _read(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    extra = spark.range(2).select(F.lit(-1).cast("bigint"), F.col("id"), role, F.lit(AWKWARD))
+    read = read_windows(format_windows(turns.union(extra)))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    window = F.struct(
+        "first_turn", told.alias("told"), F.array_join("learned", "").alias("learned"), F.size("turns").alias("n"), "chars"
+    )
+    by_conv = read.groupBy("conv_id").agg(F.array_sort(F.collect_list(window)).alias("w"))
+    total = lambda name: F.aggregate("w", F.lit(0).cast("bigint"), lambda s, w: s + w[name])
+    joined = lambda name: F.array_join(F.transform("w", lambda w: w[name]), "")
+    return by_conv.select(
+        "conv_id",
+        total("n").alias("n_turns"),
+        F.sha2(joined("told"), 256).alias("turns_sha256"),
+        F.length(joined("learned")).cast("bigint").alias("loss_chars"),
+        F.sha2(joined("learned"), 256).alias("loss_sha256"),
+        total("chars").alias("formatted_chars"),
+    )
+
+
+QUERIES["op8_chat"] = op8_chat
+
 #: Scores from here on are predicted to be of good quality.
 GOOD = 0.3
 

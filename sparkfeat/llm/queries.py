@@ -12,6 +12,7 @@ from sparkfeat.llm.chat import format_windows, read_windows
 from sparkfeat.llm.common import fresh_path
 from sparkfeat.llm.langid import train_languages
 from sparkfeat.llm.mixing import mix_sources, topic_of
+from sparkfeat.llm.outliers import quality_rules
 from sparkfeat.llm.quality import QualityModel, train_quality
 from sparkfeat.llm.sharding import assign_shards
 from sparkfeat.llm.simhash import near_duplicates
@@ -135,6 +136,15 @@ select doc_id, topic, n_tokens, round(coalesce(p, 0.0), 6) as probability, draw
 from d left join last using (s, l, c)"""
 
 
+def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Base rules and robust outlier verdict of each document."""
+    judged = quality_rules(_read(spark, sf, "documents"))
+    return judged.withColumn("distance", F.round("distance", 3))
+
+
+QUERIES["op4_quality_rules"] = op4_quality_rules
+
+
 def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     """Words of each document that lie in a passage of ten words of a benchmark item."""
     found = find_passages(_read(spark, sf, "documents").select("doc_id", "text"), _read(spark, sf, "benchmark"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sparkfeat.llm.chat import format_windows, read_windows
 from sparkfeat.llm.common import fresh_path
 from sparkfeat.llm.langid import train_languages
+from sparkfeat.llm.license_scan import TEMPLATES, scan_licenses
 from sparkfeat.llm.mixing import mix_sources, topic_of
 from sparkfeat.llm.outliers import quality_rules
 from sparkfeat.llm.quality import QualityModel, train_quality
@@ -136,6 +137,55 @@ select doc_id, topic, n_tokens, round(coalesce(p, 0.0), 6) as probability, draw
 from d left join last using (s, l, c)"""
 
 
+def op3_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """How many units of each document match a licence, which licences, and the best match."""
+    found = scan_licenses(_read(spark, sf, "documents").select("doc_id", "text"))
+    names = F.array_sort(F.array_distinct(F.transform("licenses", lambda m: m["license"])))
+    return found.select(
+        "doc_id",
+        F.size("licenses").cast("bigint").alias("n_matches"),
+        F.array_join(names, ",").alias("licenses"),
+        F.round(F.coalesce(F.array_max(F.transform("licenses", lambda m: m["similarity"])), F.lit(0.0)), 6).alias("similarity"),
+    )
+
+
+def _sql_grams(text: str) -> str:
+    words = f"list_filter(string_split_regex(lower({text}), '[^a-z0-9]+'), lambda x: x <> '')"
+    return f"list_distinct(list_transform(generate_series(1, len({words}) - 1), lambda i: ({words})[i] || ' ' || ({words})[i + 1]))"
+
+
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+QUERIES["op3_license_scan"] = op3_license_scan
+ORACLES["op3_license_scan"] = f"""
+with t as (
+  select name, {_sql_grams("body")} as g
+  from (values {", ".join(f"({_sql_text(n)}, {_sql_text(b)})" for n, b in TEMPLATES.items())}) as v(name, body)),
+d as (select doc_id, coalesce(text, '') as text from documents),
+p as (select doc_id, text, string_split_regex(text, '\n[ \t\r]*\n') as paragraphs from d),
+units as (
+  select doc_id, unnest(string_split(text, chr(10))) as unit from d
+  union all select doc_id, unit from (select doc_id, unnest(paragraphs) as unit from p) where contains(unit, chr(10))
+  union all select doc_id, text from p where len(paragraphs) > 1),
+u as (
+  select row_number() over () as k, doc_id, words
+  from (select doc_id, list_filter(string_split_regex(lower(unit), '[^a-z0-9]+'), lambda x: x <> '') as words from units)
+  where len(words) > 1),
+g as (select k, doc_id, list_distinct(list_transform(generate_series(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1])) as g from u),
+m as (
+  select k, doc_id, name, 2.0::double * len(list_intersect(g.g, t.g)) / (len(g.g) + len(t.g)) as similarity
+  from g join t on 2.0 * least(len(g.g), len(t.g)) / (len(g.g) + len(t.g)) >= 0.8),
+best as (
+  select doc_id, k, max(similarity) as similarity, arg_max(name, (similarity, name)) as name
+  from m where similarity >= 0.8 group by doc_id, k),
+per as (
+  select doc_id, count(*) as n, string_agg(distinct name, ',' order by name) as names, max(similarity) as s from best group by doc_id)
+select doc_id, coalesce(n, 0) as n_matches, coalesce(names, '') as licenses, round(coalesce(s, 0.0), 6) as similarity
+from d left join per using (doc_id)"""
+
+
 def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Base rules and robust outlier verdict of each document."""
     judged = quality_rules(_read(spark, sf, "documents"))

@@ -70,10 +70,10 @@ TARGETS = {
 }
 
 
-def mixed(docs: DataFrame) -> DataFrame:
+def mixed(docs: DataFrame, out: str = "mix") -> DataFrame:
     """``docs`` with their chance to be sampled under ``TARGETS``."""
-    dimensions = {"source": docs["source"], "lang": docs["lang"], "topic": topic_of(docs["text"])}
-    return mix_sources(docs, TARGETS, dimensions)
+    dimensions = {"source": F.col("source"), "lang": F.col("lang"), "topic": topic_of(F.col("text"))}
+    return mix_sources(docs, TARGETS, dimensions, out=out)
 
 
 def op2_mixing(spark: SparkSession, sf: str) -> DataFrame:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkfeat.llm.common import LOWER, col, kept
+from sparkfeat.llm.common import LOWER, col, free_name, kept
 from sparkfeat.llm.graph import components
 
 SEED = 42
@@ -138,6 +138,27 @@ def _around(crowded: DataFrame, blocks: list, pairs: list, max_bits: int) -> Dat
     return stars.select(F.array_min("members").alias("a"), member).filter("a <> b")
 
 
+def groups_of(rows: DataFrame, max_bits: int) -> DataFrame:
+    """``fp, root, least, winners`` for every fingerprint of the rows ``(doc_id, fp)``.
+
+    ``root`` names the component, ``least`` is its smallest id (null if all are) and
+    ``winners`` counts its rows that have that id.
+    """
+    held = rows.groupBy("fp", "doc_id").agg(F.count("*").alias("n"))
+    lowest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n"))
+    prints = kept(held.groupBy("fp").agg(lowest.alias("low")).select("fp", F.col("low.doc_id").alias("first"), "low.n"))
+    roots = components(links(prints.select("fp"), max_bits)).withColumnRenamed("node", "fp")
+    linked = kept(prints.join(roots, "fp"))
+    sums = linked.groupBy("root", "first").agg(F.sum("n").alias("n"))
+    lowest = F.min(F.struct(F.col("first").isNull().alias("none"), "first", "n"))
+    best = sums.groupBy("root").agg(lowest.alias("low")).select("root", F.col("low.first").alias("least"), F.col("low.n").alias("winners"))
+    named = linked.join(best, "root").select("fp", "root", "least", "winners")
+    alone = prints.join(roots, "fp", "left_anti")
+    return named.unionByName(
+        alone.select("fp", F.col("fp").alias("root"), F.col("first").alias("least"), F.col("n").alias("winners"))
+    )
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2
 ) -> DataFrame:
@@ -151,12 +172,26 @@ def near_duplicates(
     are ignored, whatever their names.
     """
     rows = kept(docs.select(col(id_col).alias("doc_id"), fingerprint_column(col(text_col), shingle).alias("fp")))
-    groups = kept(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(links(groups.select("fp"), max_bits)).withColumnRenamed("node", "fp")
-    linked = kept(groups.join(roots, "fp"))
-    smallest = linked.groupBy("root").agg(F.min("first").alias("least"))
-    named = linked.join(smallest, "root").select("fp", "least")
-    alone = groups.join(roots, "fp", "left_anti").select("fp", F.col("first").alias("least"))
-    out = rows.join(named.unionByName(alone), "fp")
+    out = rows.join(groups_of(rows, max_bits), "fp")
     digits = F.lower(F.lpad(F.hex("fp"), BITS // 4, "0"))
     return out.select("doc_id", digits.alias("fingerprint"), F.col("least").alias("component_id"))
+
+
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2
+) -> DataFrame:
+    """One document of each group of near duplicates, with all columns of ``docs``.
+
+    The row with the group's smallest id stays; if several rows have it (repeated rows, or a
+    group without any id), one of them. Null and blank texts are one group. The fingerprints
+    are computed a second time for the rows that are joined, which is cheaper than to store
+    the texts once more.
+    """
+    rows = kept(docs.select(col(id_col).alias("doc_id"), fingerprint_column(col(text_col), shingle).alias("fp")))
+    fp, root, least, winners = (free_name(docs, n) for n in ("__fp", "__root", "__least", "__winners"))
+    groups = groups_of(rows, max_bits).toDF(fp, root, least, winners)
+    named = docs.withColumn(fp, fingerprint_column(col(text_col), shingle)).join(groups, fp)
+    won = named.filter(col(id_col).eqNullSafe(col(least)))
+    names = [col(c) for c in docs.columns]
+    single = won.filter(col(winners) == 1).select(*names)
+    return single.unionByName(won.filter(col(winners) > 1).dropDuplicates([root]).select(*names))

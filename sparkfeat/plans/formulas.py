@@ -18,7 +18,7 @@ from sparkfeat.functions.columns import (
 )
 from sparkfeat.functions.scalars import null_count
 from sparkfeat.operators.aggregate import aggregate
-from sparkfeat.operators.categories import Vocabulary, factorize, first_seen_values
+from sparkfeat.operators.categories import Vocabulary, first_seen_codes, with_codes
 from sparkfeat.operators.encode import FoldEncoding, frequency_encode, standardise, unseen_shares
 from sparkfeat.operators.evaluate import kfold
 from sparkfeat.operators.formula import formula_features
@@ -119,8 +119,8 @@ def joined_averages(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Applicants with text columns coded by first appearance in train, and all child averages."""
     application = tables["application"]
     train, _ = split_labelled(application, LABEL)
-    codes = {c: factorize(c, first_seen_values(train, c, ENTITY_KEY)) for c in string_columns(application)}
-    df = application.withColumns(codes)
+    texts = string_columns(application)
+    df = with_codes(application, first_seen_codes(train, texts, ENTITY_KEY), texts, unknown=-1) if texts else application
     for frame in child_averages(tables):
         df = merge_suffixed(df, frame, ENTITY_KEY)
     return sanitise_columns(df)

@@ -23,7 +23,7 @@ from sparkfeat.functions.columns import (
 from sparkfeat.functions.scalars import RowStat, product, ratio, with_row_stats
 from sparkfeat.operators.aggregate import Spec, aggregate, all_numeric_spec, subset_ratios
 from sparkfeat.operators.assemble import assemble
-from sparkfeat.operators.categories import Vocabulary, factorize, first_seen_values, one_hot, share_spec
+from sparkfeat.operators.categories import MAX_VALUES, Vocabulary, first_seen_codes, one_hot, share_spec, with_codes
 from sparkfeat.operators.impute import fill_global_mean
 from sparkfeat.operators.rollup import attach_child_stats
 from sparkfeat.plans import specs
@@ -89,14 +89,14 @@ SIMPLE = Variant(
 )
 
 
-def fit_vocabularies(tables: Mapping[str, DataFrame]) -> dict[str, Vocabulary]:
+def fit_vocabularies(tables: Mapping[str, DataFrame], max_values: int = MAX_VALUES) -> dict[str, Vocabulary]:
     """Category values of every table: fit once, reuse when scoring other applicants."""
-    return {name: Vocabulary.fit(df) for name, df in tables.items()}
+    return {name: Vocabulary.fit(df, max_values=max_values) for name, df in tables.items()}
 
 
 def _binary_codes(df: DataFrame) -> DataFrame:
-    codes = {c: factorize(c, first_seen_values(df, c, ENTITY_KEY)) for c in specs.BINARY_COLUMNS}
-    return df.withColumns(codes)
+    codes = first_seen_codes(df, specs.BINARY_COLUMNS, ENTITY_KEY)
+    return with_codes(df, codes, specs.BINARY_COLUMNS, unknown=-1)
 
 
 def application_train_test(

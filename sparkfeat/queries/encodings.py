@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfeat.functions.columns import sanitise_columns
-from sparkfeat.operators.categories import Vocabulary, factorize, first_seen_values, label_codes, one_hot
+from sparkfeat.operators.categories import MISSING, Vocabulary, first_seen_codes, label_codes, one_hot, with_codes
 from sparkfeat.operators.encode import FoldEncoding, frequency_encode, noise, standardise, target_encode
 from sparkfeat.operators.evaluate import kfold
 from sparkfeat.operators.formula import formula_features
@@ -21,6 +21,7 @@ from sparkfeat.queries.registry import (
     query,
     read,
 )
+from sparkfeat.sources.checkpoints import stored
 
 K = 5
 
@@ -57,7 +58,36 @@ def one_hots(spark: SparkSession, sf: str) -> DataFrame:
 )
 def label_encode(spark: SparkSession, sf: str) -> DataFrame:
     df = purchases(spark, sf)
-    return df.select("o_orderkey", label_codes(df, "priority", Vocabulary.fit(df, ["priority"])).alias("code"))
+    coded = with_codes(df, label_codes(df, ["priority"]), ["priority"], missing=MISSING)
+    return coded.select("o_orderkey", F.col("priority").alias("code"))
+
+
+@query(
+    "label_encode_many",
+    """with p as (select l_orderkey, l_linenumber, cast(l_partkey as varchar) as part from lineitem),
+    codes as (select part, cast(row_number() over (order by part) - 1 as int) as code from (select distinct part from p) d)
+    select l_orderkey, l_linenumber, code from p join codes using (part)""",
+)
+def label_encode_many(spark: SparkSession, sf: str) -> DataFrame:
+    """A text column with as many values as there are parts."""
+    df = read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"))
+    coded = with_codes(df, label_codes(df, ["part"]), ["part"], missing=MISSING)
+    return coded.select("l_orderkey", "l_linenumber", F.col("part").alias("code"))
+
+
+@query(
+    "factorize_many",
+    """with p as (select l_orderkey, l_linenumber, cast(l_partkey as varchar) as part from lineitem),
+    codes as (select part, cast(row_number() over (order by min(l_orderkey), part) - 1 as int) as code
+              from p where l_orderkey % 3 <> 0 group by part)
+    select l_orderkey, l_linenumber, coalesce(code, -1) as code from p left join codes using (part)""",
+)
+def factorize_many(spark: SparkSession, sf: str) -> DataFrame:
+    """Codes learned from two thirds of the orders; parts that are not among them are -1."""
+    df = read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"))
+    codes = first_seen_codes(df.filter("l_orderkey % 3 <> 0"), ["part"], "l_orderkey")
+    coded = with_codes(df, codes, ["part"], unknown=-1)
+    return coded.select("l_orderkey", "l_linenumber", F.col("part").alias("code"))
 
 
 @query(
@@ -78,8 +108,8 @@ def factorized(spark: SparkSession, sf: str) -> DataFrame:
         .alias("seg")
     )
     df = people(spark, sf).select("c_custkey", test.alias("test"), seg)
-    values = first_seen_values(df.filter(~F.col("test")), "seg", "c_custkey")
-    return df.select("c_custkey", factorize("seg", values).alias("code"))
+    codes = first_seen_codes(df.filter(~F.col("test")), ["seg"], "c_custkey")
+    return with_codes(df, codes, ["seg"], unknown=-1).select("c_custkey", F.col("seg").alias("code"))
 
 
 @query(
@@ -200,30 +230,41 @@ def standardised(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("l_orderkey", "l_partkey", *[F.round(c, 6).alias(c) for c in STANDARD], "fixed")
 
 
-# Our own formulas over standardised inputs, in SQL that both engines read.
+# Formulas over standardised inputs, in SQL that both engines read: each shows one kind of expression.
 FORMULAS = {
-    "i0": "num + qty * 2.0 - disc",
-    "i1": "(tax - disc) * (qty + 0.686567)",
-    "i2": "greatest(num, qty) - least(disc, tax)",
-    "i3": "case when qty > 0 then -3.0 else num end - tax",
-    "i4": "cast(num > disc as double) * qty",
-    "i5": "tanh(qty * num) + tanh(tax)",
-    "i6": "(num + qty + disc + tax) / 4.0",
-    "i7": "-1.0 * (disc * disc - tax)",
-    "i8": "case when (num + qty) / 2.0 > 0 then disc else tax * 2.0 end",
-    "i9": "least(greatest(num, 0.416667), tanh(qty)) * 2.0",
-    "i10": "cast(tanh(num) < tanh(tax) as double) - 0.5",
-    "i11": "num * qty * disc",
-    "i12": "tanh(num + tanh(qty + tanh(disc)))",
-    "i13": "greatest(num - qty, disc - tax)",
-    "i14": "case when disc > 0 then case when tax > 0 then qty else num end else 0.323944 end",
-    "i15": "(qty - 1.570796) * (qty + 1.570796)",
-    "i16": "least(num, least(qty, least(disc, tax)))",
-    "i17": "cast(qty > 0.0 as double) + cast(num > 0.0 as double)",
-    "i18": "14.8 / 2.0 * tax - disc",
-    "i19": "tanh(-1.0 * num) * tanh(-1.0 * qty)",
+    "load": "0.5 * qty + 0.25 * num",
+    "net_rate": "disc - tax",
+    "rate_by_load": "(disc + tax) / (1.5 + qty * qty)",
+    "peak": "greatest(qty, num, disc, tax)",
+    "dip": "least(qty, num, disc, tax)",
+    "spread": "greatest(qty, disc) - least(qty, disc)",
+    "is_heavy": "cast(qty > 0.8 as double)",
+    "heavy_rate": "case when qty > 0.8 then disc else tax end",
+    "steps": "cast(qty > -0.5 as double) + cast(qty > 0.5 as double) + cast(qty > 1.25 as double)",
+    "curve": "qty * qty * qty - 2.25 * qty",
+    "damped": "tanh(qty) * tanh(disc)",
+    "nested": "tanh(0.75 * num - tanh(0.2 + tax))",
+    "gated": "case when disc > tax then case when num > 0.1 then qty else 0.9 end else -0.35 end",
+    "clipped": "least(greatest(qty + tax, -0.6), 0.6)",
+    "cross": "num * tax - qty * disc",
 }
 
+#: Many formulas made by rule: two inputs, one of four shapes, constants that differ.
+WIDE_SHAPES = (
+    "{a} * {c} + {b}",
+    "greatest({a}, {b} - {c})",
+    "case when {a} > {c} then {b} else {a} * 0.5 end",
+    "tanh({a} + {c}) - {b}",
+)
+
+
+def wide_formulas(n: int = 512) -> dict[str, str]:
+    out = {}
+    for i in range(n):
+        a, b = STANDARD[i % 4], STANDARD[(i // 4 + i % 3) % 4]
+        out[f"w{i}"] = WIDE_SHAPES[(i // 16) % 4].format(a=a, b=b, c=round(0.01 + 0.0137 * i, 4))
+    return out
+
 
 @query(
     "formula_features",
@@ -236,6 +277,22 @@ def formulas(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("l_orderkey", "l_partkey", *[F.round(n, 6).alias(n) for n in FORMULAS])
 
 
+#: Values above this count; no formula gives exactly this value.
+WIDE_CUT = 0.137913
+
+
+@query(
+    "formula_wide",
+    f"""with {SQL_GAPPY}, z as ({sql_standard(None)})
+    select {", ".join(f"count(case when tanh({e}) > {WIDE_CUT} then 1 end) as {n}" for n, e in wide_formulas().items())} from z""",
+)
+def formulas_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """512 formulas, of each the rows above a cut; the frame is stored before the formulas."""
+    z = stored(standardise(gappy_lines(spark, sf), STANDARD))
+    names = wide_formulas()
+    return formula_features(z, names).agg(*[F.count_if(F.col(n) > WIDE_CUT).alias(n) for n in names])
+
+
 @query("noise")
 def noisy(spark: SparkSession, sf: str) -> DataFrame:
     df = gappy_lines(spark, sf)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from sparkfeat.learning.grids import Normal, Uniform, expand_grid, random_grid
 from sparkfeat.operators import encode, lookup
-from sparkfeat.operators.categories import factorize
 from sparkfeat.operators.encode import (
     FoldEncoding,
     Scaler,
@@ -117,10 +116,6 @@ def test_standardise(spark):
     assert Scaler.fit(df, ["a"]).stats == {"a": (2.0, 1.0)}
 
 
-def test_factorize(test):
-    assert values(test.withColumn("f", factorize("c", ["b", "a"])), "f") == {10: 1, 11: 0, 12: -1, 13: -1}
-
-
 def test_noise(spark):
     df = spark.range(100).select(F.lit(2.0).alias("x"))
     assert df.select(noise(F.col("x"), 0.0, 1).alias("n")).distinct().collect()[0]["n"] == 2.0

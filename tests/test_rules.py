@@ -28,7 +28,7 @@ from sparkfeat.functions.scalars import (
 )
 from sparkfeat.operators.aggregate import aggregate, filled_sum, subset_ratios
 from sparkfeat.operators.assemble import assemble, assemble_families, number_columns
-from sparkfeat.operators.categories import Vocabulary, category_counts, first_seen_values, label_codes, one_hot
+from sparkfeat.operators.categories import Vocabulary, category_counts, first_seen_codes, label_codes, one_hot, with_codes
 from sparkfeat.operators.impute import fill_global_mean, global_means
 
 
@@ -173,12 +173,30 @@ def test_vocabulary(spark):
     # the same columns whatever values the scored rows hold
     other = spark.createDataFrame([(9, "z")], "k int, c string")
     assert one(one_hot(other, known)) == [(9, 0, 0)]
-    assert first_seen_values(df, "c", "k") == ("b", "a")
-    assert [r[0] for r in df.select(label_codes(df, "c", known)).collect()] == [1, 2, 0, 1]
     with pytest.raises(ValueError, match="more than 1"):
         Vocabulary.fit(df, max_values=1)
 
 
+def test_code_tables(spark):
+    df = spark.createDataFrame([(1, "b", "x"), (2, None, "x"), (3, "a", None), (4, "b", None)], "k int, c string, d string")
+    table = lambda t: {(r["column"], r["value"]): r["code"] for r in t.collect()}
+    first = first_seen_codes(df, ["c", "d"], "k")
+    assert table(first) == {("c", "b"): 0, ("c", "a"): 1, ("d", "x"): 0}
+    assert one(with_codes(df, first, ["c", "d"], unknown=-1)) == [(1, 0, 0), (2, -1, 0), (3, 1, -1), (4, 0, -1)]
+    labels = label_codes(df, ["c"])
+    assert table(labels) == {("c", "a"): 0, ("c", "b"): 1, ("c", "nan"): 2}
+    assert [r["c"] for r in with_codes(df, labels, ["c"], missing="nan").orderBy("k").collect()] == [1, 2, 0, 1]
+    assert with_codes(df, first_seen_codes(df.limit(0), ["c"], "k"), ["c"], unknown=-1).filter("c <> -1").count() == 0
+
+
+def test_codes_of_very_many_values(spark):
+    df = spark.range(20_000).select("id", F.concat(F.lit("v"), F.col("id")).alias("c"))
+    coded = with_codes(df, first_seen_codes(df, ["c"], "id"), ["c"], unknown=-1)
+    assert coded.filter("id <> c").count() == 0
+    many = with_codes(df, label_codes(df, ["c"]), ["c"])
+    assert many.agg(F.countDistinct("c"), F.min("c"), F.max("c")).first()[:] == (20_000, 0, 19_999)
+
+
 def test_assemble_keeps_rows_and_refuses_clashes(spark):
     entity = spark.createDataFrame([(1, 0.0), (2, 1.0)], "k int, a double")
     child = spark.createDataFrame([(1, 5.0)], "k int, b double")

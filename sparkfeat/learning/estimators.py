@@ -41,12 +41,20 @@ WITHOUT_COUNTERPART = {
     "objective",
     "reg_alpha",
     "reg_lambda",
+    "scale_pos_weight",
     "silent",
     "subsample_freq",
     "verbose",
 }
 
 MAX_DEPTH = 30
+#: Least and greatest values of the whole-number settings.
+WHOLE = {
+    "maxIter": (1, 2**31 - 1),
+    "maxBins": (2, 2**31 - 1),
+    "minInstancesPerNode": (1, 2**31 - 1),
+    "maxDepth": (0, MAX_DEPTH),
+}
 
 
 def depth_for_leaves(leaves: int) -> int:
@@ -55,19 +63,21 @@ def depth_for_leaves(leaves: int) -> int:
 
 
 def gbt(params: Mapping[str, Any], weight: str | None = None, seed: int = 1) -> GBTClassifier:
-    """Boosted trees. ``num_leaves`` bounds the depth where ``max_depth`` leaves it open.
+    """Boosted trees.
 
+    ``num_leaves`` bounds the depth together with ``max_depth``: Spark grows level by level,
+    so the depth is the smaller of ``max_depth`` and the least depth that holds the leaves.
     Parameters without a counterpart are reported and left out; class weights come in
-    through the ``weight`` column instead of ``scale_pos_weight``.
+    through the ``weight`` column. Two names for the same setting, and values that Spark
+    cannot take, are errors.
     """
     args: dict[str, Any] = {"seed": seed, "featuresCol": "features", "labelCol": "label", "maxMemoryInMB": 1024}
     params = dict(params)
     leaves = params.pop("num_leaves", None)
-    params.pop("scale_pos_weight", None)
     if params.get("max_depth", 1) <= 0:
         params.pop("max_depth")
-    if leaves is not None and "max_depth" not in params:
-        params["max_depth"] = depth_for_leaves(int(leaves))
+    if leaves is not None:
+        params["max_depth"] = min(int(params.get("max_depth", MAX_DEPTH)), depth_for_leaves(int(leaves)))
     ignored = sorted(set(params) & WITHOUT_COUNTERPART)
     if ignored:
         warnings.warn(f"boosted trees on Spark have no counterpart for {ignored}", stacklevel=2)
@@ -77,22 +87,28 @@ def gbt(params: Mapping[str, Any], weight: str | None = None, seed: int = 1) ->
         if name not in GBT_PARAMS:
             raise ValueError(f"unknown boosted-tree parameter {name!r}")
         target = GBT_PARAMS[name]
-        if target in ("maxIter", "maxBins", "minInstancesPerNode"):
-            value = max(int(value), 2 if target == "maxBins" else 1)
-        elif target == "maxDepth":
-            value = min(int(value), MAX_DEPTH)
-        elif target == "featureSubsetStrategy":
-            value = "all" if float(value) >= 1 else str(float(value))
-        elif target == "subsamplingRate":
-            value = min(max(float(value), 1e-3), 1.0)
-        else:
-            value = float(value)
-        args[target] = value
+        if target in args:
+            raise ValueError(f"{name!r} sets {target}, which another parameter has set already")
+        args[target] = _value(name, target, value)
     if weight is not None:
         args["weightCol"] = weight
     return GBTClassifier(**args)
 
 
+def _value(name: str, target: str, value: Any) -> Any:
+    """A parameter's value as Spark takes it; whole numbers are rounded down."""
+    if target in WHOLE:
+        low, high = WHOLE[target]
+        if not low <= int(value) <= high:
+            raise ValueError(f"{name} must be from {low} to {high}, not {value}")
+        return int(value)
+    if target == "featureSubsetStrategy":
+        return "all" if float(value) >= 1 else str(float(value))
+    if target == "subsamplingRate" and not 0 < float(value) <= 1:
+        raise ValueError(f"{name} must be above 0 and at most 1, not {value}")
+    return float(value)
+
+
 def logistic(params: Mapping[str, Any], n_rows: int, weight: str | None = None) -> LogisticRegression:
     """Logistic regression with ``C`` as inverse strength of the penalty on unscaled features.
 

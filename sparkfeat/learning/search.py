@@ -7,8 +7,8 @@ from dataclasses import dataclass, field
 from functools import reduce
 from itertools import product
 from typing import Any
+from uuid import uuid4
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,16 +16,22 @@ from pyspark.sql import functions as F
 from sparkfeat.functions.columns import col
 from sparkfeat.learning.training import FoldModels, boosting_rounds, fit_all
 from sparkfeat.operators.evaluate import best_row, score_table, stratified_folds
+from sparkfeat.sources.checkpoints import ensure_checkpoint_dir, stored
 
 Params = dict[str, Any]
 Factory = Callable[[Params], Estimator]
 
 
 def with_repeated_folds(df: DataFrame, key: str, label: str, folds: int, repeats: int) -> DataFrame:
-    """Add one stratified fold column ``fold_<r>`` per repeat, with the repeat as its seed."""
+    """Add one stratified fold column ``fold_<r>`` per repeat, with the repeat as its seed.
+
+    Rows are ranked on key and label alone, and the wide rows are joined once, by their
+    unique key. Rows without a key get no fold.
+    """
+    narrow = df.select(col(key), col(label))
     for r in range(repeats):
-        df = stratified_folds(df, key, label, folds, r, f"fold_{r}")
-    return df
+        narrow = stratified_folds(narrow, key, label, folds, r, f"fold_{r}")
+    return df.join(stored(narrow).drop(label), key, "left").select(*[col(c) for c in df.columns], *[f"fold_{r}" for r in range(repeats)])
 
 
 def combinations(grid: Mapping[str, Sequence]) -> list[Params]:
@@ -48,20 +54,19 @@ class Search:
     repeats: int = 5
     parallelism: int = 2
 
-    def predictions(self, candidates: Sequence[Params], repeats: int | None = None) -> DataFrame:
-        """Out-of-fold predictions of every candidate and repeat."""
-        runs = [(i, p, r) for i, p in enumerate(candidates) for r in range(repeats or self.repeats)]
+    def predictions(self, candidate: int, params: Params, repeats: int) -> DataFrame:
+        """Out-of-fold predictions of one candidate, all repeats."""
 
-        def job(params: Params, r: int) -> Callable[[], FoldModels]:
+        def job(r: int) -> Callable[[], FoldModels]:
             return lambda: FoldModels.fit(self.matrix, self.factory(params), self.folds, f"fold_{r}", [], 1)
 
-        fitted = fit_all(self.matrix.sparkSession, [job(p, r) for _, p, r in runs], self.parallelism)
+        fitted = fit_all(self.matrix.sparkSession, [job(r) for r in range(repeats)], self.parallelism)
         parts = []
-        for (i, _, r), models in zip(runs, fitted, strict=True):
+        for r, models in enumerate(fitted):
             scored = models.out_of_fold(self.matrix, [self.key, "label"], "pred")
             parts.append(
                 scored.select(
-                    F.lit(i).alias("candidate"),
+                    F.lit(candidate).alias("candidate"),
                     F.lit(r).alias("repeat"),
                     col(f"fold_{r}").alias("fold"),
                     col(self.key),
@@ -72,29 +77,51 @@ class Search:
         return reduce(DataFrame.unionByName, parts)
 
     def score(self, candidates: Sequence[Params], repeats: int | None = None) -> Scored:
-        kept = self.predictions(candidates, repeats).persist(StorageLevel.MEMORY_AND_DISK)
-        scores = score_table(kept, self.key, "label", "candidate", "repeat", "fold", "pred")
-        table = scores.persist(StorageLevel.MEMORY_AND_DISK)
+        """Score every candidate; those that are the same model to Spark are fitted once.
+
+        One candidate is fitted at a time and its predictions go to the shared folder before
+        the next, so neither models nor plans pile up, however many candidates there are.
+        """
+        spark = self.matrix.sparkSession
+        tried = self.different(candidates)
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/search-{uuid4().hex}"
+        for i, p in tried.items():
+            self.predictions(i, p, repeats or self.repeats).write.mode("append").parquet(path)
+        kept = spark.read.parquet(path)
+        table = stored(score_table(kept, self.key, "label", "candidate", "repeat", "fold", "pred"))
         top = best_row(table, "candidate").first()["candidate"]
         best = kept.filter(F.col("candidate") == top).groupBy(col(self.key)).agg(F.avg("pred").alias("pred"))
-        best = best.persist(StorageLevel.MEMORY_AND_DISK)
-        best.count()
-        kept.unpersist()
-        return Scored(list(candidates), table, dict(candidates[top]), best)
+        return Scored(tried, table, dict(candidates[top]), best, len(candidates) - len(tried))
+
+    def different(self, candidates: Sequence[Params]) -> dict[int, Params]:
+        """Candidates by number, without those whose translated settings have occurred before."""
+        seen: set[tuple] = set()
+        out = {}
+        for i, p in enumerate(candidates):
+            made = self.factory(p)
+            settings = tuple(sorted((k.name, str(v)) for k, v in made.extractParamMap().items()))
+            if settings not in seen:
+                seen.add(settings)
+                out[i] = dict(p)
+        return out
 
 
 @dataclass(frozen=True)
 class Scored:
-    """Candidates with their score table, the best one, and its averaged predictions."""
+    """Candidates by number with their score table, the best one, and its averaged predictions.
+
+    ``repeated`` counts the candidates left out because an earlier one is the same model.
+    """
 
-    candidates: list[Params]
+    candidates: dict[int, Params]
     table: DataFrame
     best: Params
     best_predictions: DataFrame
+    repeated: int = 0
 
     def report(self) -> DataFrame:
-        """One row per candidate: its parameters as text and its scores."""
-        rows = [(i, ", ".join(f"{k}={v}" for k, v in p.items())) for i, p in enumerate(self.candidates)]
+        """One row per candidate that was fitted: its parameters as text and its scores."""
+        rows = [(i, ", ".join(f"{k}={v}" for k, v in p.items())) for i, p in self.candidates.items()]
         names = self.table.sparkSession.createDataFrame(rows, "candidate int, params string")
         return names.join(self.table, "candidate")
 

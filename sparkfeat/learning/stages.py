@@ -5,11 +5,9 @@ Penalties on leaf weights are left out, since Spark's trees have none.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
-
 from pyspark.sql import SparkSession
 
+from sparkfeat.learning.estimators import depth_for_leaves
 from sparkfeat.learning.grids import Normal, Uniform, random_grid
 from sparkfeat.learning.search import Params, Stage
 
@@ -42,10 +40,15 @@ GAINS = [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0, 1.1, 1.2, 1.3, 1
 FRACTIONS = [0.5, 0.6, 0.7, 0.8, 0.9, 1.0]
 RATES = [0.001, 0.01, 0.05, 0.1, 0.5]
 FINAL_ROUNDS = 1000
-# Ranges of the wide random search over boosted trees.
+# Lists of the random stage, and the spread of its draws around the best fractions.
+DRAWN_LISTS = {"max_depth": [8, 9, 10], "min_child_weight": [1, 2], "gamma": [1.1, 1.2, 1.3]}
+DRAWN_SPREAD = 0.02
+# Ranges of the wide random search over boosted trees. Spark has one least leaf size, so the
+# narrower of the two ranges for it is left out.
 WIDE_SPACE = {
     "max_bin": Uniform(2**3, 2**11, whole=True),
-    "min_child_samples": Uniform(10, 50, whole=True),
+    "num_leaves": Uniform(2, 2**10, whole=True),
+    "min_child_weight": Uniform(1, 60, whole=True),
     "learning_rate": Uniform(0.001, 0.5),
     "colsample_bytree": Uniform(0.2, 1),
     "max_depth": Uniform(5, 15, whole=True),
@@ -54,24 +57,38 @@ WIDE_SPACE = {
 }
 
 
+# How far, and in what steps, the fine stages look around a coarse optimum.
+FRACTION_REACH = (0.15, 0.10, 0.05)
+LEAF_REACH = (0.20, 0.20, 0.02)
+LEAF_CHILD_REACH, DEPTH_REACH, DEPTH_FINE_REACH = (1, 3), (2, 1), (1, 1)
+
+
+def grid_around(centre: float, below: float, above: float, step: float, least: float, most: float) -> list[float]:
+    """Evenly spaced values from ``centre - below`` to ``centre + above`` that lie in the range."""
+    n = round((below + above) / step)
+    values = (centre - below + i * step for i in range(n + 1))
+    return sorted({round(v, 6) for v in values if least - 1e-9 <= v <= most + 1e-9})
+
+
 def fractions_around(x: float) -> list[float]:
-    """Steps of 0.05 from 0.15 below to 0.10 above, not beyond 1."""
-    centre = round(x * 100)
-    return [c / 100 for c in range(centre - 15, centre + 15, 5) if c <= 100]
+    """Sampling fractions near ``x``."""
+    below, above, step = FRACTION_REACH
+    return grid_around(x, below, above, step, step, 1.0)
 
 
 def leaves_around(n: int) -> list[int]:
-    """From 20 percent below to 20 percent above, in steps of two percent."""
-    return list(range(int(0.8 * n), int(1.2 * n), math.ceil(0.02 * n)))
+    """Leaf counts near ``n``, as a share of it."""
+    below, above, step = (r * n for r in LEAF_REACH)
+    return sorted({round(v) for v in grid_around(n, below, above, step, 2, 10 * n)})
 
 
-def neighbours(n: int, below: int, above: int) -> list[int]:
-    return list(range(max(n - below, 1), n + above + 1))
+def neighbours(n: int, below: int, above: int, least: int = 1) -> list[int]:
+    return [int(v) for v in grid_around(n, below, above, 1, least, n + above)]
 
 
-def depths_around_leaves(leaves: int) -> list[int]:
-    depth = math.ceil(math.log2(leaves))
-    return list(range(max(2, depth - 2), depth + 2))
+def depths_for(leaves: int) -> list[int]:
+    """Depths near the least one that holds the leaves."""
+    return neighbours(depth_for_leaves(leaves), *DEPTH_REACH, least=2)
 
 
 def leafwise_stages() -> list[Stage]:
@@ -83,10 +100,10 @@ def leafwise_stages() -> list[Stage]:
             "leaves, fine",
             lambda b: {
                 "num_leaves": leaves_around(b["num_leaves"]),
-                "min_child_weight": neighbours(b["min_child_weight"], 1, 3),
+                "min_child_weight": neighbours(b["min_child_weight"], *LEAF_CHILD_REACH),
             },
         ),
-        Stage("depth", lambda b: {"max_depth": depths_around_leaves(b["num_leaves"])}),
+        Stage("depth", lambda b: {"max_depth": depths_for(b["num_leaves"])}),
         Stage("bins", lambda b: {"max_bin": BINS}),
         Stage("fractions", lambda b: {"bagging_fraction": FRACTIONS, "feature_fraction": FRACTIONS}),
         Stage(
@@ -108,8 +125,8 @@ def depthwise_stages(spark: SparkSession, draws: int = 100, seed: int = 1) -> li
         Stage(
             "depth, fine",
             lambda b: {
-                "max_depth": neighbours(b["max_depth"], 1, 1),
-                "min_child_weight": neighbours(b["min_child_weight"], 1, 1),
+                "max_depth": neighbours(b["max_depth"], *DEPTH_FINE_REACH),
+                "min_child_weight": neighbours(b["min_child_weight"], *DEPTH_FINE_REACH),
             },
         ),
         Stage("gain", lambda b: {"gamma": GAINS}),
@@ -128,13 +145,8 @@ def depthwise_stages(spark: SparkSession, draws: int = 100, seed: int = 1) -> li
 
 def random_around(spark: SparkSession, best: Params, draws: int, seed: int) -> list[Params]:
     """Random draws near the best fractions, with a few depths, child weights and gains."""
-    space = {
-        "max_depth": [8, 9, 10],
-        "min_child_weight": [1, 2],
-        "gamma": [1.1, 1.2, 1.3],
-        "subsample": Normal(best["subsample"], 0.02, low=0.0, high=1.0),
-        "colsample_bytree": Normal(best["colsample_bytree"], 0.02, low=0.0, high=1.0),
-    }
+    near = {name: Normal(best[name], DRAWN_SPREAD, low=0.01, high=1.0) for name in ("subsample", "colsample_bytree")}
+    space = {**DRAWN_LISTS, **near}
     return [{**best, **row.asDict()} for row in random_grid(spark, space, draws, seed).collect()]
 
 
@@ -145,7 +157,3 @@ def wide_random_stage(spark: SparkSession, draws: int = 1000, seed: int = 1) ->
         return [{**best, **row.asDict()} for row in random_grid(spark, WIDE_SPACE, draws, seed).collect()]
 
     return Stage("wide random", candidates=candidates)
-
-
-def grid_size(grid: dict[str, Sequence]) -> int:
-    return math.prod(len(v) for v in grid.values())

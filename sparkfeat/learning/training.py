@@ -129,31 +129,74 @@ def importances(model: Model) -> list[float]:
     return [abs(x) for x in model.coefficients.toArray()]
 
 
-def boosting_rounds(
-    matrix: DataFrame,
-    estimator: Estimator,
-    k: int,
-    fold: str,
-    patience: int = 50,
-    parallelism: int = 2,
-) -> int:
-    """Number of trees with the lowest mean held-out loss over the folds.
+@dataclass(frozen=True)
+class EarlyStop:
+    """How many boosting rounds are worth their while, and how it was found out."""
+
+    rounds: int
+    fitted: int
+    losses: tuple[float, ...]
+    models: tuple[Model, ...]
+
+
+def early_stop(
+    matrix: DataFrame, estimator: Estimator, k: int, fold: str, patience: int = 50, parallelism: int = 2
+) -> EarlyStop:
+    """The number of rounds with the lowest held-out log-loss, averaged over the folds.
 
-    Later numbers count only while the last improvement is less than ``patience`` rounds
-    away, as with early stopping.
+    Forests grow in steps: a first one of twice the patience, then twice as many trees each
+    time, until the best round lies ``patience`` rounds back or the estimator's own number
+    of rounds is reached. So no more than about twice the rounds that were needed for the
+    decision are fitted, however many were asked for. The metric is the log-loss, which
+    Spark follows round by round in one pass over the held-out rows.
     """
-    models = FoldModels.fit(matrix, estimator, k, fold, [], parallelism).models
-    losses = [m.evaluateEachIteration(matrix.filter(col(fold) == j)) for j, m in enumerate(models)]
-    means = [sum(x) / k for x in zip(*losses, strict=False)]
+    most = estimator.getMaxIter()
+    fitted = min(most, max(2 * patience, 2))
+    while True:
+        grown = estimator.copy({estimator.maxIter: fitted})
+        models = FoldModels.fit(matrix, grown, k, fold, [], parallelism).models
+        losses = [m.evaluateEachIteration(matrix.filter(col(fold) == j)) for j, m in enumerate(models)]
+        means = [sum(x) / k for x in zip(*losses, strict=True)]
+        best = _best_round(means, patience)
+        if best + patience <= fitted or fitted == most:
+            return EarlyStop(best, fitted, tuple(means), models)
+        fitted = min(most, 2 * fitted)
+
+
+def _best_round(losses: Sequence[float], patience: int) -> int:
+    """Number of the last improvement, the search ending where ``patience`` rounds bring none."""
     best = 0
-    for i, loss in enumerate(means):
-        if loss < means[best]:
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
             best = i
         elif i - best >= patience:
             break
     return best + 1
 
 
+def boosting_rounds(
+    matrix: DataFrame, estimator: Estimator, k: int, fold: str, patience: int = 50, parallelism: int = 2
+) -> int:
+    """Number of trees with the lowest mean held-out loss over the folds, found by ``early_stop``."""
+    return early_stop(matrix, estimator, k, fold, patience, parallelism).rounds
+
+
+def fit_folds_early(
+    matrix: DataFrame,
+    estimator: Estimator,
+    k: int,
+    fold: str,
+    names: Sequence[str],
+    patience: int = 100,
+    parallelism: int = 2,
+) -> FoldModels:
+    """Fold models at the best number of rounds; fitted anew only if more trees were grown than that."""
+    stop = early_stop(matrix, estimator, k, fold, patience, parallelism)
+    if stop.rounds == stop.fitted:
+        return FoldModels(stop.models, tuple(names), fold)
+    return FoldModels.fit(matrix, estimator.copy({estimator.maxIter: stop.rounds}), k, fold, names, parallelism)
+
+
 def refit_score(
     estimator: Estimator, train: DataFrame, test: DataFrame, key: str, name: str
 ) -> DataFrame:

@@ -2,9 +2,12 @@
 
 A spec is ``{input: [functions]}``. All functions of all inputs, and all row
 subsets, become expressions of a single ``groupBy``, so a table is scanned and
-shuffled once per key whatever the number of features. Every function but
-``median`` keeps a small fixed state, so rows combine before the shuffle and one
-heavy key costs no more than the others.
+shuffled once per key whatever the number of features. Sums, means, deviations,
+minima, maxima and counts keep a small fixed state, so rows combine before the
+shuffle and one heavy key costs no more than the others. Medians are made in a
+pass of their own, and ``nunique`` makes Spark shuffle the distinct values (with
+several conditional ones it first multiplies the rows): for such specs collapse
+the rows to key and value before.
 """
 
 from __future__ import annotations
@@ -104,13 +107,13 @@ def aggregate(
     exprs += list(extra)
     present = df.filter(reduce(lambda a, b: a & b, [col(k).isNotNull() for k in keys]))
     out = present.groupBy(*[col(k) for k in keys]).agg(*exprs)
-    for column, funcs in spec.items():
-        if "median" in funcs:
-            from sparkfeat.operators.ranks import group_median
+    medians = {
+        name(c, "median"): inputs[c] if inputs and c in inputs else col(c) for c, funcs in spec.items() if "median" in funcs
+    }
+    if medians:
+        from sparkfeat.operators.ranks import group_medians
 
-            x = inputs[column] if inputs and column in inputs else col(column)
-            med = group_median(present.withColumn("__v", x), keys, "__v", name(column, "median"))
-            out = out.join(med, keys, "left")
+        out = out.join(group_medians(present, keys, medians), keys, "left")
     return out
 
 

@@ -26,6 +26,9 @@ def global_means(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
 
 
 def fill_global_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace missing values by the mean of the column over the whole table."""
+    """Replace missing values by the mean of the column over the whole table.
+
+    The frame is read for the means and again for the rows: hand in a table or a stored frame.
+    """
     means = global_means(df, columns)
     return df.withColumns({c: F.coalesce(col(c).cast("double"), means[c]) for c in columns})

@@ -9,12 +9,13 @@ bucket starts.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkfeat.functions.columns import col
+from sparkfeat.sources.checkpoints import stored
 
 BUCKETS = 128
 STRIDE = 12
@@ -51,19 +52,43 @@ def with_quantile_bucket(
     )
 
 
-def group_median(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """Exact median per key, skipping missing values; a group without values has no row."""
+def bucket_count(df: DataFrame) -> int:
+    """Buckets of a group: at least ``BUCKETS``, more where the session shuffles more widely."""
+    return max(BUCKETS, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def group_medians(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
+    """Exact medians per key, skipping missing values; a key without any value has no row.
+
+    All columns go through one pass in long form. Rows collapse to distinct values, which
+    are stored and then cut into buckets by each column's own quantiles.
+    """
     keys = list(keys)
     by = [col(k) for k in keys]
-    rows = df.filter(by[0].isNotNull()).select(*by, col(value).cast("double").alias("v"))
-    distinct = rows.filter("v is not null").groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n"))
-    cells = with_quantile_bucket(rows, distinct, "v", "b")
-
-    order = Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
-    totals = cells.groupBy(*keys, "b").agg(F.sum("n").alias("in_bucket"))
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), v.cast("double").alias("v")) for i, v in enumerate(values.values())])
+    long = df.filter(by[0].isNotNull()).select(*by, F.explode(cells).alias("cell")).select(*by, "cell.c", "cell.v")
+    distinct = stored(long.filter("v is not null").groupBy(*keys, "c", "v").agg(F.count(F.lit(1)).alias("n")))
+    buckets = bucket_count(df)
+    points = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    bounds = distinct.groupBy("c").agg(F.array_distinct(F.percentile_approx("v", points, 20 * buckets)).alias("bounds"))
+    # a search by halves: the bounds are sorted
+    place = F.aggregate(
+        F.sequence(F.lit(1), F.lit(buckets.bit_length())),
+        F.struct(F.lit(0).alias("lo"), F.size("bounds").alias("hi")),
+        lambda s, _: F.when(s["lo"] >= s["hi"], s)
+        .when(
+            F.get("bounds", F.floor((s["lo"] + s["hi"]) / 2).cast("int")) < F.col("v"),
+            F.struct((F.floor((s["lo"] + s["hi"]) / 2) + 1).cast("int").alias("lo"), s["hi"].alias("hi")),
+        )
+        .otherwise(F.struct(s["lo"].alias("lo"), F.floor((s["lo"] + s["hi"]) / 2).cast("int").alias("hi"))),
+    )
+    cells = distinct.join(F.broadcast(bounds), "c").withColumn("b", place["lo"]).drop("bounds")
+    group = [*keys, "c"]
+    order = Window.partitionBy(*group).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group)
+    totals = cells.groupBy(*group, "b").agg(F.sum("n").alias("in_bucket"))
     placed = totals.select(
-        *keys,
+        *group,
         "b",
         "in_bucket",
         F.coalesce(F.sum("in_bucket").over(order), F.lit(0)).alias("before"),
@@ -71,18 +96,21 @@ def group_median(df: DataFrame, keys: Sequence[str], value: str, out: str) -> Da
     )
     # 1-based ranks of the two middle rows; they are equal when the count is odd
     low, high = F.expr("(`all` + 1) div 2"), F.expr("`all` div 2 + 1")
-    middle = placed.withColumns({"low": low, "high": high}).filter(
-        "before < high and before + in_bucket >= low"
-    )
-
-    inside = Window.partitionBy(*keys, "b").orderBy("v")
+    middle = placed.withColumns({"low": low, "high": high}).filter("before < high and before + in_bucket >= low")
+    inside = Window.partitionBy(*group, "b").orderBy("v")
     ranked = (
-        cells.join(middle.select(*keys, "b", "before", "low", "high"), [*keys, "b"])
+        cells.join(middle.select(*group, "b", "before", "low", "high"), [*group, "b"])
         .withColumn("upto", F.col("before") + F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("below", F.col("upto") - F.col("n"))
         .filter("(below < low and low <= upto) or (below < high and high <= upto)")
     )
-    return ranked.groupBy(*keys).agg(((F.min("v") + F.max("v")) / 2).alias(out))
+    medians = ranked.groupBy(*group).agg(((F.min("v") + F.max("v")) / 2).alias("m"))
+    return medians.groupBy(*keys).agg(*[F.max(F.when(F.col("c") == i, F.col("m"))).alias(n) for i, n in enumerate(values)])
+
+
+def group_median(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+    """Exact median of one column per key, skipping missing values; a group without values has no row."""
+    return group_medians(df, keys, {out: col(value)})
 
 
 def fold_hash(key: str, seed: int) -> Column:
@@ -103,7 +131,7 @@ def stratified_rank(df: DataFrame, key: str, label: str, seed: int, rank: str, s
     without a label gets no position.
     """
     hashed = df.withColumn("__h", fold_hash(key, seed))
-    width = HASH_SPACE // BUCKETS + 1
+    width = HASH_SPACE // bucket_count(df) + 1
     rows = hashed.withColumn("__b", F.expr(f"__h div {width}"))
     sizes = rows.groupBy(col(label), "__b").agg(F.count(F.lit(1)).alias("__n"))
     order = Window.partitionBy(col(label)).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sparkfeat.functions.columns import col
 from sparkfeat.operators.aggregate import Spec, aggregate
 from sparkfeat.operators.impute import fill_global_mean
+from sparkfeat.sources.checkpoints import stored
 
 
 def attach_child_stats(
@@ -31,7 +32,8 @@ def weighted_rollup(
 
     Equals joining the statistics to every row and averaging, but rows are counted per
     (key, child) first, so the join sees children and not rows. Missing statistics are
-    skipped; with ``fill`` a key left without any gets the mean over keys.
+    skipped; with ``fill`` a key left without any gets the mean over keys (the result is
+    stored for it, so that what is above is not run twice).
     """
     present = rows.filter(col(key).isNotNull())
     weights = present.groupBy(col(key), col(child_key)).agg(F.count(F.lit(1)).cast("double").alias("__w"))
@@ -40,4 +42,4 @@ def weighted_rollup(
         c: F.try_divide(F.sum(F.col("__w") * col(c)), F.sum(F.when(col(c).isNotNull(), F.col("__w")))) for c in columns
     }
     out = joined.groupBy(col(key)).agg(*[e.alias(c) for c, e in means.items()])
-    return fill_global_mean(out, list(columns)) if fill else out
+    return fill_global_mean(stored(out), list(columns)) if fill else out

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sparkfeat.functions.columns import col
 from sparkfeat.functions.scalars import ratio
 from sparkfeat.operators.impute import global_values
+from sparkfeat.sources.checkpoints import stored
 
 BLOCK = 65_536
 
@@ -18,7 +19,9 @@ def gap_summary(df: DataFrame, key: str, value: str) -> DataFrame:
     ``value`` is a whole number such as a day or an instalment number. Rows collapse to
     one per (key, value) before the sort, since equal values are a gap of 0. Sorting runs
     per block of ``BLOCK`` consecutive values, so no task sorts more than that for one
-    key; the gaps between blocks are added from the blocks' first and last values.
+    key; the gaps between blocks are added from the blocks' first and last values. Values
+    are expected to lie close together, as days and numbers do: were every one in a block
+    of its own, the second sort would see a key's distinct values at once.
     """
     values = (
         df.filter(col(key).isNotNull())
@@ -56,28 +59,24 @@ def gap_summary(df: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
-def global_mean_gap(df: DataFrame, key: str, value: str) -> Column:
-    """Mean of all gaps of all keys. Gaps of a key add up to its range, so nothing is sorted."""
-    spans = (
-        df.filter(col(key).isNotNull())
-        .groupBy(col(key))
-        .agg((F.max(col(value)) - F.min(col(value))).alias("span"), F.count(col(value)).alias("n"))
-        .filter("n > 0")
-    )
-    return global_values(spans, {"mean": ratio(F.sum("span"), F.sum(F.col("n") - 1))})["mean"]
+def mean_gap(summary: DataFrame) -> Column:
+    """Mean of all gaps of all keys, from the keys' summaries."""
+    return global_values(summary, {"mean": ratio(F.sum("gap_sum"), F.sum("gaps"))})["mean"]
 
 
 def gap_std(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """Sample deviation of the gaps per key; rows without a predecessor count as a mean gap."""
+    """Sample deviation of the gaps per key; rows without a predecessor count as a mean gap.
+
+    The summaries are stored, so ``df`` is read once for them and their mean.
+    """
     mean = F.col("mean_gap")
     n = F.col("rows").cast("double")
     shift = F.col("gap_sum") - F.col("gaps") * mean
     squares = F.col("gap_squares") - 2 * mean * F.col("gap_sum") + F.col("gaps") * mean * mean
     variance = F.greatest((squares - shift * shift / n) / (n - 1), F.lit(0.0))
-    return (
-        gap_summary(df, key, value)
-        .withColumn("mean_gap", global_mean_gap(df, key, value))
-        .select(col(key), F.when(n > 1, F.sqrt(variance)).alias(out))
+    summary = stored(gap_summary(df, key, value))
+    return summary.withColumn("mean_gap", mean_gap(summary)).select(
+        col(key), F.when(n > 1, F.sqrt(variance)).alias(out)
     )
 
 
@@ -85,14 +84,11 @@ def gap_mean_max(df: DataFrame, key: str, value: str, mean_out: str, max_out: st
     """Mean and maximum gap per key; rows without a predecessor count as the truncated mean gap."""
     fill = F.col("fill")
     filled = F.col("rows") - F.col("gaps")
-    return (
-        gap_summary(df, key, value)
-        .withColumn("fill", global_mean_gap(df, key, value).cast("bigint"))
-        .select(
-            col(key),
-            ratio(F.col("gap_sum") + filled * fill, F.col("rows")).alias(mean_out),
-            F.greatest(F.col("gap_max").cast("bigint"), F.when(filled > 0, fill)).alias(max_out),
-        )
+    summary = stored(gap_summary(df, key, value))
+    return summary.withColumn("fill", mean_gap(summary).cast("bigint")).select(
+        col(key),
+        ratio(F.col("gap_sum") + filled * fill, F.col("rows")).alias(mean_out),
+        F.greatest(F.col("gap_max").cast("bigint"), F.when(filled > 0, fill)).alias(max_out),
     )
 
 

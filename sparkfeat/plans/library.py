@@ -41,6 +41,7 @@ from sparkfeat.operators.ranks import group_median
 from sparkfeat.operators.rollup import weighted_rollup
 from sparkfeat.operators.sequence import gap_mean_max, gap_std
 from sparkfeat.plans import specs
+from sparkfeat.sources.checkpoints import stored
 from sparkfeat.sources.schemas import BUREAU_KEY, ENTITY_KEY, LABEL, LOAN_KEY
 
 Tables = Mapping[str, DataFrame]
@@ -317,7 +318,7 @@ def gen_prev_installment_feature(installments: DataFrame) -> DataFrame:
             F.avg(col("AMT_INSTALMENT") - col("AMT_PAYMENT")).alias("MEAN_OF_INSUFFICIENT_PAYMENT"),
         )
     )
-    filled = fill_global_mean(means, ["MEAN_OF_LATE_INSTALLMENT", "MEAN_OF_INSUFFICIENT_PAYMENT"])
+    filled = fill_global_mean(stored(means), ["MEAN_OF_LATE_INSTALLMENT", "MEAN_OF_INSUFFICIENT_PAYMENT"])
     order = gap_std(installments, LOAN_KEY, "NUM_INSTALMENT_NUMBER", "STD_OF_INSTALLMENT_SEQ")
     names = ["STD_OF_INSTALLMENT_SEQ", "MEAN_OF_LATE_INSTALLMENT", "MEAN_OF_INSUFFICIENT_PAYMENT"]
     return weighted_rollup(installments, LOAN_KEY, ENTITY_KEY, filled.join(order, LOAN_KEY, "left"), names)

@@ -20,8 +20,9 @@ from sparkfeat.learning.search import (
 )
 from sparkfeat.learning.training import (
     FeatureVectors,
-    FoldModels,
+    class_weights,
     feature_names,
+    fit_folds_early,
     keep_matrix,
     positive_probability,
 )
@@ -29,6 +30,7 @@ from sparkfeat.operators.assemble import number_columns
 from sparkfeat.operators.evaluate import kfold, roc_auc, stratified_folds, stratified_split
 from sparkfeat.plans.formulas import formula_matrix
 from sparkfeat.plans.selected import SELECTED, Variant, wide_matrix
+from sparkfeat.sources.checkpoints import ensure_checkpoint_dir
 from sparkfeat.sources.schemas import ENTITY_KEY, LABEL
 from sparkfeat.sources.sinks import timestamped, write_importance, write_matrix, write_predictions
 from sparkfeat.sources.tables import split_labelled
@@ -67,6 +69,8 @@ FORMULA_TREES = {
 FOLD_SEED = 1001
 FORMULA_FOLD_SEED = 42
 HOLD_OUT_SHARE = 0.33
+# Fixed value: rounds without improvement after which training stops.
+PATIENCE = 100
 
 
 @dataclass(frozen=True)
@@ -89,8 +93,16 @@ def cross_validate(
     features: Sequence[str] | None = None,
     seed: int = FOLD_SEED,
     parallelism: int = 2,
+    patience: int = PATIENCE,
+    balanced: bool = False,
 ) -> CrossValidated:
-    """Train on ``k - 1`` folds, predict the held-out fold, and average the models on test rows."""
+    """Train on ``k - 1`` folds, predict the held-out fold, and average the models on test rows.
+
+    The number of trees in ``params`` is the most that may be grown: training stops where the
+    held-out loss has not improved for ``patience`` rounds, and predicts at the best round.
+    With ``balanced`` both classes weigh the same in total.
+    """
+    ensure_checkpoint_dir(matrix.sparkSession)
     names = list(features) if features is not None else feature_names(matrix)
     train, test = split_labelled(matrix, LABEL)
     vectors = FeatureVectors.fit(train, names)
@@ -99,8 +111,9 @@ def cross_validate(
         rows = stratified_folds(rows, ENTITY_KEY, "label", k, seed)
     else:
         rows = rows.withColumn("fold", kfold(ENTITY_KEY, k, seed))
-    rows = keep_matrix(rows)
-    models = FoldModels.fit(rows, gbt(params), k, "fold", vectors.names, parallelism)
+    rows = keep_matrix(class_weights(rows, "label") if balanced else rows)
+    trees = gbt(params, weight="weight" if balanced else None)
+    models = fit_folds_early(rows, trees, k, "fold", vectors.names, patience, parallelism)
     own = keep_matrix(models.out_of_fold(rows, [ENTITY_KEY, "label"]))
     return CrossValidated(
         out_of_fold=own,

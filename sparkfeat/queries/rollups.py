@@ -21,6 +21,7 @@ from sparkfeat.queries.registry import (
     query,
     read,
 )
+from sparkfeat.sources.checkpoints import stored
 
 
 @query(
@@ -111,7 +112,7 @@ def weighted(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("l_linenumber") != 7, shipped - F.col("ordered")).alias("late"),
     )
     means = rows.groupBy("l_orderkey").agg(F.avg("late").alias("late_mean"), F.avg("short").alias("short_mean"))
-    stats = fill_global_mean(means, ["late_mean", "short_mean"]).join(
+    stats = fill_global_mean(stored(means), ["late_mean", "short_mean"]).join(
         gap_std(lines(spark, sf), "l_orderkey", "l_linenumber", "seq_std"), "l_orderkey", "left"
     )
     digits = {"seq_std": 7, "late_mean": 7, "short_mean": 8}

@@ -14,10 +14,9 @@ from sparkfeat.learning.search import Search, Stage, combinations, staged_search
 from sparkfeat.learning.stages import (
     DEPTHWISE_START,
     LEAFWISE_START,
-    depths_around_leaves,
+    depths_for,
     depthwise_stages,
     fractions_around,
-    grid_size,
     leafwise_stages,
     leaves_around,
     neighbours,
@@ -26,9 +25,12 @@ from sparkfeat.learning.stages import (
 from sparkfeat.learning.training import (
     FeatureVectors,
     FoldModels,
+    _best_round,
     boosting_rounds,
     class_weights,
+    early_stop,
     feature_names,
+    fit_folds_early,
     refit_score,
 )
 from sparkfeat.operators.evaluate import roc_auc, score_table
@@ -64,13 +66,25 @@ def test_vectors_fill_and_flag(spark):
 def test_parameter_names():
     model = gbt({"learning_rate": 0.2, "num_boost_round": 7.0, "num_leaves": 31, "max_depth": -1, "max_bin": 64})
     assert (model.getStepSize(), model.getMaxIter(), model.getMaxDepth(), model.getMaxBins()) == (0.2, 7, 5, 64)
-    model = gbt({"feature_fraction": 0.8, "subsample": 1.2, "min_child_weight": 39.3, "gamma": 0.1, "max_depth": 4})
+    model = gbt({"feature_fraction": 0.8, "subsample": 1.0, "min_child_weight": 39.3, "gamma": 0.1, "max_depth": 4})
     assert model.getFeatureSubsetStrategy() == "0.8" and model.getSubsamplingRate() == 1.0
     assert model.getMinInstancesPerNode() == 39 and model.getMinInfoGain() == 0.1
     with warnings.catch_warnings(record=True) as caught:
         warnings.simplefilter("always")
-        gbt({"lambda_l1": 1})
-    assert "lambda_l1" in str(caught[0].message)
+        gbt({"lambda_l1": 1, "scale_pos_weight": 3})
+    assert "lambda_l1" in str(caught[0].message) and "scale_pos_weight" in str(caught[0].message)
+    for wrong in (
+        {"max_depth": 50},
+        {"subsample": 1.2},
+        {"max_bin": 1},
+        {"n_estimators": 0},
+        {"min_child_weight": 2, "min_child_samples": 3},
+    ):
+        with pytest.raises(ValueError):
+            gbt(wrong)
+    assert gbt({"num_leaves": 34, "max_depth": 8}).getMaxDepth() == 6
+    assert gbt({"num_leaves": 34, "max_depth": 3}).getMaxDepth() == 3
+    assert gbt({"n_estimators": 3}, weight="w").getWeightCol() == "w"
     with pytest.raises(ValueError, match="unknown boosted-tree parameter"):
         gbt({"leraning_rate": 0.1})
     line = logistic({"C": 2.0, "penalty": "l1"}, n_rows=50)
@@ -98,6 +112,22 @@ def test_boosting_rounds(matrix):
     assert 1 <= best <= 6
 
 
+def test_training_stops_early(matrix):
+    """A thousand rounds are asked for; far fewer are grown, and the best lies before the last."""
+    trees = gbt({"n_estimators": 1000, "max_depth": 4, "learning_rate": 0.5})
+    stop = early_stop(matrix, trees, 2, "fold_0", patience=3)
+    assert stop.rounds < stop.fitted <= 48 and len(stop.losses) == stop.fitted
+    assert stop.losses[stop.rounds - 1] == min(stop.losses[: stop.rounds + 3])
+    models = fit_folds_early(matrix, trees, 2, "fold_0", ["a", "b", "b__missing"], patience=3)
+    assert [m.getNumTrees for m in models.models] == [stop.rounds] * 2
+
+
+def test_best_round_waits_for_patience():
+    assert _best_round([5, 4, 3, 4, 4, 1], 2) == 3
+    assert _best_round([5, 4, 3, 4, 4, 1], 3) == 6
+    assert _best_round([1.0], 5) == 1
+
+
 def test_refit_score(rows, matrix):
     out = refit_score(logistic({"C": 1.0}, N), matrix, matrix, "id", "logistic_regression")
     assert out.columns == ["id", "pred_logistic_regression"]
@@ -133,9 +163,9 @@ def test_staged_search(matrix):
     ]
     results = staged_search(work, stages, {"C": 0.5, "max_iter": 5})
     assert [r.name for r in results] == ["strength", "drawn"]
-    assert results[0].scored.candidates == [{"C": 1e-6, "max_iter": 5}, {"C": 1.0, "max_iter": 5}]
+    assert results[0].scored.candidates == {0: {"C": 1e-6, "max_iter": 5}, 1: {"C": 1.0, "max_iter": 5}}
     best = results[0].scored.best
-    assert all(p["C"] == best["C"] for p in results[1].scored.candidates)
+    assert all(p["C"] == best["C"] for p in results[1].scored.candidates.values())
     predictions = results[1].scored.best_predictions
     assert predictions.count() == N
     report = results[1].scored.report()
@@ -143,6 +173,14 @@ def test_staged_search(matrix):
     assert {"candidate", "params", "Score", "Score_Std", "Score_Weighted"} == set(report.columns)
 
 
+def test_equal_models_are_fitted_once(matrix):
+    work = Search(matrix, "id", lambda p: gbt({"n_estimators": 2, **p}), folds=2, repeats=1)
+    many = [{"num_leaves": n, "min_child_weight": w} for n in range(17, 33) for w in range(1, 8)]
+    assert len(many) > 100 and len(work.different(many)) == 7
+    scored = work.score(many[:9])
+    assert scored.repeated == 2 and scored.report().count() == 7 and scored.best_predictions.count() == N
+
+
 def test_search_finds_rounds(matrix):
     work = Search(matrix, "id", lambda p: gbt({**p, "max_depth": 2}), folds=2, repeats=1)
     (result,) = staged_search(work, [Stage("rounds", rounds="n_estimators")], {"n_estimators": 3})
@@ -153,10 +191,10 @@ def test_stages(spark):
     assert combinations({"a": [1, 2], "b": [3]}) == [{"a": 1, "b": 3}, {"a": 2, "b": 3}]
     assert fractions_around(0.9) == [0.75, 0.8, 0.85, 0.9, 0.95, 1.0]
     assert fractions_around(1.0) == [0.85, 0.9, 0.95, 1.0]
-    assert leaves_around(32)[:3] == [25, 26, 27] and neighbours(1, 1, 3) == [1, 2, 3, 4]
-    assert depths_around_leaves(32) == [3, 4, 5, 6]
+    assert leaves_around(32)[:3] == [26, 27, 28] and leaves_around(32)[-1] == 38 and neighbours(1, 1, 3) == [1, 2, 3, 4]
+    assert depths_for(32) == [3, 4, 5, 6]
     best = {**LEAFWISE_START}
-    sizes = [grid_size(s.grid(best)) for s in leafwise_stages()]
+    sizes = [len(combinations(s.grid(best))) for s in leafwise_stages()]
     assert sizes[1] == 28 and sizes[4] == 8 and sizes[5] == 36
     stages = depthwise_stages(spark, draws=5)
     drawn = next(s for s in stages if s.candidates).candidates(dict(DEPTHWISE_START))

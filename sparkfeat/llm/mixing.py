@@ -14,6 +14,8 @@ from sparkfeat.llm.common import WORD, col, free_name, unit_hash
 #: Category of values without a target of their own, and of missing ones.
 OTHER = "other"
 SWEEPS = 50
+#: Share of all tokens that a sample holds.
+KEEP = 0.5
 SEED = "mix"
 
 
@@ -35,13 +37,13 @@ def token_count(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class Mix:
-    """Raked factors of each category of each dimension, and the scale that makes probabilities of them."""
+    """Raked factors of each category of each dimension, and the share of all tokens to keep."""
 
     factors: Mapping[str, Mapping[str, float]]
-    scale: float
+    keep: float
 
     def probability(self, categories: Mapping[str, Column]) -> Column:
-        p = F.lit(self.scale)
+        p = F.lit(self.keep)
         for dim, values in self.factors.items():
             items = [F.lit(x) for pair in values.items() for x in pair]
             p = p * F.coalesce(F.element_at(F.create_map(*items), categories[dim]), F.lit(0.0))
@@ -62,23 +64,25 @@ def full_shares(shares: Mapping[str, float]) -> dict[str, float]:
     return {**named, OTHER: max(0.0, 1.0 - sum(named.values()))}
 
 
-def rake(weights: np.ndarray, targets: list[np.ndarray], sweeps: int = SWEEPS) -> list[np.ndarray]:
-    """Factors per dimension by which the cells' marginals get the target shares.
+def rake(weights: np.ndarray, targets: list[np.ndarray], keep: float, sweeps: int = SWEEPS) -> list[np.ndarray]:
+    """Factors per dimension; a cell's probability is ``keep`` times its factors, 1 at most.
 
-    Categories without any weight can't be raised: their target is shared out among the
-    others. Each sweep fits one dimension after the other.
+    Each sweep fits one dimension after the other, so that the expected tokens of every
+    category come to its share of ``keep`` times all tokens. A category that holds fewer
+    tokens than that is asked for all it has, and a category without any leaves its share to
+    the others.
     """
-    total = weights.sum()
+    wanted = keep * weights.sum()
     factors = [np.ones(n) for n in weights.shape]
-    if total == 0:
-        return factors
-    for _ in range(sweeps):
+    for _ in range(sweeps if wanted > 0 else 0):
         for d, target in enumerate(targets):
-            cells = weights * _outer(factors)
-            now = cells.sum(axis=tuple(k for k in range(weights.ndim) if k != d))
-            reach = np.where(now > 0, target, 0.0)
+            rest = tuple(k for k in range(weights.ndim) if k != d)
+            held = weights.sum(axis=rest)
+            reach = np.where(held > 0, target, 0.0)
             share = reach / reach.sum() if reach.sum() > 0 else reach
-            factors[d] = factors[d] * np.divide(share * total, now, out=np.zeros_like(now), where=now > 0)
+            now = (weights * np.minimum(1.0, keep * _outer(factors))).sum(axis=rest)
+            goal = np.minimum(share * wanted, held)
+            factors[d] = factors[d] * np.divide(goal, now, out=np.zeros_like(now), where=now > 0)
     return factors
 
 
@@ -89,7 +93,7 @@ def _outer(factors: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def fit_mix(cells: DataFrame, targets: Mapping[str, Mapping[str, float]], weight: str) -> Mix:
+def fit_mix(cells: DataFrame, targets: Mapping[str, Mapping[str, float]], weight: str, keep: float) -> Mix:
     """Fit the factors to the token weights of ``cells``, one column of categories per dimension.
 
     Every value without a target is in ``other``, so there are no more cells than the product
@@ -100,17 +104,15 @@ def fit_mix(cells: DataFrame, targets: Mapping[str, Mapping[str, float]], weight
     weights = np.zeros([len(s) for s in shares.values()])
     for row in cells.groupBy(*[col(d) for d in shares]).agg(F.sum(col(weight)).alias("__w")).collect():
         weights[tuple(places[d][row[d]] for d in shares)] += row["__w"] or 0
-    factors = rake(weights, [np.array(list(s.values())) for s in shares.values()])
-    grid = _outer(factors)
-    most = grid[weights > 0].max() if (weights > 0).any() else 0.0
-    named = {d: dict(zip(s, f.tolist())) for (d, s), f in zip(shares.items(), factors)}
-    return Mix(named, 1.0 / most if most > 0 else 0.0)
+    factors = rake(weights, [np.array(list(s.values())) for s in shares.values()], keep)
+    return Mix({d: dict(zip(s, f.tolist())) for (d, s), f in zip(shares.items(), factors)}, keep if weights.any() else 0.0)
 
 
 def mix_sources(
     docs: DataFrame,
     targets: Mapping[str, Mapping[str, float]],
     dimensions: Mapping[str, Column],
+    keep: float = KEEP,
     id_col: str = "doc_id",
     text_col: str = "text",
     out: str = "mix",
@@ -132,10 +134,12 @@ def mix_sources(
     """
     if free_name(docs, out) != out:
         raise ValueError(f"the documents already have a column {out!r}")
+    if not 0 < keep <= 1:
+        raise ValueError("the share to keep is above 0 and at most 1")
     shares = {d: full_shares(t) for d, t in targets.items()}
     categories = {d: category(dimensions[d], shares[d]) for d in shares}
     tokens = token_count(col(text_col))
-    mix = fit_mix(docs.select(*[c.alias(d) for d, c in categories.items()], tokens.alias("__tokens")), targets, "__tokens")
+    mix = fit_mix(docs.select(*[c.alias(d) for d, c in categories.items()], tokens.alias("__tokens")), targets, "__tokens", keep)
     draw = unit_hash([col(id_col), col(text_col)], seed)
     p = mix.probability(categories)
     return docs.select(

@@ -12,7 +12,7 @@ from sparkfeat.llm.chat import format_windows, read_windows
 from sparkfeat.llm.common import fresh_path
 from sparkfeat.llm.langid import train_languages
 from sparkfeat.llm.license_scan import TEMPLATES, scan_licenses
-from sparkfeat.llm.mixing import mix_sources, topic_of
+from sparkfeat.llm.mixing import KEEP, mix_sources, topic_of
 from sparkfeat.llm.outliers import quality_rules
 from sparkfeat.llm.quality import QualityModel, train_quality
 from sparkfeat.llm.sharding import assign_shards
@@ -119,20 +119,24 @@ reach as (
   select dim, value, share / sum(share) over (partition by dim) as share
   from shares
   where (dim, value) in (select ('source', s) from cells union select ('lang', l) from cells union select ('topic', c) from cells)),
+total as (select {KEEP} * cast(sum(w) as double) as wanted from cells),
 fit as (
-  select 0 as k, s, l, c, cast(w as double) as w, cast(1 as double) as f, rs.share as ps, rl.share as pl, rc.share as pc, sum(w) over () as total
-  from cells
+  select 0 as k, s, l, c, cast(w as double) as w, cast(1 as double) as f,
+         least(rs.share * wanted, sum(w) over (partition by s)) as gs,
+         least(rl.share * wanted, sum(w) over (partition by l)) as gl,
+         least(rc.share * wanted, sum(w) over (partition by c)) as gc
+  from cells cross join total
   join reach rs on rs.dim = 'source' and rs.value = s
   join reach rl on rl.dim = 'lang' and rl.value = l
   join reach rc on rc.dim = 'topic' and rc.value = c
   union all
   select k + 1, s, l, c, w,
-         f * case k % 3 when 0 then ps * total / sum(w * f) over (partition by s)
-                        when 1 then pl * total / sum(w * f) over (partition by l)
-                        else pc * total / sum(w * f) over (partition by c) end,
-         ps, pl, pc, total
+         f * case k % 3 when 0 then gs / sum(w * least(1.0, {KEEP} * f)) over (partition by s)
+                        when 1 then gl / sum(w * least(1.0, {KEEP} * f)) over (partition by l)
+                        else gc / sum(w * least(1.0, {KEEP} * f)) over (partition by c) end,
+         gs, gl, gc
   from fit where k < 150),
-last as (select s, l, c, f / max(f) over () as p from fit where k = 150)
+last as (select s, l, c, least(1.0, {KEEP} * f) as p from fit where k = 150)
 select doc_id, topic, n_tokens, round(coalesce(p, 0.0), 6) as probability, draw < coalesce(p, 0.0) as kept
 from d left join last using (s, l, c)"""
 

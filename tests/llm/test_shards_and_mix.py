@@ -69,18 +69,30 @@ def test_shards_of_awkward_rows(awkward, none):
         assign_shards(awkward, 0)
 
 
+def raked(weights, targets, keep, sweeps):
+    a, b, c = rake(weights, targets, keep, sweeps)
+    return np.minimum(1, keep * a[:, None, None] * b[None, :, None] * c[None, None, :])
+
+
 def test_raking_meets_all_marginals():
     rng = np.random.default_rng(1)
-    weights = rng.pareto(1, (4, 3, 5)) + 0.1
+    weights = rng.uniform(1, 3, (4, 3, 5))
     weights[3, :, :] = 0
-    targets = [np.array([0.5, 0.2, 0.1, 0.2]), np.array([0.2, 0.3, 0.5]), np.full(5, 0.2)]
-    a, b, c = rake(weights, targets, 200)
-    fitted = weights * a[:, None, None] * b[None, :, None] * c[None, None, :]
+    targets = [np.array([0.3, 0.26, 0.24, 0.2]), np.array([0.3, 0.3, 0.4]), np.full(5, 0.2)]
+    fitted = weights * raked(weights, targets, 0.3, 200)
+    assert fitted.sum() == pytest.approx(0.3 * weights.sum())
     share = fitted / fitted.sum()
-    assert np.allclose(share.sum((1, 2)), np.array([0.5, 0.2, 0.1, 0]) / 0.8)  # what has no weight is shared out
+    assert np.allclose(share.sum((1, 2)), np.array([0.3, 0.26, 0.24, 0]) / 0.8)  # what has no weight is shared out
     assert np.allclose(share.sum((0, 2)), targets[1]) and np.allclose(share.sum((0, 1)), targets[2])
 
 
+def test_a_rare_category_does_not_hold_the_others_down():
+    weights = np.full((2, 2, 2), 1000.0)
+    weights[1] = 0.01
+    p = raked(weights, [np.array([0.8, 0.2]), np.array([0.5, 0.5]), np.array([0.5, 0.5])], 0.5, 50)
+    assert np.allclose(p[1], 1.0) and np.allclose(p[0], 0.5, atol=1e-3)
+
+
 def test_shares():
     assert full_shares({"a": 0.25}) == {"a": 0.25, "other": 0.75}
     for bad in ({"a": -0.1}, {"a": 0.7, "b": 0.7}):
@@ -93,12 +105,13 @@ def test_sample_has_the_target_shares(spark):
     rows = [(i, "w " * rng.randint(5, 15), rng.choice(["en", "en", "en", "de"]), "big" if i % 3 else "small") for i in range(6000)]
     df = docs_frame(spark, rows)
     targets = {"source": {"big": 0.4, "small": 0.6}, "lang": {"en": 0.5, "de": 0.5}}
-    out = mix_sources(df, targets, {"source": F.col("source"), "lang": F.col("lang")})
+    out = mix_sources(df, targets, {"source": F.col("source"), "lang": F.col("lang")}, keep=0.3)
     kept = out.filter("mix.kept").select("source", "lang", F.col("mix.tokens").alias("t")).toPandas()
     shares = lambda c: (kept.groupby(c)["t"].sum() / kept["t"].sum()).to_dict()
     assert shares("source")["small"] == pytest.approx(0.6, abs=0.03)
     assert shares("lang")["de"] == pytest.approx(0.5, abs=0.03)
-    assert out.agg(F.max("mix.probability")).first()[0] == pytest.approx(1.0)
+    total = df.agg(F.sum(F.regexp_count("text", F.lit("w")))).first()[0]
+    assert kept["t"].sum() == pytest.approx(0.3 * total, rel=0.05)
 
 
 def test_mix_of_awkward_rows(awkward, none, spark):
@@ -117,6 +130,8 @@ def test_mix_of_awkward_rows(awkward, none, spark):
     assert mix_sources(blank, targets, dims).filter("mix.kept").count() == 0
     with pytest.raises(ValueError):
         mix_sources(awkward, targets, dims, out="Size")
+    with pytest.raises(ValueError):
+        mix_sources(awkward, targets, dims, keep=0)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

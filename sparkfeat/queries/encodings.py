@@ -293,7 +293,13 @@ def formulas_wide(spark: SparkSession, sf: str) -> DataFrame:
     return formula_features(z, names).agg(*[F.count_if(F.col(n) > WIDE_CUT).alias(n) for n in names])
 
 
-@query("noise")
+@query(
+    "noise",
+    f"""with {SQL_GAPPY}
+    select l_orderkey, qty, qty as qty_0, case when qty is not null then true end as near_1 from gappy""",
+)
 def noisy(spark: SparkSession, sf: str) -> DataFrame:
+    """Noise of level 0 changes nothing; of level 0.01 it stays within ten deviations."""
     df = gappy_lines(spark, sf)
-    return df.select("l_orderkey", "qty", noise(F.col("qty"), 0.0, 1).alias("qty_0"), noise(F.col("qty"), 0.01, 1).alias("qty_1"))
+    near = F.abs(noise(F.col("qty"), 0.01, 1) / F.col("qty") - 1) <= 0.1
+    return df.select("l_orderkey", "qty", noise(F.col("qty"), 0.0, 1).alias("qty_0"), near.alias("near_1"))

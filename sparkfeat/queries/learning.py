@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.feature import StandardScaler
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkfeat.learning.estimators import gbt, logistic
 from sparkfeat.learning.grids import Normal, expand_grid, random_grid
 from sparkfeat.learning.search import Search, Stage, staged_search, with_repeated_folds
-from sparkfeat.learning.training import FeatureVectors, FoldModels, boosting_rounds, keep_matrix, refit_score
+from sparkfeat.learning.training import FeatureVectors, FoldModels, boosting_rounds, feature_names, refit_score
 from sparkfeat.operators.categories import Vocabulary
 from sparkfeat.operators.evaluate import (
     best_row,
@@ -17,12 +18,12 @@ from sparkfeat.operators.evaluate import (
     score_table,
     stratified_folds,
     stratified_split,
-    top_importance_rows,
 )
 from sparkfeat.operators.ranks import HASH_SPACE
 from sparkfeat.queries.encodings import sql_hash
 from sparkfeat.queries.matrix import feature_matrix
 from sparkfeat.queries.registry import SQL_PEOPLE, people, query, read
+from sparkfeat.sources.checkpoints import stored
 from sparkfeat.sources.tables import split_labelled
 
 K = 5
@@ -164,36 +165,83 @@ def pick_best(spark: SparkSession, sf: str) -> DataFrame:
     return best_row(score_params(spark, sf), "candidate").select("candidate", "Score_Weighted")
 
 
-@query("random_grid")
+SQL_CENTRE = "(select avg(o_totalprice) as m, stddev(o_totalprice) as s, min(o_totalprice) as low from orders)"
+DRAWS = 20
+
+
+@query(
+    "random_grid",
+    f"""select cast(unnest(range({DRAWS})) as int) as draw, true as known, true as in_bounds, true as covered
+    from {SQL_CENTRE}""",
+)
 def random_params(spark: SparkSession, sf: str) -> DataFrame:
-    """Draws from values and distributions taken from the tables, with the orders each would cover."""
+    """Draws from values and distributions of the tables, and what must hold for each of them.
+
+    A draw's priority occurs in the orders, its limit is not negative, and the orders of that
+    priority up to the limit are no more than all of that priority.
+    """
     orders = read(spark, sf, "orders").select("o_orderpriority", "o_totalprice")
     values = Vocabulary.fit(orders, ["o_orderpriority"]).values["o_orderpriority"]
     centre = orders.agg(F.avg("o_totalprice").alias("m"), F.stddev("o_totalprice").alias("s")).first()
     space = {"o_orderpriority": list(values), "limit": Normal(centre["m"], centre["s"], low=0.0)}
-    draws = random_grid(spark, space, 20, 1)
-    sizes = orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n_orders"))
-    return draws.join(sizes, "o_orderpriority")
-
-
-FEATURE_NAMES = ["balance", "BURO_amount_MEAN", "BURO_num_SIZE_MEAN", "CLOSED_amount_SUM", "NEW_RATIO_BURO_day_MAX", "EV_value_MEAN"]
+    draws = stored(random_grid(spark, space, DRAWS, 1).withColumn("draw", F.monotonically_increasing_id()))
+    order = Window.orderBy("draw")  # DRAWS rows
+    draws = draws.withColumn("draw", (F.row_number().over(order) - 1).cast("int"))
+    within = F.col("o_totalprice") <= F.col("limit")
+    covered = draws.join(orders, "o_orderpriority").groupBy("draw", "limit").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(within).alias("n_within")
+    )
+    return draws.select("draw", "limit").join(covered.drop("limit"), "draw", "left").select(
+        "draw",
+        F.col("n").isNotNull().alias("known"),
+        (F.col("limit") >= 0).alias("in_bounds"),
+        (F.col("n_within") <= F.col("n")).alias("covered"),
+    )
 
 
 def training_matrix(spark: SparkSession, sf: str, folds: int, repeats: int) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Labelled and unlabelled vectors over the feature matrix, with fold columns on the labelled rows."""
-    wide = feature_matrix(spark, sf).select("c_custkey", "label", *FEATURE_NAMES)
-    # the balance gives the label away, so blur it to leave the models something to do
-    wide = keep_matrix(wide.withColumn("balance", F.round(F.col("balance") / 200_000)))
+    """Labelled and unlabelled vectors over the whole feature matrix, with fold columns on the labelled rows.
+
+    The balance, and what is made of it, gives the label away and is left out.
+    """
+    wide = feature_matrix(spark, sf)
+    names = [c for c in feature_names(wide, ["c_custkey", "label"]) if "balance" not in c.lower()]
+    wide = stored(wide.select("c_custkey", "label", *names))
     train, test = split_labelled(wide, "label")
-    vectors = FeatureVectors.fit(train, FEATURE_NAMES)
+    vectors = FeatureVectors.fit(train, names)
     folded = with_repeated_folds(vectors.transform(train, ["c_custkey", "label"]), "c_custkey", "label", folds, repeats)
-    return keep_matrix(folded), vectors.transform(test, ["c_custkey"]), vectors.names
+    return stored(folded), vectors.transform(test, ["c_custkey"]), vectors.names
 
 
 TREES = {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.3, "max_bin": 32}
 
 
-@query("oof_predict")
+def sql_rank(key: str, label: str, seed: int) -> str:
+    return f"row_number() over (partition by {label} order by {sql_hash(key, seed)}, {key}) - 1"
+
+
+SQL_FOLDS = f"""{SQL_PEOPLE},
+    folded as (select c_custkey, label, cast(({sql_rank("c_custkey", "label", 0)}) % 2 as int) as fold
+               from people where label is not null)"""
+
+
+def unit_scaled(train: DataFrame, df: DataFrame) -> DataFrame:
+    """The vectors of ``df`` on the scale of those of ``train``: linear models then need few steps."""
+    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(train)
+    return scaler.transform(df).drop("features").withColumnRenamed("scaled", "features")
+
+
+def share(column: str) -> Column:
+    """Whether a prediction is a probability."""
+    return F.coalesce(F.col(column).between(0, 1), F.lit(False)).alias(f"{column}_ok")
+
+
+@query(
+    "oof_predict",
+    f"""with {SQL_FOLDS}
+    select c_custkey, label, fold, true as oof_ok, true as mean_ok from folded
+    union all select c_custkey, null, null, false, true from people where label is null""",
+)
 def oof_predict(spark: SparkSession, sf: str) -> DataFrame:
     """Out-of-fold predictions of train rows, bagged ones of train and test rows."""
     train, test, names = training_matrix(spark, sf, 2, 1)
@@ -201,43 +249,80 @@ def oof_predict(spark: SparkSession, sf: str) -> DataFrame:
     own = models.out_of_fold(train, ["c_custkey", "label"], "oof").withColumnRenamed("fold_0", "fold")
     bagged = models.mean_prediction(train, ["c_custkey"], "mean")
     scored = own.join(bagged, "c_custkey")
-    return scored.unionByName(models.mean_prediction(test, ["c_custkey"], "mean"), allowMissingColumns=True)
+    both = scored.unionByName(models.mean_prediction(test, ["c_custkey"], "mean"), allowMissingColumns=True)
+    return both.select("c_custkey", "label", "fold", share("oof"), share("mean"))
 
 
 @query("fold_importance")
 def fold_importance(spark: SparkSession, sf: str) -> DataFrame:
+    """All features' importances, fold by fold."""
     train, _, names = training_matrix(spark, sf, 2, 1)
     models = FoldModels.fit(train, gbt(TREES), 2, "fold_0", names)
-    return top_importance_rows(models.importance(train), 5)
+    return models.importance(train)
 
 
-@query("refit_score")
+@query("importance_per_fold", "select unnest(range(1, 3))::int as fold, true as complete, 1.0::double as total from region where r_regionkey = 0")
+def importance_per_fold(spark: SparkSession, sf: str) -> DataFrame:
+    """Every feature of the matrix has an importance in every fold, and a fold's add up to 1."""
+    train, _, names = training_matrix(spark, sf, 2, 1)
+    table = FoldModels.fit(train, gbt(TREES), 2, "fold_0", names).importance(train)
+    per = table.groupBy("fold").agg(F.countDistinct("feature").alias("n"), F.sum("importance").alias("total"))
+    return per.select("fold", (F.col("n") == len(names)).alias("complete"), F.round("total", 6).alias("total"))
+
+
+@query(
+    "refit_score",
+    f"""with {SQL_PEOPLE}
+    select c_custkey, true as pred_gbt_ok, true as pred_logistic_regression_ok from people where label is null""",
+)
 def refit(spark: SparkSession, sf: str) -> DataFrame:
-    """Test scores of both model families, each fitted on all of train."""
+    """Test scores of both model families, each fitted on all of train: probabilities of the unlabelled rows."""
     train, test, _ = training_matrix(spark, sf, 2, 1)
     trees = refit_score(gbt(TREES), train, test, "c_custkey", "gbt")
-    line = refit_score(logistic({"C": 1.0}, train.count()), train, test, "c_custkey", "logistic_regression")
-    return trees.join(line, "c_custkey")
+    scaled = stored(unit_scaled(train, train))
+    line = refit_score(
+        logistic({"C": 1.0}, scaled.count()), scaled, unit_scaled(train, test), "c_custkey", "logistic_regression"
+    )
+    return trees.join(line, "c_custkey").select("c_custkey", share("pred_gbt"), share("pred_logistic_regression"))
 
 
-@query("boosting_rounds")
+@query(
+    "boosting_rounds",
+    f"""with {SQL_FOLDS} select fold as fold_0, count(*) as n_rows, true as stopped from folded group by fold""",
+)
 def rounds(spark: SparkSession, sf: str) -> DataFrame:
-    """The chosen number of trees, and the training rows behind the choice."""
+    """The training rows behind the choice of rounds, and whether it lies before the last round allowed."""
     train, _, _ = training_matrix(spark, sf, 2, 1)
-    best = boosting_rounds(train, gbt({**TREES, "n_estimators": 8}), 2, "fold_0", patience=3)
-    return train.groupBy("fold_0").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("rounds", F.lit(best))
+    best = boosting_rounds(train, gbt({**TREES, "n_estimators": 200}), 2, "fold_0", patience=3)
+    return train.groupBy("fold_0").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("stopped", F.lit(best < 200))
 
 
-@query("staged_search")
+@query(
+    "staged_search",
+    """select stage, cast(candidate as int) as candidate, varied, true as score_ok, true as frozen_ok
+    from (values ('strength', 0, '0.01'), ('strength', 1, '1.0'), ('iterations', 0, '5'), ('iterations', 1, '20')) v(stage, candidate, varied),
+         (select count(*) from customer)""",
+)
 def search(spark: SparkSession, sf: str) -> DataFrame:
-    """Two stages of two logistic candidates; one row per stage and candidate."""
+    """Two stages of logistic candidates over the whole matrix, one row each.
+
+    Scores lie between 0 and 1, and the second stage keeps the strength that was best in the first.
+    """
     train, _, _ = training_matrix(spark, sf, 2, 1)
+    train = stored(unit_scaled(train, train))
     n = train.count()
     work = Search(train, "c_custkey", lambda p: logistic(p, n), folds=2, repeats=1, parallelism=4)
-    stages = [
-        Stage("strength", lambda best: {"C": [0.01, 1.0]}),
-        Stage("iterations", lambda best: {"max_iter": [5, 20]}),
-    ]
-    results = staged_search(work, stages, {"C": 1.0, "max_iter": 10})
-    tables = [r.scored.report().withColumn("stage", F.lit(r.name)) for r in results]
-    return tables[0].unionByName(tables[1])
+    stages = [Stage("strength", lambda best: {"C": [0.01, 1.0]}), Stage("iterations", lambda best: {"max_iter": [5, 20]})]
+    first, second = staged_search(work, stages, {"C": 1.0, "max_iter": 10})
+    out = []
+    for result, name, frozen in ((first, "C", "max_iter=10"), (second, "max_iter", f"C={first.scored.best['C']}")):
+        out.append(
+            result.scored.report().select(
+                F.lit(result.name).alias("stage"),
+                "candidate",
+                F.regexp_extract("params", f"\\b{name}=([^,]+)", 1).alias("varied"),
+                F.col("Score").between(0, 1).alias("score_ok"),
+                F.contains("params", F.lit(frozen)).alias("frozen_ok"),
+            )
+        )
+    return out[0].unionByName(out[1])

@@ -31,6 +31,9 @@ CREDIT_FILES = {
     "installments_payments": "installments_payments",
 }
 
+# How the names of text columns begin.
+TEXT_PREFIXES = ("NAME_", "CODE_", "CHANNEL_", "PRODUCT_", "WEEKDAY_", "ORGANIZATION_", "OCCUPATION_", "FLAG_LAST_APPL_")
+
 _DOCUMENTS = " ".join(f"FLAG_DOCUMENT_{i}" for i in range(2, 22))
 
 # Column names of the credit tables.

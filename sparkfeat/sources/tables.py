@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkfeat.functions.columns import col
-from sparkfeat.sources.schemas import CREDIT_FILES, CREDIT_SCHEMAS
+from sparkfeat.sources.schemas import CREDIT_FILES, CREDIT_SCHEMAS, TEXT_PREFIXES
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -29,25 +29,45 @@ def load_table(
 ) -> DataFrame:
     """Read one table: Parquet, ORC, or CSV with a header (plain or gzip).
 
-    The format follows the file name unless given. A CSV without a schema is read
-    with inferred types, which costs one more pass over the file; pass a schema for
-    large inputs. ``clean`` turns NaN into NULL; files known to hold no NaN can go
-    without, which lets filters on their floating-point columns reach the file.
+    The format follows the file name unless given. A CSV with a schema is read by header
+    name in one pass (see ``load_csv``); without one its types are inferred, which costs
+    another pass over the file. ``clean`` turns NaN into NULL; files known to hold no NaN
+    can go without, which lets filters on their floating-point columns reach the file.
     """
     fmt = fmt or _format_of(path)
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("nanValue", "NaN")
-        if schema is None:
-            reader = reader.option("inferSchema", True)
-        df = reader.csv(path)
+    if fmt == "csv" and schema is not None:
+        df = load_csv(spark, path, schema)
+    elif fmt == "csv":
+        df = spark.read.option("header", True).option("nanValue", "NaN").option("inferSchema", True).csv(path)
     else:
+        reader = spark.read if schema is None else spark.read.schema(schema)
         df = reader.format(fmt).load(path)
     return nan_to_null(df) if clean else df
 
 
+def load_csv(
+    spark: SparkSession, path: str, schema: T.StructType, other: T.DataType | None = None
+) -> DataFrame:
+    """Read a CSV by its header: declared columns get their types, wherever they stand.
+
+    Columns that are not declared become ``other``, or stay text; declared ones that the
+    file lacks are left out. Only the header line is read to plan. An empty cell is NULL, a
+    whole number may be written with a fraction of zero, and text that is no number in a
+    column of numbers is an error when the rows are read, and is not dropped.
+    """
+    text = spark.read.option("header", True).csv(path)
+    types = {f.name: f.dataType for f in schema}
+
+    def typed(name: str) -> Column:
+        kind = types.get(name, other or T.StringType())
+        if isinstance(kind, (T.IntegerType, T.LongType)):
+            whole = col(name).try_cast("bigint")
+            return F.coalesce(whole, col(name).cast("double").cast("bigint")).cast(kind).alias(name)
+        return col(name).cast(kind).alias(name)
+
+    return text.select([typed(c) for c in text.columns])
+
+
 def _format_of(path: str) -> str:
     name = path.rstrip("/").lower()
     if name.endswith((".csv", ".csv.gz", ".csv.bz2")):
@@ -68,15 +88,23 @@ def load_credit_tables(
 ) -> dict[str, DataFrame]:
     """Load the credit tables by their usual file names, train and test already stacked.
 
-    The schemas in :mod:`sparkfeat.sources.schemas` hold the columns the builders use.
-    Real exports carry more columns and another order, and a CSV schema is matched by
-    position, so CSV types are inferred unless ``schemas`` says otherwise.
+    CSV columns are found by name and get the types that
+    :mod:`sparkfeat.sources.schemas` (or ``schemas``) declares, so train and test agree and
+    each file is read once. Real exports carry more columns: those named like codes and
+    names are text, all others are numbers.
     """
     tables = {}
     for name, stem in CREDIT_FILES.items():
         path = f"{directory}/{stem}.{fmt}{suffix}"
-        schema = (schemas or {}).get(name)
-        tables[name] = load_table(spark, path, fmt, schema)
+        schema = (schemas or {}).get(name) or CREDIT_SCHEMAS[name.removesuffix("_train").removesuffix("_test")]
+        if fmt == "csv":
+            header = spark.read.option("header", True).csv(path).columns
+            known = {f.name for f in schema}
+            texts = [c for c in header if c not in known and c.startswith(TEXT_PREFIXES)]
+            full = T.StructType([*schema.fields, *[T.StructField(c, T.StringType()) for c in texts]])
+            tables[name] = nan_to_null(load_csv(spark, path, full, T.DoubleType()))
+        else:
+            tables[name] = load_table(spark, path, fmt, (schemas or {}).get(name))
     train, test = tables.pop("application_train"), tables.pop("application_test")
     tables["application"] = union_labelled(train, test)
     return tables

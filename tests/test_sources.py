@@ -6,6 +6,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkfeat.learning.estimators import logistic
 from sparkfeat.learning.search import Stage
@@ -13,9 +14,11 @@ from sparkfeat.plans.pipelines import cross_validate, hold_out, prepare_search,
 from sparkfeat.plans.selected import SIMPLE, wide_matrix
 from sparkfeat.sources.checkpoints import ensure_checkpoint_dir
 from sparkfeat.sources.sinks import timestamped, write_matrix, write_predictions
+from sparkfeat.sources.schemas import CREDIT_FILES
 from sparkfeat.sources.tables import (
     empty_credit_table,
     load_credit_tables,
+    load_csv,
     load_table,
     nan_to_null,
     split_labelled,
@@ -49,6 +52,35 @@ def test_gzip_and_zip(spark, tmp_path):
         load_table(spark, "t.csv.zip")
 
 
+def test_csv_by_header_name(spark, tmp_path):
+    schema = T.StructType(
+        [T.StructField("k", T.LongType()), T.StructField("x", T.DoubleType()), T.StructField("n", T.IntegerType()), T.StructField("s", T.StringType())]
+    )
+    (tmp_path / "a.csv").write_text("s,more,n,k,x\n007,1.5,3.0,9007199254740993,NaN\n,,,2,4\n")
+    (tmp_path / "b.csv").write_text("x,k\n1,3\n")
+    a = load_table(spark, str(tmp_path / "a.csv"), schema=schema)
+    assert dict(a.dtypes) == {"s": "string", "more": "string", "n": "int", "k": "bigint", "x": "double"}
+    got = sorted(a.select("k", "x", "n", "s", "more").collect())
+    assert [tuple(r) for r in got] == [(2, 4.0, None, None, None), (9007199254740993, None, 3, "007", "1.5")]
+    b = load_table(spark, str(tmp_path / "b.csv"), schema=schema)
+    assert dict(b.dtypes) == {"x": "double", "k": "bigint"}
+    assert load_csv(spark, str(tmp_path / "a.csv"), schema, T.DoubleType()).dtypes[1] == ("more", "double")
+    (tmp_path / "c.csv").write_text("x\nabc\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        load_csv(spark, str(tmp_path / "c.csv"), schema).collect()
+
+
+def test_credit_csv_has_one_type_in_train_and_test(spark, tmp_path):
+    for stem in CREDIT_FILES.values():
+        (tmp_path / f"{stem}.csv").write_text("SK_ID_CURR\n")
+    (tmp_path / "application_train.csv").write_text("AMT_CREDIT,TARGET,NAME_X,APARTMENTS_AVG,SK_ID_CURR\n10,1,5,1,1\n")
+    (tmp_path / "application_test.csv").write_text("SK_ID_CURR,NAME_X,AMT_CREDIT,APARTMENTS_AVG\n2,b,10.5,0.25\n")
+    df = load_credit_tables(spark, str(tmp_path))["application"]
+    types = {"AMT_CREDIT": "double", "TARGET": "int", "NAME_X": "string", "APARTMENTS_AVG": "double", "SK_ID_CURR": "bigint"}
+    assert dict(df.dtypes) == types
+    assert sorted((r.SK_ID_CURR, r.TARGET, r.NAME_X, r.AMT_CREDIT) for r in df.collect()) == [(1, 1, "5", 10.0), (2, None, "b", 10.5)]
+
+
 def test_union_and_split(spark):
     train = spark.createDataFrame([(1, 0)], "k int, TARGET int")
     test = spark.createDataFrame([(2,)], "k int")

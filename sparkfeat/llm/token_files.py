@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import os
-import re
 import sys
 import types
 import zlib
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,40 +20,49 @@ from sparkfeat.llm.common import col
 
 #: Bytes of a row group, rows of a page at most (the grain of the page index).
 ROW_GROUP_BYTES, PAGE_ROWS = 16 << 20, 1000
-#: Words whose ids a worker remembers (twice as many at most), characters encoded at once, words joined for one call.
-REMEMBERED, PART_CHARS, JOINED = 150_000, 4 << 20, 1000
+#: Runs whose ids a worker remembers (twice as many at most), characters encoded at once, runs joined for one call.
+REMEMBERED, PART_CHARS, JOINED = 250_000, 4 << 20, 1000
+#: Rows of a batch between Spark and Python while token lists are written.
+BATCH_ROWS = 1000
 
 #: Suffix of the tokens that end a word, in tokenizers that have one.
 WORD_END = "</w>"
 
 #: A Latin word with marks after it: letters and marks are encoded apart, the letters without case.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|\-()\"#*$%&/=+]*)")
+PLAIN = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[.,;:!?|\-()\"#*$%&/=+]*)$"
 
 
 class Memory:
-    """Ids by word in two generations: what is not used while the young one fills up is forgotten."""
+    """Ids by piece in two generations: what is not used while the young one fills up is forgotten."""
 
     def __init__(self) -> None:
-        self.young: dict[str, bytes] = {"": b""}
+        self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def missing(self, words: set[str]) -> list[str]:
+    def missing(self, pieces: list[str]) -> list[str]:
         """Those that must be learned; all others are in the young generation afterwards."""
         if len(self.young) > REMEMBERED:
-            self.young, self.old = {"": b""}, self.young
-        absent = words.difference(self.young)
-        again = absent.intersection(self.old)
-        self.young.update((w, self.old[w]) for w in again)
-        return list(absent - again)
+            self.young, self.old = {}, self.young
+        absent = [p for p in pieces if p not in self.young]
+        self.young.update((p, self.old[p]) for p in absent if p in self.old)
+        return [p for p in absent if p not in self.old]
+
+
+def gather(flat: np.ndarray, size: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces ``codes`` of ``flat`` one after the other (piece k has ``size[k]`` numbers), and their sizes."""
+    start = np.cumsum(size) - size
+    n = size[codes]
+    at = np.arange(n.sum()) + np.repeat(start[codes] - (np.cumsum(n) - n), n)
+    return flat[at], n
 
 
 class Encoder:
     """Encodes texts with a tokenizers file.
 
     ``by_words`` is for tokenizers that drop white space, ignore case and encode each run of
-    letters and each run of marks on its own: the ids of a word are then looked up once and
-    remembered. Texts that may hold one of the file's own control strings are always encoded
-    as a whole.
+    letters and each run of marks on its own: texts are then cut into words, and the ids of
+    each different run are looked up once and remembered. Texts that may hold one of the
+    file's own control strings are always encoded as a whole.
     """
 
     def __init__(self, definition: str, by_words: bool):
@@ -61,7 +72,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.by_words = by_words
         self.control = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces, self.words = Memory(), Memory()
+        self.memory = Memory()
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids of tokens that end a word
         self.last[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
@@ -85,19 +96,30 @@ class Encoder:
             out += [raw[4 * a : 4 * b] for a, b in zip(edges, edges[1:])]
         return out
 
-    def _learn(self, words: set[str]) -> None:
-        """Remember the ids of new words; their letters and marks are shared with other words."""
-        new = self.words.missing(words)
-        plain = {w: (m[1].lower(), m[2]) for w in new if (m := PLAIN.fullmatch(w))}
-        odd = [w for w in new if w not in plain]
-        pieces = self.pieces.missing({p for parts in plain.values() for p in parts})
-        self.pieces.young.update(zip(pieces, self._piece_ids(pieces)))
-        self.words.young.update(zip(odd, self._ids(odd)))
-        ids = self.pieces.young
-        self.words.young.update((w, ids[a] + ids[b]) for w, (a, b) in plain.items())
-
-    def encode(self, texts: Sequence[str | None]) -> Iterator[bytes]:
-        """The ids of each text as little-endian 32-bit numbers; a null counts as empty."""
+    def _word_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different words, one after the other, and how many each has."""
+        cut = pc.extract_regex(words, PLAIN)
+        letters, marks = pc.utf8_lower(pc.struct_field(cut, "letters")), pc.struct_field(cut, "marks")
+        plain = cut.is_valid().to_numpy(zero_copy_only=False)
+        # Each word is two pieces: letters and marks, or the whole of an odd word and nothing.
+        first = pc.if_else(cut.is_valid(), letters, words)
+        coded = pa.concat_arrays([first, pc.fill_null(pc.if_else(cut.is_valid(), marks, ""), "")]).dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        odd = set(words.filter(pa.array(~plain)).to_pylist())
+        new = self.memory.missing(pieces)
+        runs, whole = [p for p in new if p and p not in odd], [p for p in new if p in odd or not p]
+        ids = self.memory.young
+        ids.update(zip(runs, self._piece_ids(runs)))
+        ids.update(zip(whole, self._ids(whole)))
+        raw = [ids[p] for p in pieces]
+        flat = np.frombuffer(b"".join(raw), dtype="<u4")
+        size = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        two = coded.indices.to_numpy().reshape(2, -1).T.ravel()
+        out, n = gather(flat, size, two)
+        return out, n[0::2] + n[1::2]
+
+    def encode(self, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
+        """The ids of each text; a null counts as empty."""
         part: list[str] = []
         held = 0
         for text in texts:
@@ -108,14 +130,17 @@ class Encoder:
                 part, held = [], 0
         yield from self._encode(part)
 
-    def _encode(self, texts: list[str]) -> Iterator[bytes]:
-        if not self.by_words:
-            yield from self._ids(texts)
+    def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        if not texts:
             return
-        split = [None if any(c in t for c in self.control) else t.replace("\n", " ").split(" ") for t in texts]
-        self._learn({w for s in split if s is not None for w in s})
-        for text, words in zip(texts, split):
-            yield self._ids([text])[0] if words is None else b"".join(map(self.words.young.__getitem__, words))
+        whole = [not self.by_words or any(c in t for c in self.control) for t in texts]
+        split = pc.split_pattern(pc.replace_substring(pa.array(["" if w else t for t, w in zip(texts, whole)], pa.large_string()), "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        flat, size = self._word_ids(coded.dictionary)
+        ids, n = gather(flat, size, coded.indices.to_numpy())
+        ends = np.concatenate([[0], np.cumsum(n)])[split.offsets.to_numpy()]
+        for text, plainly, a, b in zip(texts, whole, ends, ends[1:]):
+            yield np.frombuffer(self._ids([text])[0], dtype="<u4") if plainly else ids[a:b]
 
 
 def _worker_encoder(definition: str, by_words: bool) -> Encoder:
@@ -130,13 +155,13 @@ def _worker_encoder(definition: str, by_words: bool) -> Encoder:
 
 def token_ids(text: Column, definition: str, by_words: bool, end_id: int | None) -> Column:
     """The ids of the whole text as a list, with ``end_id`` after them unless it is None."""
-    end = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
+    end = np.array([] if end_id is None else [end_id], dtype="<u4")
 
     @F.pandas_udf("array<int>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = _worker_encoder(definition, by_words)
         for texts in batches:
-            ids = [np.frombuffer(b + end, dtype="<i4") for b in encoder.encode(texts)]
+            ids = [np.concatenate([x, end]).view("<i4") for x in encoder.encode(texts)]
             yield pd.Series(ids, index=texts.index, dtype=object)
 
     return encode(text)
@@ -170,7 +195,7 @@ def write_tokens(
     rows = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"), F.xxhash64(col(text_col)).alias("order"))
     ranged = rows.repartitionByRange("doc_id", "order").sortWithinPartitions("doc_id", "order")
     coded = ranged.select("doc_id", token_ids(F.col("text"), definition, by_words, end_id).alias("ids"))
-    coded.select("doc_id", F.size("ids").alias("n_tokens"), "ids").write.options(
+    writer = coded.select("doc_id", F.size("ids").alias("n_tokens"), "ids").write.options(
         **{
             "compression": "zstd",
             "parquet.block.size": str(row_group_bytes),
@@ -178,7 +203,21 @@ def write_tokens(
             "parquet.enable.dictionary": str(encoding == "dictionary").lower(),
             "parquet.writer.version": "PARQUET_1_0" if encoding == "dictionary" else "PARQUET_2_0",
         }
-    ).parquet(path)
+    )
+    with batch_rows(docs.sparkSession, BATCH_ROWS):
+        writer.parquet(path)
+
+
+@contextmanager
+def batch_rows(spark: SparkSession, n: int) -> Iterator[None]:
+    """Batches of at most ``n`` rows between Spark and Python in jobs that run meanwhile."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(n, int(before)) if int(before) > 0 else n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from sparkfeat.functions.columns import sanitise_columns
 from sparkfeat.operators.categories import MISSING, Vocabulary, first_seen_codes, label_codes, one_hot, with_codes
 from sparkfeat.operators.encode import FoldEncoding, frequency_encode, noise, standardise, target_encode
 from sparkfeat.operators.evaluate import kfold
-from sparkfeat.operators.formula import formula_features
+from sparkfeat.operators.formula import formula_chunks, formula_features
 from sparkfeat.operators.lookup import unseen_share
 from sparkfeat.queries.registry import (
     SQL_GAPPY,
@@ -283,14 +285,18 @@ WIDE_CUT = 0.137913
 
 @query(
     "formula_wide",
-    f"""with {SQL_GAPPY}, z as ({sql_standard(None)})
-    select {", ".join(f"count(case when tanh({e}) > {WIDE_CUT} then 1 end) as {n}" for n, e in wide_formulas().items())} from z""",
+    f"""with {SQL_GAPPY}, z as ({sql_standard(None)}),
+    c as (select {", ".join(f"count(case when tanh({e}) > {WIDE_CUT} then 1 end) as {n}" for n, e in wide_formulas().items())} from z)
+    select formula, n_above from (unpivot c on columns(*) into name formula value n_above)""",
 )
 def formulas_wide(spark: SparkSession, sf: str) -> DataFrame:
-    """512 formulas, of each the rows above a cut; the frame is stored before the formulas."""
-    z = stored(standardise(gappy_lines(spark, sf), STANDARD))
-    names = wide_formulas()
-    return formula_features(z, names).agg(*[F.count_if(F.col(n) > WIDE_CUT).alias(n) for n in names])
+    """512 formulas in chunks over a stored frame; of each, the rows above a cut."""
+    z = stored(standardise(gappy_lines(spark, sf), STANDARD).select(*STANDARD))
+    parts = []
+    for chunk in formula_chunks(z, wide_formulas()):
+        counts = chunk.agg(*[F.count_if(F.col(n) > WIDE_CUT).alias(n) for n in chunk.columns])
+        parts.append(counts.unpivot([], chunk.columns, "formula", "n_above"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query(

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkfeat.llm.chat import format_windows, read_windows
+from sparkfeat.llm.chat import BUDGET, END, ESCAPES, HISTORY, OPEN, SHUT, SYSTEM, TARGET, format_windows, read_windows
 from sparkfeat.llm.common import fresh_path
 from sparkfeat.llm.langid import train_languages
 from sparkfeat.llm.license_scan import TEMPLATES, scan_licenses
@@ -296,7 +296,50 @@ def op8_chat(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _sql_escaped(text: str) -> str:
+    for plain, coded in ESCAPES:
+        text = f"replace({text}, '{plain}', '{coded}')"
+    return text
+
+
 QUERIES["op8_chat"] = op8_chat
+ORACLES["op8_chat"] = rf"""
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '{AWKWARD}' union all select -1, 1, 'assistant', '{AWKWARD}'),
+t as (
+  select conv_id, role, text, row_number() over (partition by conv_id order by turn, role, text) - 1 as pos,
+         len(regexp_extract_all(text, '[^ 	-
+]+')) + 2 as cost,
+         length({_sql_escaped("role")}) + length({_sql_escaped("text")}) + {len(OPEN + SHUT + END)} as chars
+  from c),
+s as (select conv_id, cost as sys, chars as sys_chars from t where pos = 0 and role = '{SYSTEM}'),
+p as (
+  select t.*, coalesce(sys, 0) as sys, coalesce(sys_chars, 0) as sys_chars, sys is not null and pos = 0 as is_sys,
+         coalesce(sum(cost) over (partition by t.conv_id order by pos rows between unbounded preceding and 1 preceding), 0) as before
+  from t left join s using (conv_id)),
+q as (
+  select *, greatest(1, {BUDGET} - sys) as room, case when is_sys then 0 else before - sys end as start,
+         case when is_sys then 0 else cost end as own from p),
+r as (select *, floor(start / room) as stretch from q),
+u as (
+  select *, pos > min(case when not is_sys then pos end) over w and start + own - min(start) over w > room as late
+  from r window w as (partition by conv_id, stretch)),
+v as (
+  select *, case when late then pos else min(pos) over w end as first,
+         case when late then own else sum(case when late then 0 else own end) over w end as new_cost
+  from u window w as (partition by conv_id, stretch)),
+heads as (select conv_id, first, start as head_start, room - new_cost as spare, sys_chars from v where pos = first),
+again as (
+  select conv_id, chars from v join heads h using (conv_id)
+  where v.pos between h.first - {HISTORY} and h.first - 1 and not is_sys and head_start - start <= spare
+  union all select conv_id, sys_chars from heads where first > 0),
+more as (select conv_id, sum(chars) as chars from again group by conv_id)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by pos)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (where role = '{TARGET}'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by pos) filter (where role = '{TARGET}'), '')) as loss_sha256,
+       cast(sum(v.chars) + coalesce(any_value(more.chars), 0) as bigint) as formatted_chars
+from v left join more using (conv_id) group by conv_id"""
 
 #: Scores from here on are predicted to be of good quality.
 GOOD = 0.3

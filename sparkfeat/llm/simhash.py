@@ -189,9 +189,11 @@ def drop_near_duplicates(
     """
     rows = kept(docs.select(col(id_col).alias("doc_id"), fingerprint_column(col(text_col), shingle).alias("fp")))
     fp, root, least, winners = (free_name(docs, n) for n in ("__fp", "__root", "__least", "__winners"))
-    groups = groups_of(rows, max_bits).toDF(fp, root, least, winners)
+    groups = kept(groups_of(rows, max_bits).toDF(fp, root, least, winners))
     named = docs.withColumn(fp, fingerprint_column(col(text_col), shingle)).join(groups, fp)
     won = named.filter(col(id_col).eqNullSafe(col(least)))
     names = [col(c) for c in docs.columns]
+    if groups.filter(col(winners) > 1).isEmpty():
+        return won.select(*names)
     single = won.filter(col(winners) == 1).select(*names)
     return single.unionByName(won.filter(col(winners) > 1).dropDuplicates([root]).select(*names))

@@ -46,14 +46,18 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 
 def fingerprint_column(text: Column, shingle: int) -> Column:
-    """The fingerprint as a column, computed in Arrow batches."""
+    """The fingerprint as a column, computed in Arrow batches.
+
+    It is marked as if it could change, so that the null check of a join on it does not
+    compute it a second time.
+    """
 
     @F.pandas_udf("long")
     def prints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 
-    return prints(text)
+    return prints.asNondeterministic()(text)
 
 
 def _blocks(max_bits: int) -> list[tuple[int, int]]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -142,16 +142,16 @@ def _around(crowded: DataFrame, blocks: list, pairs: list, max_bits: int) -> Dat
     return stars.select(F.array_min("members").alias("a"), member).filter("a <> b")
 
 
-def groups_of(rows: DataFrame, max_bits: int) -> DataFrame:
+def groups_of(rows: DataFrame, link: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``fp, root, least, winners`` for every fingerprint of the rows ``(doc_id, fp)``.
 
-    ``root`` names the component, ``least`` is its smallest id (null if all are) and
+    ``link`` gives the edges of the distinct fingerprints. ``root`` names the component, ``least`` is its smallest id (null if all are) and
     ``winners`` counts its rows that have that id.
     """
     held = rows.groupBy("fp", "doc_id").agg(F.count("*").alias("n"))
     lowest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n"))
     prints = kept(held.groupBy("fp").agg(lowest.alias("low")).select("fp", F.col("low.doc_id").alias("first"), "low.n"))
-    roots = components(links(prints.select("fp"), max_bits)).withColumnRenamed("node", "fp")
+    roots = components(link(prints.select("fp"))).withColumnRenamed("node", "fp")
     linked = kept(prints.join(roots, "fp"))
     sums = linked.groupBy("root", "first").agg(F.sum("n").alias("n"))
     lowest = F.min(F.struct(F.col("first").isNull().alias("none"), "first", "n"))
@@ -176,7 +176,7 @@ def near_duplicates(
     are ignored, whatever their names.
     """
     rows = kept(docs.select(col(id_col).alias("doc_id"), fingerprint_column(col(text_col), shingle).alias("fp")))
-    out = rows.join(groups_of(rows, max_bits), "fp")
+    out = rows.join(groups_of(rows, lambda p: links(p, max_bits)), "fp")
     digits = F.lower(F.lpad(F.hex("fp"), BITS // 4, "0"))
     return out.select("doc_id", digits.alias("fingerprint"), F.col("least").alias("component_id"))
 
@@ -192,9 +192,15 @@ def drop_near_duplicates(
     the texts once more.
     """
     rows = kept(docs.select(col(id_col).alias("doc_id"), fingerprint_column(col(text_col), shingle).alias("fp")))
+    groups = groups_of(rows, lambda p: links(p, max_bits))
+    return one_of_each(docs, id_col, fingerprint_column(col(text_col), shingle), groups)
+
+
+def one_of_each(docs: DataFrame, id_col: str, print_of: Column, groups: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, by the result of ``groups_of`` and the column of fingerprints."""
     fp, root, least, winners = (free_name(docs, n) for n in ("__fp", "__root", "__least", "__winners"))
-    groups = kept(groups_of(rows, max_bits).toDF(fp, root, least, winners))
-    named = docs.withColumn(fp, fingerprint_column(col(text_col), shingle)).join(groups, fp)
+    groups = kept(groups.toDF(fp, root, least, winners))
+    named = docs.withColumn(fp, print_of).join(groups, fp)
     won = named.filter(col(id_col).eqNullSafe(col(least)))
     names = [col(c) for c in docs.columns]
     if groups.filter(col(winners) > 1).isEmpty():

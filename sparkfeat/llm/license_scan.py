@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,6 +104,70 @@ def units_of(text: Column) -> Column:
     return F.concat(F.transform(lines, named("line")), several, whole)
 
 
+def unit_range(text: str, unit: str, position: int) -> tuple[int, int]:
+    """First word of a unit of ``units_of``, and the word after its last."""
+    count = lambda t: len(re.findall("[a-z0-9]+", t))
+    if unit == "text":
+        return 0, count(text)
+    parts = text.split("\n") if unit == "line" else re.split("\n[ \t\r]*\n", text)
+    start = sum(map(count, parts[:position]))
+    return start, start + count(parts[position])
+
+
+class Spans:
+    """Stretches of words of a text that match a template, wherever they begin and end."""
+
+    def __init__(self, grams: list[list[str]], bounds: list[tuple[int, int]], threshold: float):
+        self.bounds, self.threshold = bounds, threshold
+        self.sets = [set(g) for g in grams]
+        names = sorted(set().union(*self.sets))
+        words = sorted({w for g in names for w in g.split()})
+        self.word = {w: i + 1 for i, w in enumerate(words)}
+        self.gram = np.full((len(words) + 1) ** 2, -1, dtype=np.int32)
+        for i, g in enumerate(names):
+            a, b = g.split()
+            self.gram[self.word[a] * (len(words) + 1) + self.word[b]] = i
+        self.member = np.array([[g in own for own in self.sets] for g in names], dtype=np.int64)
+        # 2 shared / (own + size) has to reach the threshold, with the fewest bigrams of its own
+        self.shared = np.array([threshold * (lo + len(g)) / 2 - 1e-9 for (lo, _), g in zip(bounds, grams)])
+
+    def find(self, text: str) -> list[tuple[int, float, int, int, int]]:
+        """``shared, similarity, template, first word, end`` of the best stretch from each word that begins one."""
+        words = re.findall("[a-z0-9]+", text)
+        ids = np.fromiter((self.word.get(w, 0) for w in words), dtype=np.int64, count=len(words))
+        at = self.gram[ids[:-1] * (len(self.word) + 1) + ids[1:]]
+        present = np.unique(at[at >= 0])
+        out = []
+        for k in np.flatnonzero(self.member[present].sum(axis=0) >= self.shared).tolist():
+            own, most = self.sets[k], self.bounds[k][1]
+            pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
+            for i in [i for i in np.flatnonzero(at >= 0).tolist() if pairs[i] in own]:
+                seen: set[str] = set()
+                both, best = 0, None
+                for j in range(i, len(pairs)):
+                    g = pairs[j]
+                    if g not in seen:
+                        seen.add(g)
+                        if len(seen) > most:
+                            break
+                        both += g in own
+                    score = 2.0 * both / (len(seen) + len(own))
+                    if g in own and score >= self.threshold and (best is None or score > best[1]):
+                        best = (both, score, k, i, j + 2)
+                if best:
+                    out.append(best)
+        return out
+
+    def apart(self, text: str, taken: list[tuple[int, int]]) -> list[tuple[int, float, int, int, int]]:
+        """Stretches of which no half lies in a taken one, the ones that share most first, in order of place."""
+        taken, out = list(taken), []
+        for s in sorted(self.find(text), key=lambda s: (-s[0], -s[1], s[3], -s[2])):
+            if all(2 * (min(s[4], e) - max(s[3], b)) < s[4] - s[3] for b, e in taken):
+                taken.append((s[3], s[4]))
+                out.append(s)
+        return sorted(out, key=lambda s: s[3])
+
+
 def scan_licenses(
     docs: DataFrame,
     templates: Mapping[str, str] = TEMPLATES,
@@ -113,7 +179,10 @@ def scan_licenses(
 
     Every line, paragraph and the whole text are units; a unit is compared with the templates
     whose size allows the threshold, and its best template is a match if it reaches it (the
-    last by name among equals). A unit of fewer than two words has no bigram and matches
+    last by name among equals). Then all stretches of words are searched, across and inside
+    units, so a notice in the middle of a line or over some paragraphs is found too: a match
+    has the unit ``words`` and the number of its first word. Of overlapping stretches the one
+    that shares most bigrams counts, and none of which half lies in another match. A unit of fewer than two words has no bigram and matches
     nothing; a null or empty text has no matches; repeated rows each get theirs. The
     templates are a short list given by the caller, held in the plan. All columns pass
     through and ``out`` may not be one of them.
@@ -157,4 +226,17 @@ def scan_licenses(
             m["top"]["license"].alias("license"), m["top"]["similarity"].alias("similarity"), m["unit"].alias("unit"), m["position"].alias("position")
         ),
     )
-    return docs.select("*", matches.alias(out))
+    spans = Spans(grams, bounds, threshold)
+
+    @F.pandas_udf(MATCHES)
+    def stretches(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, known in batches:
+            rows = []
+            for text, units in zip(texts, known):
+                taken = [unit_range(text, u["unit"], u["position"]) for u in units]
+                rows.append([{"license": names[k], "similarity": s, "unit": "words", "position": i} for _, s, k, i, _ in spans.apart(text, taken)])
+            yield pd.Series(rows, dtype=object)
+
+    lowered = F.lower(F.coalesce(col(text_col), F.lit("")))
+    more = stretches.asNondeterministic()(lowered, col(out))
+    return docs.select("*", matches.alias(out)).select(*[col(c) for c in docs.columns], F.concat(col(out), more).alias(out))

@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkfeat.llm.centroids import cluster_vectors, inertias
 from sparkfeat.llm.chat import BUDGET, END, ESCAPES, HISTORY, OPEN, SHUT, SYSTEM, TARGET, format_windows, read_windows
 from sparkfeat.llm.common import fresh_path
 from sparkfeat.llm.langid import train_languages
 from sparkfeat.llm.license_scan import TEMPLATES, scan_licenses
 from sparkfeat.llm.mixing import KEEP, mix_sources, topic_of
 from sparkfeat.llm.outliers import quality_rules
+from sparkfeat.llm.product_codes import compress_vectors
 from sparkfeat.llm.quality import QualityModel, train_quality
 from sparkfeat.llm.sharding import assign_shards
 from sparkfeat.llm.simhash import near_duplicates
 from sparkfeat.llm.token_files import ids_crc32, with_starts, write_tokens
+from sparkfeat.llm.url_filter import Rule, filter_urls
 from sparkfeat.llm.wu_manber import find_passages, hit_words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -367,3 +371,123 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["op10_simhash"] = op10_simhash
+
+
+def _hashed(numbers: Iterable[int]) -> str:
+    return hashlib.sha256(",".join(str(int(n)) for n in numbers).encode()).hexdigest()
+
+
+def op11_centroids(spark: SparkSession, sf: str) -> DataFrame:
+    """The cluster of each vector, its distance, the clusters' inertias and final centroids."""
+    rows, centers = cluster_vectors(_read(spark, sf, "embeddings"))
+    totals = inertias(rows)
+    facts = [(c, totals.get(c, 0), sum(totals.values()), _hashed(center)) for c, center in enumerate(centers)]
+    facts = spark.createDataFrame(facts, "cluster int, cluster_inertia bigint, inertia bigint, centroid_sha256 string")
+    return rows.join(F.broadcast(facts), "cluster").select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+QUERIES["op11_centroids"] = op11_centroids
+
+
+def _sql_nearest(points: str, centers: str, keys: str) -> str:
+    """The nearest center of each point: exact squared distances, ties to the smaller number."""
+    return f"""
+  select rid, {keys}arg_min(k, (s, k)) as k, min(s) as s
+  from (select rid, {keys}k, sum((x.v - c.v) * (x.v - c.v)) as s from {points} x join {centers} c using ({keys}pos) group by rid, {keys}k)
+  group by rid{", part" if keys else ""}"""
+
+
+def _sql_floor(total: str, n: str) -> str:
+    return f"(({total}) - ((({total}) % ({n})) + ({n})) % ({n})) // ({n})"
+
+
+def _sql_moved(near: str, centers: str, points: str, keys: str) -> str:
+    mean = _sql_floor("t", "n")
+    return f"""
+  select {keys}k, pos, coalesce({mean}, c.v) as v
+  from {centers} c left join (
+    select {keys}k, pos, cast(sum(v) as bigint) as t, count(*) as n from {points} join {near} using (rid{", part" if keys else ""}) group by {keys}k, pos) m
+  using ({keys}k, pos)"""
+
+
+def _sql_lloyd(rounds: int, keys: str) -> str:
+    steps = []
+    for r in range(rounds):
+        steps.append(f"a{r} as materialized ({_sql_nearest('x', f'c{r}', keys)})")
+        steps.append(f"c{r + 1} as materialized ({_sql_moved(f'a{r}', f'c{r}', 'x', keys)})")
+    steps.append(f"a{rounds} as materialized ({_sql_nearest('x', f'c{rounds}', keys)})")
+    return ",\n".join(steps)
+
+
+_SQL_FINITE = "len(list_filter(embedding, lambda e: e is null or not isfinite(e))) = 0"
+
+ORACLES["op11_centroids"] = f"""
+with v as materialized (
+  select row_number() over () as rid, vec_id, list_transform(embedding, lambda e: cast(floor(64 * cast(e as double)) as bigint)) as w
+  from embeddings where embedding is not null and len(embedding) = 64 and {_SQL_FINITE}),
+x as materialized (select rid, unnest(range(64)) as pos, unnest(w) as v from v),
+seeds as (
+  select row_number() over (order by sha256('1:' || vec_id), w) - 1 as k, w from v where vec_id is not null qualify k < 16),
+c0 as materialized (select k, unnest(range(64)) as pos, unnest(w) as v from seeds),
+{_sql_lloyd(3, "")},
+h as (select k, sha256(string_agg(cast(v as varchar), ',' order by pos)) as centroid_sha256 from c3 group by k)
+select vec_id, cast(k as integer) as cluster, cast(s as bigint) as distance,
+       cast(sum(s) over (partition by k) as bigint) as cluster_inertia, cast(sum(s) over () as bigint) as inertia, centroid_sha256
+from v join a3 using (rid) join h using (k)"""
+
+
+def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """The code of each vector, its error, the errors of its label and the final codebooks."""
+    rows, books = compress_vectors(_read(spark, sf, "embeddings"), label_col="label")
+    per_label = rows.groupBy("label").agg(F.sum("error").alias("label_error")).withColumnRenamed("label", "own")
+    return rows.join(per_label, F.col("label").eqNullSafe(F.col("own"))).select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(_hashed(books.ravel())).alias("codebooks_sha256")
+    )
+
+
+QUERIES["op12_vector_codes"] = op12_vector_codes
+ORACLES["op12_vector_codes"] = f"""
+with v as materialized (
+  select row_number() over () as rid, vec_id, label, list_transform(embedding, lambda e: cast(floor(4096 * cast(e as double)) as bigint)) as w
+  from embeddings where embedding is not null and {_SQL_FINITE}),
+flat as (select rid, unnest(range(len(w))) as i, unnest(w) as v, len(w) // 8 as d from v),
+x as materialized (select rid, i // d as part, i % d as pos, v from flat),
+seeds as (select row_number() over (order by vec_id, w) - 1 as k, rid from v where vec_id is not null qualify k < 16),
+c0 as materialized (select part, k, pos, v from seeds join x using (rid)),
+{_sql_lloyd(6, "part, ")},
+books as (select sha256(string_agg(cast(v as varchar), ',' order by part, k, pos)) as codebooks_sha256 from c6),
+coded as (
+  select rid, string_agg(lpad(to_hex(k), 2, '0'), '' order by part) as code, cast(sum(s) as bigint) as error from a6 group by rid)
+select vec_id, lower(code) as code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from v join coded using (rid), books"""
+
+#: Rules of the url filter; the longest that fits wins.
+URL_RULES = [
+    Rule("block", "net", "/"),
+    Rule("allow", "example.net", "/en/"),
+    Rule("block", "example.com", "/de/"),
+    Rule("allow", "org", "/fr/"),
+]
+
+
+def op13_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Host and path of each page, the rule that decides and its verdict."""
+    judged = filter_urls(_read(spark, sf, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "url_rule.host", "url_rule.path", "url_rule.rule", "url_rule.verdict")
+
+
+QUERIES["op13_url_filter"] = op13_url_filter
+ORACLES["op13_url_filter"] = f"""
+with u as (
+  select page_id, row_number() over () as rid, case when contains(url, '://') then substr(url, instr(url, '://') + 3) end as rest from pages),
+p as (
+  select page_id, rid, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), {SQL_LETTERS}), '') as host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path
+  from u),
+rules as (select * from (values {", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)}) as v(verdict, h, t)),
+m as (
+  select rid, arg_max(h || t, length(h || t)) as rule, arg_max(verdict, length(h || t)) as verdict
+  from p join rules on (host = h or ends_with(host, '.' || h)) and starts_with(path, t) group by rid)
+select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from p left join m using (rid)"""

@@ -14,8 +14,8 @@ from sparkfeat.llm.common import WORD, col, free_name, unit_hash
 #: Category of values without a target of their own, and of missing ones.
 OTHER = "other"
 SWEEPS = 50
-#: Share of all tokens that a sample holds.
-KEEP = 0.5
+#: Share of a sample's tokens that may be missing in categories too small for their target.
+SLACK = 0.02
 SEED = "mix"
 
 
@@ -93,7 +93,30 @@ def _outer(factors: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def fit_mix(cells: DataFrame, targets: Mapping[str, Mapping[str, float]], weight: str, keep: float) -> Mix:
+def largest_sample(weights: np.ndarray, targets: list[np.ndarray], slack: float = SLACK) -> float:
+    """The largest share of all tokens whose targets can be met but for ``slack`` of the sample in each dimension.
+
+    A category can give no more than it holds. With the categories in order of what they
+    hold against their target, the first of them lack most; what any number of them lack
+    together must stay within the slack. Where the targets are what is held, all is kept.
+    """
+    total, most = weights.sum(), 1.0
+    for d, target in enumerate(targets):
+        held = weights.sum(axis=tuple(k for k in range(weights.ndim) if k != d))
+        share = np.where(held > 0, target, 0.0)
+        if share.sum() <= 0:
+            continue
+        share, held = share[share > 0] / share.sum(), held[share > 0] / total
+        order = np.argsort(held / share, kind="stable")
+        asked, given = np.cumsum(share[order]), np.cumsum(held[order])
+        bounds = given[asked > slack] / (asked[asked > slack] - slack)
+        most = min(most, float(bounds.min()))
+    return most
+
+
+def fit_mix(
+    cells: DataFrame, targets: Mapping[str, Mapping[str, float]], weight: str, keep: float | None, slack: float = SLACK
+) -> Mix:
     """Fit the factors to the token weights of ``cells``, one column of categories per dimension.
 
     Every value without a target is in ``other``, so there are no more cells than the product
@@ -104,7 +127,10 @@ def fit_mix(cells: DataFrame, targets: Mapping[str, Mapping[str, float]], weight
     weights = np.zeros([len(s) for s in shares.values()])
     for row in cells.groupBy(*[col(d) for d in shares]).agg(F.sum(col(weight)).alias("__w")).collect():
         weights[tuple(places[d][row[d]] for d in shares)] += row["__w"] or 0
-    factors = rake(weights, [np.array(list(s.values())) for s in shares.values()], keep)
+    goals = [np.array(list(s.values())) for s in shares.values()]
+    if keep is None:
+        keep = largest_sample(weights, goals, slack) if weights.any() else 1.0
+    factors = rake(weights, goals, keep)
     return Mix({d: dict(zip(s, f.tolist())) for (d, s), f in zip(shares.items(), factors)}, keep if weights.any() else 0.0)
 
 
@@ -112,7 +138,7 @@ def mix_sources(
     docs: DataFrame,
     targets: Mapping[str, Mapping[str, float]],
     dimensions: Mapping[str, Column],
-    keep: float = KEEP,
+    keep: float | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
     out: str = "mix",
@@ -122,10 +148,13 @@ def mix_sources(
 
     ``targets`` gives the wanted share of tokens per value of each of the ``dimensions`` (a
     column each); values without a target, null included, are one category ``other`` with what
-    the targets leave. The tokens of the cells are raked to all marginals, and a document's
-    probability is its cell's factor, scaled so that the largest is 1: the largest sample
-    without repeats whose expected tokens have the target marginals. A cell whose category
-    has target 0 gets probability 0.
+    the targets leave. ``keep`` is the share of all tokens to sample; without it, it is the
+    largest one that can meet the targets but for ``SLACK`` (2 %) of the sample in each dimension, so
+    categories that are rare against their target are kept whole and hold the others down
+    only a little, and nothing is dropped where the marginals fit already. The tokens of the
+    cells are raked to all marginals, and a document's probability is ``keep`` times its
+    cell's factors, 1 at most. A cell whose category has target 0 gets probability 0: leave a
+    share for ``other`` unless rows of other values, and those without any, are to go.
 
     ``draw`` is a hash of id and text, so a document's fate is the same on every run and
     retry, and repeated rows share it. A null text has no tokens but is drawn like any
@@ -134,7 +163,7 @@ def mix_sources(
     """
     if free_name(docs, out) != out:
         raise ValueError(f"the documents already have a column {out!r}")
-    if not 0 < keep <= 1:
+    if keep is not None and not 0 < keep <= 1:
         raise ValueError("the share to keep is above 0 and at most 1")
     shares = {d: full_shares(t) for d, t in targets.items()}
     categories = {d: category(dimensions[d], shares[d]) for d in shares}

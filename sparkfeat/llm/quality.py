@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -183,7 +184,7 @@ def train_quality(
 
     The n-gram vectors are stored once. In each pass every shard learns its own rows in the
     order of a hash, starting from the common state, and the shards' changes are averaged;
-    what reaches the driver is at most one row per hashed place. Null ids, null labels and
+    what reaches the driver is at most one row per hashed place, as Arrow columns. Null ids, null labels and
     ids without a document are not learned from; without any row every score is 0.5.
     """
     schema = "place array<int>, value array<float>"
@@ -199,23 +200,28 @@ def train_quality(
     rows = kept(rows.select("label", order.alias("order"), F.pmod(order, F.lit(shards)).alias("shard"), vectors("text").alias("v")))
     state = Ftrl.empty()
     for _ in range(passes):
+        start = docs.sparkSession.sparkContext.broadcast((state.z.tobytes(), state.n.tobytes()))
         moves = rows.select("shard", "order", "label", "v.place", "v.value").groupBy("shard").applyInPandas(
-            _pass(state), "place int, z double, n double"
+            _pass(start, state), "place int, z double, n double"
         )
-        for row in moves.groupBy("place").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).collect():
-            state.z[row["place"]] += row["z"] / shards
-            state.n[row["place"]] += row["n"] / shards
+        total = moves.groupBy("place").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toArrow()
+        at = total.column("place").to_numpy()
+        state.z[at] += total.column("z").to_numpy() / shards
+        state.n[at] += total.column("n").to_numpy() / shards
+        start.destroy()
     return QualityModel(state.weights().astype(np.float32))
 
 
-def _pass(start: Ftrl):
+def _pass(start: Broadcast, settings: Ftrl):
     """One shard's pass over its rows; gives by how much each touched place has moved."""
+    alpha, beta, l1, l2 = settings.alpha, settings.beta, settings.l1, settings.l2
 
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
-        own = Ftrl(start.z.copy(), start.n.copy(), start.alpha, start.beta, start.l1, start.l2)
+        z, n = (np.frombuffer(x) for x in start.value)
+        own = Ftrl(z.copy(), n.copy(), alpha, beta, l1, l2)
         for row in rows.sort_values("order").itertuples():
             own.learn(np.asarray(row.place), np.asarray(row.value, dtype=np.float64), row.label)
-        at = np.flatnonzero(own.n != start.n)
-        return pd.DataFrame({"place": at.astype(np.int32), "z": own.z[at] - start.z[at], "n": own.n[at] - start.n[at]})
+        at = np.flatnonzero(own.n != n)
+        return pd.DataFrame({"place": at.astype(np.int32), "z": own.z[at] - z[at], "n": own.n[at] - n[at]})
 
     return learn

@@ -14,7 +14,7 @@ from sparkfeat.llm.chat import BUDGET, END, ESCAPES, HISTORY, OPEN, SHUT, SYSTEM
 from sparkfeat.llm.common import fresh_path
 from sparkfeat.llm.langid import train_languages
 from sparkfeat.llm.license_scan import TEMPLATES, scan_licenses
-from sparkfeat.llm.mixing import KEEP, mix_sources, topic_of
+from sparkfeat.llm.mixing import SLACK, mix_sources, topic_of
 from sparkfeat.llm.outliers import quality_rules
 from sparkfeat.llm.product_codes import compress_vectors
 from sparkfeat.llm.quality import QualityModel, train_quality
@@ -66,10 +66,11 @@ select doc_id, cast(n_bytes as bigint) as n_bytes,
 from best join nodes on nodes.depth = best.depth and nodes.prefix = (code >> (60 - best.depth))"""
 
 
-#: Wanted shares of tokens: the hot source is held down, small languages are raised.
+#: Wanted shares of tokens: the hot source is held down, small languages are raised. Other sources and languages,
+#: and rows without one, have a share too; a topic is one of the four.
 TARGETS = {
     "source": {"src0": 0.20, **{f"src{i}": 0.04 for i in range(1, 20)}},
-    "lang": {"en": 0.52, "de": 0.18, "fr": 0.18, "es": 0.12},
+    "lang": {"en": 0.50, "de": 0.18, "fr": 0.18, "es": 0.12},
     "topic": {"prose": 0.90, "numbers": 0.05, "legal": 0.03, "tables": 0.02},
 }
 
@@ -123,9 +124,18 @@ reach as (
   select dim, value, share / sum(share) over (partition by dim) as share
   from shares
   where (dim, value) in (select ('source', s) from cells union select ('lang', l) from cells union select ('topic', c) from cells)),
-total as (select {KEEP} * cast(sum(w) as double) as wanted from cells),
+held as (
+  select dim, value, share, sum(w) / (select sum(w) from cells) as held
+  from reach join (select 'source' as dim, s as value, w from cells union all select 'lang', l, w from cells
+                   union all select 'topic', c, w from cells) using (dim, value)
+  where share > 0 group by dim, value, share),
+bounds as (
+  select sum(share) over o as asked, sum(held) over o as given
+  from held window o as (partition by dim order by held / share, value rows between unbounded preceding and current row)),
+size as (select least(1.0, min(given / (asked - {SLACK})) filter (where asked > {SLACK})) as keep from bounds),
+total as (select keep, keep * cast(sum(w) as double) as wanted from cells, size group by keep),
 fit as (
-  select 0 as k, s, l, c, cast(w as double) as w, cast(1 as double) as f,
+  select 0 as k, keep, s, l, c, cast(w as double) as w, cast(1 as double) as f,
          least(rs.share * wanted, sum(w) over (partition by s)) as gs,
          least(rl.share * wanted, sum(w) over (partition by l)) as gl,
          least(rc.share * wanted, sum(w) over (partition by c)) as gc
@@ -134,13 +144,13 @@ fit as (
   join reach rl on rl.dim = 'lang' and rl.value = l
   join reach rc on rc.dim = 'topic' and rc.value = c
   union all
-  select k + 1, s, l, c, w,
-         f * case k % 3 when 0 then gs / sum(w * least(1.0, {KEEP} * f)) over (partition by s)
-                        when 1 then gl / sum(w * least(1.0, {KEEP} * f)) over (partition by l)
-                        else gc / sum(w * least(1.0, {KEEP} * f)) over (partition by c) end,
+  select k + 1, keep, s, l, c, w,
+         f * case k % 3 when 0 then gs / sum(w * least(1.0, keep * f)) over (partition by s)
+                        when 1 then gl / sum(w * least(1.0, keep * f)) over (partition by l)
+                        else gc / sum(w * least(1.0, keep * f)) over (partition by c) end,
          gs, gl, gc
   from fit where k < 150),
-last as (select s, l, c, least(1.0, {KEEP} * f) as p from fit where k = 150)
+last as (select s, l, c, least(1.0, keep * f) as p from fit where k = 150)
 select doc_id, topic, n_tokens, round(coalesce(p, 0.0), 6) as probability, draw < coalesce(p, 0.0) as kept
 from d left join last using (s, l, c)"""
 

@@ -10,7 +10,6 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -20,8 +19,8 @@ from sparkfeat.llm.common import col
 
 #: Bytes of a row group, rows of a page at most (the grain of the page index).
 ROW_GROUP_BYTES, PAGE_ROWS = 16 << 20, 1000
-#: Runs whose ids a worker remembers (twice as many at most), characters encoded at once, runs joined for one call.
-REMEMBERED, PART_CHARS, JOINED = 250_000, 4 << 20, 1000
+#: Runs whose ids a worker remembers (twice as many at most), bytes of text encoded at once, runs joined for one call.
+REMEMBERED, PART_BYTES, JOINED = 250_000, 4 << 20, 1000
 #: Rows of a batch between Spark and Python while token lists are written.
 BATCH_ROWS = 1000
 
@@ -39,13 +38,19 @@ class Memory:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def missing(self, pieces: list[str]) -> list[str]:
-        """Those that must be learned; all others are in the young generation afterwards."""
+    def look_up(self, pieces: list[str]) -> tuple[list[bytes | None], list[int]]:
+        """The ids of each piece, and the places of those that must be learned (None so far)."""
         if len(self.young) > REMEMBERED:
             self.young, self.old = {}, self.young
-        absent = [p for p in pieces if p not in self.young]
-        self.young.update((p, self.old[p]) for p in absent if p in self.old)
-        return [p for p in absent if p not in self.old]
+        found = list(map(self.young.get, pieces))
+        new = []
+        for i in [i for i, x in enumerate(found) if x is None]:
+            known = self.old.get(pieces[i])
+            if known is None:
+                new.append(i)
+            else:
+                found[i] = self.young[pieces[i]] = known
+        return found, new
 
 
 def gather(flat: np.ndarray, size: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,43 +109,55 @@ class Encoder:
         # Each word is two pieces: letters and marks, or the whole of an odd word and nothing.
         first = pc.if_else(cut.is_valid(), letters, words)
         coded = pa.concat_arrays([first, pc.fill_null(pc.if_else(cut.is_valid(), marks, ""), "")]).dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
-        odd = set(words.filter(pa.array(~plain)).to_pylist())
-        new = self.memory.missing(pieces)
-        runs, whole = [p for p in new if p and p not in odd], [p for p in new if p in odd or not p]
-        ids = self.memory.young
-        ids.update(zip(runs, self._piece_ids(runs)))
-        ids.update(zip(whole, self._ids(whole)))
-        raw = [ids[p] for p in pieces]
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist makes a scalar of each first
+        raw, new = self.memory.look_up(pieces)
+        if new:
+            odd = set(words.filter(pa.array(~plain)).to_numpy(zero_copy_only=False))
+            for places, encode in (
+                ([i for i in new if pieces[i] and pieces[i] not in odd], self._piece_ids),
+                ([i for i in new if not pieces[i] or pieces[i] in odd], self._ids),
+            ):
+                for i, ids in zip(places, encode([pieces[i] for i in places])):
+                    raw[i] = self.memory.young[pieces[i]] = ids
         flat = np.frombuffer(b"".join(raw), dtype="<u4")
         size = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
         two = coded.indices.to_numpy().reshape(2, -1).T.ravel()
         out, n = gather(flat, size, two)
         return out, n[0::2] + n[1::2]
 
-    def encode(self, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
-        """The ids of each text; a null counts as empty."""
-        part: list[str] = []
-        held = 0
-        for text in texts:
-            part.append(text or "")
-            held += len(part[-1])
-            if held >= PART_CHARS:
-                yield from self._encode(part)
-                part, held = [], 0
-        yield from self._encode(part)
-
-    def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        if not texts:
-            return
-        whole = [not self.by_words or any(c in t for c in self.control) for t in texts]
-        split = pc.split_pattern(pc.replace_substring(pa.array(["" if w else t for t, w in zip(texts, whole)], pa.large_string()), "\n", " "), " ")
+    def encode(self, texts: pa.Array, end: np.ndarray) -> pa.Array:
+        """The ids of each text as a list, with ``end`` after them; a null counts as empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        room = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) // PART_BYTES
+        cuts = np.flatnonzero(np.diff(room, prepend=-1, append=-1)) if len(texts) else [0, 0]
+        parts = [self._encode(texts.slice(a, b - a), end) for a, b in zip(cuts, cuts[1:])]
+        return pa.concat_arrays(parts) if len(parts) != 1 else parts[0]
+
+    def _encode(self, texts: pa.Array, end: np.ndarray) -> pa.Array:
+        whole = np.full(len(texts), not self.by_words)
+        for control in self.control if self.by_words else []:
+            whole |= pc.match_substring(texts, control).to_numpy(zero_copy_only=False)
+        plain = pc.if_else(pa.array(whole), "", texts) if whole.any() else texts
+        split = pc.split_pattern(pc.replace_substring(plain, "\n", " "), " ")
         coded = split.flatten().dictionary_encode()
         flat, size = self._word_ids(coded.dictionary)
         ids, n = gather(flat, size, coded.indices.to_numpy())
-        ends = np.concatenate([[0], np.cumsum(n)])[split.offsets.to_numpy()]
-        for text, plainly, a, b in zip(texts, whole, ends, ends[1:]):
-            yield np.frombuffer(self._ids([text])[0], dtype="<u4") if plainly else ids[a:b]
+        offsets = split.offsets.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(n)])[offsets - offsets[0]]
+        if whole.any():
+            held = [ids[a:b] for a, b in zip(ends, ends[1:])]
+            odd = np.flatnonzero(whole)
+            for i, raw in zip(odd, self._ids(texts.take(pa.array(odd)).to_pylist())):
+                held[i] = np.frombuffer(raw, dtype="<u4")
+            ids, ends = np.concatenate(held), np.concatenate([[0], np.cumsum([len(x) for x in held])])
+        after = ends + len(end) * np.arange(len(ends))
+        out = np.empty(after[-1], dtype="<u4")
+        mine = np.ones(len(out), dtype=bool)
+        for k, x in enumerate(end):
+            out[after[1:] - len(end) + k] = x
+            mine[after[1:] - len(end) + k] = False
+        out[mine] = ids
+        return pa.ListArray.from_arrays(pa.array(after, pa.int32()), pa.array(out.view("<i4")))
 
 
 def _worker_encoder(definition: str, by_words: bool) -> Encoder:
@@ -157,12 +174,11 @@ def token_ids(text: Column, definition: str, by_words: bool, end_id: int | None)
     """The ids of the whole text as a list, with ``end_id`` after them unless it is None."""
     end = np.array([] if end_id is None else [end_id], dtype="<u4")
 
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _worker_encoder(definition, by_words)
         for texts in batches:
-            ids = [np.concatenate([x, end]).view("<i4") for x in encoder.encode(texts)]
-            yield pd.Series(ids, index=texts.index, dtype=object)
+            yield encoder.encode(texts, end)
 
     return encode(text)
 
@@ -254,9 +270,11 @@ def with_starts(rows: DataFrame) -> DataFrame:
 def ids_crc32(ids: Column) -> Column:
     """Unsigned crc32 of the ids as little-endian unsigned 32-bit numbers."""
 
-    @F.pandas_udf("long")
-    def crc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("long")
+    def crc(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for lists in batches:
-            yield pd.Series([zlib.crc32(np.asarray(x, dtype="<u4").tobytes()) for x in lists], dtype="int64")
+            flat = memoryview(lists.values.to_numpy().astype("<i4", copy=False)).cast("B")
+            ends = (lists.offsets.to_numpy() * 4).tolist()
+            yield pa.array([zlib.crc32(flat[a:b]) for a, b in zip(ends, ends[1:])], pa.int64())
 
     return crc(ids)

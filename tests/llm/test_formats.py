@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -46,12 +47,16 @@ def crc(ids):
 
 def test_word_encoder_equals_the_tokenizer(tokenizer, monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED", 5)
-    monkeypatch.setattr(token_files, "PART_CHARS", 40)
+    monkeypatch.setattr(token_files, "PART_BYTES", 40)
     monkeypatch.setattr(token_files, "JOINED", 3)
     encoder = Encoder(open(FILE, encoding="utf-8").read(), by_words=True)
     texts = ODD * 3 + [None]
-    got = [ids.tolist() for ids in encoder.encode(texts)]
-    assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for end in ([], [1], [7, 8]):
+        got = encoder.encode(pa.array(texts), np.array(end, dtype="<u4"))
+        assert got.to_pylist() == [ids + end for ids in want]
+    assert encoder.encode(pa.array([], pa.string()), np.array([1], dtype="<u4")).to_pylist() == []
+    assert encoder.encode(pa.array([None, None], pa.string()), np.array([1], dtype="<u4")).to_pylist() == [[1], [1]]
 
 
 @pytest.mark.parametrize("encoding", ["dictionary", "delta"])

@@ -8,7 +8,7 @@ from corpus_pipeline import STAGES
 from tests.llm.test_quality import prose
 from tests.llm.test_search import plain_hits
 from tests.llm.test_shards_and_mix import plain_shards
-from tests.llm.test_simhash import classes, plain_fingerprint
+from tests.llm.test_similar import plain_kept
 
 SF = "/root/testdata/sf0.001"
 
@@ -44,13 +44,7 @@ def test_quality_keeps_good_and_drops_bad(spark, steps):
 
 
 def test_near_duplicates_against_all_pairs(steps):
-    docs = texts(steps[1])
-    prints = {i: plain_fingerprint(t, 3) for i, t in docs.items()}
-    group = classes(sorted(set(prints.values())), 2)
-    first = {}
-    for i in sorted(prints):
-        first.setdefault(group[prints[i]], i)
-    assert set(texts(steps[2])) == set(first.values())
+    assert set(texts(steps[2])) == plain_kept(texts(steps[1]))
 
 
 def test_decontamination_against_plain(spark, steps):

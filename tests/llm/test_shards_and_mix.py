@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparkfeat.llm.mixing import full_shares, mix_sources, rake, topic_of
+from sparkfeat.llm.mixing import full_shares, largest_sample, mix_sources, rake, topic_of
 from sparkfeat.llm.queries import ORACLES, QUERIES
 from sparkfeat.llm.sharding import assign_shards, hash_code
 from tests.compare import connect, differences
@@ -93,6 +93,29 @@ def test_a_rare_category_does_not_hold_the_others_down():
     assert np.allclose(p[1], 1.0) and np.allclose(p[0], 0.5, atol=1e-3)
 
 
+def test_the_largest_sample():
+    """Nothing goes where the marginals fit; else so much that the targets lack the slack and no more."""
+    weights = np.array([[30.0, 20.0], [30.0, 20.0]])
+    fits = [np.array([0.5, 0.5]), np.array([0.6, 0.4])]
+    assert largest_sample(weights, fits) == 1.0
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        weights = rng.uniform(0, 1, (4, 3)) ** 3
+        targets = [rng.dirichlet(np.ones(4)), rng.dirichlet(np.ones(3))]
+        keep = largest_sample(weights, targets, 0.05)
+        lacking = lambda k: max(
+            1 - np.minimum(t * k * weights.sum(), weights.sum(axis=1 - d)).sum() / (k * weights.sum()) for d, t in enumerate(targets)
+        )
+        assert lacking(keep) <= 0.05 + 1e-9 and (keep == 1 or lacking(keep) == pytest.approx(0.05))
+
+
+def test_a_fitting_corpus_is_kept_whole_and_other_languages_stay(spark):
+    rows = [(i, "one two three", ["en", "de", None, "xx"][i % 4], "a") for i in range(80)]
+    targets = {"source": {"a": 1.0}, "lang": {"en": 0.25, "de": 0.25}}
+    out = mix_sources(docs_frame(spark, rows), targets, {"source": F.col("source"), "lang": F.col("lang")})
+    assert out.filter("mix.kept").count() == 80
+
+
 def test_shares():
     assert full_shares({"a": 0.25}) == {"a": 0.25, "other": 0.75}
     for bad in ({"a": -0.1}, {"a": 0.7, "b": 0.7}):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator, Mapping
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -104,14 +105,36 @@ def units_of(text: Column) -> Column:
     return F.concat(F.transform(lines, named("line")), several, whole)
 
 
-def unit_range(text: str, unit: str, position: int) -> tuple[int, int]:
-    """First word of a unit of ``units_of``, and the word after its last."""
-    count = lambda t: len(re.findall("[a-z0-9]+", t))
-    if unit == "text":
-        return 0, count(text)
-    parts = text.split("\n") if unit == "line" else re.split("\n[ \t\r]*\n", text)
-    start = sum(map(count, parts[:position]))
-    return start, start + count(parts[position])
+def unit_ranges(text: str, units: list[tuple[str, int]]) -> list[tuple[int, int]]:
+    """First word of each of some units of ``units_of``, and the word after its last; each kind is counted once."""
+    starts: dict[str, list[int]] = {}
+    for kind in {k for k, _ in units}:
+        parts = {"line": lambda: text.split("\n"), "paragraph": lambda: re.split("\n[ \t\r]*\n", text), "text": lambda: [text]}[kind]()
+        starts[kind] = [0, *accumulate(len(re.findall("[a-z0-9]+", t)) for t in parts)]
+    return [(starts[kind][i], starts[kind][i + 1]) for kind, i in units]
+
+
+class Taken:
+    """Ranges of words, found by a word that they hold: one table per power of two of their length."""
+
+    def __init__(self) -> None:
+        self.levels: dict[int, dict[int, list[tuple[int, int]]]] = {}
+
+    def add(self, start: int, end: int) -> None:
+        level = max(end - start, 1).bit_length()
+        table = self.levels.setdefault(level, {})
+        for place in range(start >> level, (end >> level) + 1):
+            table.setdefault(place, []).append((start, end))
+
+    def hold_half_of(self, start: int, end: int) -> bool:
+        """Whether one of them holds half of the given range at least; it then reaches the range's middle."""
+        middle = (start + end) // 2
+        return any(
+            2 * (min(end, e) - max(start, b)) >= end - start
+            for level, table in self.levels.items()
+            for place in {middle >> level, (middle + 1) >> level}
+            for b, e in table.get(place, ())
+        )
 
 
 class Spans:
@@ -132,38 +155,65 @@ class Spans:
         self.shared = np.array([threshold * (lo + len(g)) / 2 - 1e-9 for (lo, _), g in zip(bounds, grams)])
 
     def find(self, text: str) -> list[tuple[int, float, int, int, int]]:
-        """``shared, similarity, template, first word, end`` of the best stretch from each word that begins one."""
+        """``shared, similarity, template, first word, end`` of the best stretch from each word that begins one.
+
+        The text is read from its end, with the different bigrams of what has been read in order
+        of their next place: a stretch only changes where it gets a new one. From each start no
+        more of them are tried than a match can have besides the template's own, so the work
+        grows with the words, however often they repeat.
+        """
         words = re.findall("[a-z0-9]+", text)
         ids = np.fromiter((self.word.get(w, 0) for w in words), dtype=np.int64, count=len(words))
         at = self.gram[ids[:-1] * (len(self.word) + 1) + ids[1:]]
         present = np.unique(at[at >= 0])
+        wanted = np.flatnonzero(self.member[present].sum(axis=0) >= self.shared).tolist()
+        if not wanted:
+            return []
+        number: dict[str, int] = {}
+        codes = [number.setdefault(f"{a} {b}", len(number)) for a, b in zip(words, words[1:])]
+        owned = [[g in self.sets[k] for g in number] for k in wanted]
+        spare = [2 * len(self.sets[k]) * (1 / self.threshold - 1) + 1e-9 for k in wanted]
+        inside = (at >= 0).tolist()
         out = []
-        for k in np.flatnonzero(self.member[present].sum(axis=0) >= self.shared).tolist():
-            own, most = self.sets[k], self.bounds[k][1]
-            pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
-            for i in [i for i in np.flatnonzero(at >= 0).tolist() if pairs[i] in own]:
-                seen: set[str] = set()
-                both, best = 0, None
-                for j in range(i, len(pairs)):
-                    g = pairs[j]
-                    if g not in seen:
-                        seen.add(g)
-                        if len(seen) > most:
-                            break
-                        both += g in own
-                    score = 2.0 * both / (len(seen) + len(own))
-                    if g in own and score >= self.threshold and (best is None or score > best[1]):
-                        best = (both, score, k, i, j + 2)
+        ahead: dict[int, int] = {}
+        for i in range(len(codes) - 1, -1, -1):
+            code = codes[i]
+            ahead.pop(code, None)
+            ahead[code] = i
+            if not inside[i]:
+                continue
+            for k, own, most_other in zip(wanted, owned, spare):
+                if not own[code]:
+                    continue
+                size, most = len(self.sets[k]), self.bounds[k][1]
+                both = seen = 0
+                best = None
+                for g in reversed(ahead):
+                    seen += 1
+                    if seen > most:
+                        break
+                    if own[g]:
+                        both += 1
+                        score = 2.0 * both / (seen + size)
+                        if score >= self.threshold and (best is None or score > best[1]):
+                            best = (both, score, k, i, ahead[g] + 2)
+                    elif seen - both > most_other:
+                        break
                 if best:
                     out.append(best)
         return out
 
-    def apart(self, text: str, taken: list[tuple[int, int]]) -> list[tuple[int, float, int, int, int]]:
-        """Stretches of which no half lies in a taken one, the ones that share most first, in order of place."""
-        taken, out = list(taken), []
+    def apart(self, text: str, known: list[tuple[int, int]]) -> list[tuple[int, float, int, int, int]]:
+        """Stretches of which no half lies in a known range or a better stretch; those that share most come first.
+
+        The result is in order of place.
+        """
+        taken, out = Taken(), []
+        for start, end in known:
+            taken.add(start, end)
         for s in sorted(self.find(text), key=lambda s: (-s[0], -s[1], s[3], -s[2])):
-            if all(2 * (min(s[4], e) - max(s[3], b)) < s[4] - s[3] for b, e in taken):
-                taken.append((s[3], s[4]))
+            if not taken.hold_half_of(s[3], s[4]):
+                taken.add(s[3], s[4])
                 out.append(s)
         return sorted(out, key=lambda s: s[3])
 
@@ -230,11 +280,11 @@ def scan_licenses(
 
     @F.pandas_udf(MATCHES)
     def stretches(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for texts, known in batches:
+        for texts, found in batches:
             rows = []
-            for text, units in zip(texts, known):
-                taken = [unit_range(text, u["unit"], u["position"]) for u in units]
-                rows.append([{"license": names[k], "similarity": s, "unit": "words", "position": i} for _, s, k, i, _ in spans.apart(text, taken)])
+            for text, units in zip(texts, found):
+                known = unit_ranges(text, [(u["unit"], u["position"]) for u in units])
+                rows.append([{"license": names[k], "similarity": s, "unit": "words", "position": i} for _, s, k, i, _ in spans.apart(text, known)])
             yield pd.Series(rows, dtype=object)
 
     lowered = F.lower(F.coalesce(col(text_col), F.lit("")))

@@ -16,8 +16,8 @@ LEAST_WORDS, MOST_REPEATED = 50, 50
 
 #: Share of a group that the determinant is minimised over, and refinement steps.
 SUBSET, STEPS = 0.75, 4
-#: Rows a group needs for estimates of its own; smaller ones use their language's, then those of all rows.
-LEAST_ROWS = 200
+#: Rows a group needs for estimates of its own (eight per dimension); smaller ones use their language's, then those of all rows.
+LEAST_ROWS = 40
 #: Smallest standard deviation of a transformed statistic, so that constant ones have an inverse.
 FLOOR = 0.05
 #: Squared Mahalanobis distance beyond which a document is rejected: ten robust deviations, as texts have

@@ -20,7 +20,7 @@ from sparkfeat.llm.common import col
 #: Bytes of a row group, rows of a page at most (the grain of the page index).
 ROW_GROUP_BYTES, PAGE_ROWS = 16 << 20, 1000
 #: Runs whose ids a worker remembers (twice as many at most), bytes of text encoded at once, runs joined for one call.
-REMEMBERED, PART_BYTES, JOINED = 250_000, 4 << 20, 1000
+REMEMBERED, PART_BYTES, JOINED = 150_000, 4 << 20, 1000
 #: Rows of a batch between Spark and Python while token lists are written.
 BATCH_ROWS = 1000
 

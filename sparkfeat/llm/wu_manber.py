@@ -10,11 +10,11 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkfeat.llm.common import col, fresh_path, free_name
+from sparkfeat.llm.common import col, fresh_path, free_name, kept
 
 #: Words of a window.
 WINDOW = 10
@@ -227,14 +227,23 @@ def _searcher(blob, text: Column, before: Column | None) -> Column:
     return search_on(text, before)
 
 
-def _blocks(spark: SparkSession, benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator:
-    """The benchmark's rows in blocks of about ``block_bytes``, each held by the driver on its own."""
-    rows = benchmark.select(col(item_col).cast("string").alias("item"), col(text_col).alias("text"))
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_bytes: int) -> Iterator[bytes]:
+    """The pickled patterns of the benchmark's different rows in blocks of about ``block_bytes``.
+
+    A task builds each block's tables; the driver holds one blob at a time.
+    """
+    rows = kept(benchmark.select(col(item_col).cast("string").alias("item"), col(text_col).alias("text")).distinct())
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // block_bytes) or 1
     part = F.pmod(F.xxhash64("item", "text"), F.lit(n))
+
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        items = [(None if pd.isna(i) else i, t) for batch in batches for i, t in zip(batch["item"], batch["text"])]
+        yield pd.DataFrame({"blob": [cloudpickle.dumps(Patterns(items, window))]})
+
     for k in range(n):
-        yield [(r["item"], r["text"]) for r in rows.filter(part == k).collect()]
+        made = rows.filter(part == k).coalesce(1).mapInPandas(build, "blob binary").first()
+        yield bytes(made["blob"]) if made else cloudpickle.dumps(Patterns([], window))
 
 
 def find_passages(
@@ -256,7 +265,7 @@ def find_passages(
     a null item id hit words but are not listed; repeated items count once. All columns of
     ``docs`` pass through, and ``out`` may not be one of them.
 
-    The windows are searched in blocks of bounded size, one broadcast each. With more than
+    The windows of the different rows are searched in blocks of bounded size, one broadcast each. With more than
     one block the rows are stored in the shared folder between passes, so no task ever holds
     two blocks.
     """
@@ -264,8 +273,8 @@ def find_passages(
         raise ValueError(f"the documents already have a column {out!r}")
     spark = docs.sparkSession
     before = None
-    for items in _blocks(spark, benchmark, item_col, item_text_col, block_bytes):
-        blob = spark.sparkContext.broadcast(cloudpickle.dumps(Patterns(items, window)))
+    for patterns in _blocks(benchmark, item_col, item_text_col, window, block_bytes):
+        blob = spark.sparkContext.broadcast(patterns)
         if before is not None:
             path = fresh_path(spark, "passages")
             docs.write.parquet(path)

@@ -6,9 +6,12 @@ from pyspark.ml.feature import StandardScaler
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sparkfeat.learning.batched import score_logistic_many
 from sparkfeat.learning.estimators import gbt, logistic
-from sparkfeat.learning.grids import Normal, expand_grid, random_grid
+from sparkfeat.learning.grids import Normal, Uniform, expand_grid, random_grid
+from sparkfeat.learning.guided import guided_search
 from sparkfeat.learning.search import Search, Stage, staged_search, with_repeated_folds
+from sparkfeat.learning.stacking import fit_blend, joined_predictions
 from sparkfeat.learning.training import FeatureVectors, FoldModels, boosting_rounds, feature_names, refit_score
 from sparkfeat.operators.categories import Vocabulary
 from sparkfeat.operators.evaluate import (
@@ -19,10 +22,11 @@ from sparkfeat.operators.evaluate import (
     stratified_folds,
     stratified_split,
 )
+from sparkfeat.operators.impute import global_values
 from sparkfeat.operators.ranks import HASH_SPACE
 from sparkfeat.queries.encodings import sql_hash
 from sparkfeat.queries.matrix import feature_matrix
-from sparkfeat.queries.registry import SQL_PEOPLE, people, query, read
+from sparkfeat.queries.registry import SQL_PEOPLE, SQL_PURCHASES, people, query, read
 from sparkfeat.sources.checkpoints import stored
 from sparkfeat.sources.tables import split_labelled
 
@@ -199,13 +203,37 @@ def random_params(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def buyers(wide: DataFrame) -> DataFrame:
+    """The feature matrix with ``truth`` (whether the orders' sum is above its average) and ``label``, unknown for every fifth customer."""
+    total = F.coalesce("BURO_amount_SUM", F.lit(0.0))
+    mean = global_values(wide, {"mean": F.avg("BURO_amount_SUM")})["mean"]
+    truth = (total > mean).cast("int")
+    return wide.withColumns({"truth": truth, "label": F.when(F.col("c_custkey") % 5 != 0, truth)})
+
+
+SQL_BUYERS = f"""{SQL_PURCHASES},
+    totals as (select o_custkey, cast(coalesce(sum(amount), 0) as double) as total from purchases group by o_custkey),
+    bought as (
+      select c_custkey, cast(coalesce(total, 0) > (select avg(total) from totals) as int) as truth
+      from customer left join totals on c_custkey = o_custkey),
+    buyers as (select *, case when c_custkey % 5 <> 0 then truth end as label from bought)"""
+
+#: AUC that predictions of unseen rows must pass; a constant model has 0.5.
+LEAST_AUC = 0.7
+
+
+def above_chance(scored: DataFrame, label: str, score: str) -> Column:
+    return F.lit(roc_auc(scored, label, score).first()["auc"] > LEAST_AUC)
+
+
 def training_matrix(spark: SparkSession, sf: str, folds: int, repeats: int) -> tuple[DataFrame, DataFrame, list[str]]:
     """Labelled and unlabelled vectors over the whole feature matrix, with fold columns on the labelled rows.
 
-    The balance, and what is made of it, gives the label away and is left out.
+    The label says whether a customer's orders are worth more than those of the average
+    customer, which the other features tell in part. Amounts give it away and are left out.
     """
-    wide = feature_matrix(spark, sf)
-    names = [c for c in feature_names(wide, ["c_custkey", "label"]) if "balance" not in c.lower()]
+    wide = buyers(feature_matrix(spark, sf))
+    names = [c for c in feature_names(wide, ["c_custkey", "label", "truth"]) if "balance" not in c.lower() and "amount" not in c.lower()]
     wide = stored(wide.select("c_custkey", "label", *names))
     train, test = split_labelled(wide, "label")
     vectors = FeatureVectors.fit(train, names)
@@ -220,9 +248,9 @@ def sql_rank(key: str, label: str, seed: int) -> str:
     return f"row_number() over (partition by {label} order by {sql_hash(key, seed)}, {key}) - 1"
 
 
-SQL_FOLDS = f"""{SQL_PEOPLE},
+SQL_FOLDS = f"""{SQL_BUYERS},
     folded as (select c_custkey, label, cast(({sql_rank("c_custkey", "label", 0)}) % 2 as int) as fold
-               from people where label is not null)"""
+               from buyers where label is not null)"""
 
 
 def unit_scaled(train: DataFrame, df: DataFrame) -> DataFrame:
@@ -239,10 +267,17 @@ def share(column: str) -> Column:
 @query(
     "oof_predict",
     f"""with {SQL_FOLDS}
-    select c_custkey, label, fold, true as oof_ok, true as mean_ok from folded
-    union all select c_custkey, null, null, false, true from people where label is null""",
+    select c_custkey, label, fold, true as oof_ok, true as mean_ok, true as auc_ok from folded
+    union all select c_custkey, null, null, false, true, true from buyers where label is null""",
 )
 def oof_predict(spark: SparkSession, sf: str) -> DataFrame:
+    """What holds of the out-of-fold predictions of train rows, and of bagged ones of train and test rows: their AUC passes a bound."""
+    scored = stored(oof_scores(spark, sf))
+    return scored.select("c_custkey", "label", "fold", share("oof"), share("mean")).withColumn("auc_ok", above_chance(scored, "label", "oof"))
+
+
+@query("oof_scores")
+def oof_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Out-of-fold predictions of train rows, bagged ones of train and test rows."""
     train, test, names = training_matrix(spark, sf, 2, 1)
     models = FoldModels.fit(train, gbt(TREES), 2, "fold_0", names)
@@ -250,7 +285,7 @@ def oof_predict(spark: SparkSession, sf: str) -> DataFrame:
     bagged = models.mean_prediction(train, ["c_custkey"], "mean")
     scored = own.join(bagged, "c_custkey")
     both = scored.unionByName(models.mean_prediction(test, ["c_custkey"], "mean"), allowMissingColumns=True)
-    return both.select("c_custkey", "label", "fold", share("oof"), share("mean"))
+    return both.select("c_custkey", "label", "fold", "oof", "mean")
 
 
 @query("fold_importance")
@@ -272,8 +307,8 @@ def importance_per_fold(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "refit_score",
-    f"""with {SQL_PEOPLE}
-    select c_custkey, true as pred_gbt_ok, true as pred_logistic_regression_ok from people where label is null""",
+    f"""with {SQL_BUYERS}
+    select c_custkey, truth, true as pred_gbt_ok, true as pred_logistic_regression_ok, true as auc_ok from buyers where label is null""",
 )
 def refit(spark: SparkSession, sf: str) -> DataFrame:
     """Test scores of both model families, each fitted on all of train: probabilities of the unlabelled rows."""
@@ -283,7 +318,10 @@ def refit(spark: SparkSession, sf: str) -> DataFrame:
     line = refit_score(
         logistic({"C": 1.0}, scaled.count()), scaled, unit_scaled(train, test), "c_custkey", "logistic_regression"
     )
-    return trees.join(line, "c_custkey").select("c_custkey", share("pred_gbt"), share("pred_logistic_regression"))
+    truth = buyers(feature_matrix(spark, sf)).select("c_custkey", "truth")
+    scored = stored(trees.join(line, "c_custkey").join(truth, "c_custkey"))
+    auc_ok = above_chance(scored, "truth", "pred_gbt") & above_chance(scored, "truth", "pred_logistic_regression")
+    return scored.select("c_custkey", "truth", share("pred_gbt"), share("pred_logistic_regression")).withColumn("auc_ok", auc_ok)
 
 
 @query(
@@ -306,7 +344,7 @@ def rounds(spark: SparkSession, sf: str) -> DataFrame:
 def search(spark: SparkSession, sf: str) -> DataFrame:
     """Two stages of logistic candidates over the whole matrix, one row each.
 
-    Scores lie between 0 and 1, and the second stage keeps the strength that was best in the first.
+    Scores pass a bound, and the second stage keeps the strength that was best in the first.
     """
     train, _, _ = training_matrix(spark, sf, 2, 1)
     train = stored(unit_scaled(train, train))
@@ -321,8 +359,55 @@ def search(spark: SparkSession, sf: str) -> DataFrame:
                 F.lit(result.name).alias("stage"),
                 "candidate",
                 F.regexp_extract("params", f"\\b{name}=([^,]+)", 1).alias("varied"),
-                F.col("Score").between(0, 1).alias("score_ok"),
+                F.col("Score").between(LEAST_AUC, 1).alias("score_ok"),
                 F.contains("params", F.lit(frozen)).alias("frozen_ok"),
             )
         )
     return out[0].unionByName(out[1])
+
+
+STRENGTHS = [0.001, 0.01, 0.1, 1.0, 10.0]
+
+
+@query(
+    "logistic_many",
+    f"""select cast(unnest(range({len(STRENGTHS)})) as int) as candidate, true as score_ok, true as spread_ok, count(*) as n_rows
+    from customer where c_custkey % 5 <> 0""",
+)
+def logistic_many(spark: SparkSession, sf: str) -> DataFrame:
+    """Five penalties, two repeats of two folds, all fitted in the same passes: what holds of their scores."""
+    train, _, _ = training_matrix(spark, sf, 2, 2)
+    train = stored(unit_scaled(train, train))
+    scored = score_logistic_many(train, "c_custkey", [{"C": c} for c in STRENGTHS], 2, 2)
+    return scored.table.select(
+        "candidate", (F.col("Score") > LEAST_AUC).alias("score_ok"), F.col("Score_Std").between(0, 0.2).alias("spread_ok"),
+        F.lit(scored.best_predictions.count()).cast("bigint").alias("n_rows"),
+    )
+
+
+@query("stacked_blend")
+def stacked_blend(spark: SparkSession, sf: str) -> DataFrame:
+    """Weights of trees and of two linear models in their blend, with the held-out AUC of each and of the blend."""
+    train, _, names = training_matrix(spark, sf, 2, 1)
+    trees = FoldModels.fit(train, gbt(TREES), 2, "fold_0", names).out_of_fold(train, ["c_custkey"], "pred")
+    scaled = stored(unit_scaled(train, train))
+    fits = score_logistic_many(scaled, "c_custkey", [{"C": 1.0}], 2).best_predictions
+    strict = score_logistic_many(scaled, "c_custkey", [{"C": 1e-4}], 2).best_predictions
+    families = {"trees": trees, "logistic": fits, "strict": strict}
+    rows = stored(joined_predictions(families, "c_custkey").join(train.select("c_custkey", "label"), "c_custkey"))
+    return fit_blend(rows, "label", list(families)).report(rows)
+
+
+@query("guided_search")
+def guided(spark: SparkSession, sf: str) -> DataFrame:
+    """Every trial of a search for the penalty and the number of steps, led by a forest over the scores so far."""
+    train, _, _ = training_matrix(spark, sf, 2, 1)
+    train = stored(unit_scaled(train, train))
+
+    def score(params: list[dict]) -> list[float]:
+        scored = score_logistic_many(train, "c_custkey", [{"C": 10.0 ** p["log_c"], "max_iter": p["max_iter"]} for p in params], 2)
+        found = {r["candidate"]: r["Score_Weighted"] for r in scored.table.collect()}
+        return [found[i] for i in range(len(params))]
+
+    space = {"log_c": Uniform(-5, 2), "max_iter": Uniform(1, 12, whole=True)}
+    return guided_search(spark, space, score, first=5, batches=2, size=3, pool=200).table(spark)

@@ -6,8 +6,8 @@ shuffled once per key whatever the number of features. Sums, means, deviations,
 minima, maxima and counts keep a small fixed state, so rows combine before the
 shuffle and one heavy key costs no more than the others. Medians are made in a
 pass of their own, and ``nunique`` makes Spark shuffle the distinct values (with
-several conditional ones it first multiplies the rows): for such specs collapse
-the rows to key and value before.
+several conditional ones it first multiplies the rows): ``distinct_counts`` makes
+those in one pass.
 """
 
 from __future__ import annotations

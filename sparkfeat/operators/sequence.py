@@ -10,47 +10,44 @@ from sparkfeat.functions.scalars import ratio
 from sparkfeat.operators.impute import global_values
 from sparkfeat.sources.checkpoints import stored
 
-BLOCK = 65_536
-
-
 def gap_summary(df: DataFrame, key: str, value: str) -> DataFrame:
     """Count, sum, sum of squares and maximum of the gaps between sorted values, per key.
 
     ``value`` is a whole number such as a day or an instalment number. Rows collapse to
-    one per (key, value) before the sort, since equal values are a gap of 0. Sorting runs
-    per block of ``BLOCK`` consecutive values, so no task sorts more than that for one
-    key; the gaps between blocks are added from the blocks' first and last values. Values
-    are expected to lie close together, as days and numbers do: were every one in a block
-    of its own, the second sort would see a key's distinct values at once.
+    one per (key, value) before the sort, since equal values are a gap of 0. The pairs are dealt
+    into ranges of about equally many of them and stored, so that they stay where they are. Gaps
+    inside a range are taken there; those between ranges come from the first and last value
+    that a key has in each. So no task sorts more than a range, however many values one key has
+    and however far apart they lie, and the last step sees one row per key and range.
     """
     values = (
         df.filter(col(key).isNotNull())
         .groupBy(col(key).alias("k"), col(value).cast("bigint").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("block", F.floor(F.col("v") / BLOCK))
     )
-    inside = Window.partitionBy("k", "block").orderBy("v")
+    ranges = stored(values.repartitionByRange("k", "v").withColumn("part", F.spark_partition_id()))
+    inside = Window.partitionBy("k", "part").orderBy("v")
     step = (F.col("v") - F.lag("v").over(inside)).cast("double")
-    blocks = (
-        values.withColumn("gap", step)
-        .groupBy("k", "block")
+    parts = (
+        ranges.withColumn("gap", step)
+        .groupBy("k", "part")
         .agg(
             F.sum("n").alias("rows"),
+            F.sum(F.when(F.col("v").isNotNull(), F.col("n"))).alias("known"),
             F.min("v").alias("first"),
             F.max("v").alias("last"),
             F.coalesce(F.sum(F.col("gap") * F.col("gap")), F.lit(0.0)).alias("squares"),
             F.max(F.greatest(F.col("gap"), F.when((F.col("n") > 1) & F.col("v").isNotNull(), 0.0))).alias("widest"),
         )
     )
-    across = Window.partitionBy("k").orderBy("block")
+    across = Window.partitionBy("k").orderBy("part")
     edge = (F.col("first") - F.lag("last").over(across)).cast("double")
-    seen = F.coalesce(F.sum(F.when(F.col("block").isNotNull(), F.col("rows"))), F.lit(0))
     return (
-        blocks.withColumn("edge", edge)
+        parts.withColumn("edge", edge)
         .groupBy("k")
         .agg(
             F.sum("rows").alias("rows"),
-            F.greatest(seen - 1, F.lit(0)).alias("gaps"),
+            F.greatest(F.coalesce(F.sum("known"), F.lit(0)) - 1, F.lit(0)).alias("gaps"),
             F.coalesce(F.max("last") - F.min("first"), F.lit(0)).cast("double").alias("gap_sum"),
             (F.sum("squares") + F.coalesce(F.sum(F.col("edge") * F.col("edge")), F.lit(0.0))).alias("gap_squares"),
             F.greatest(F.max("widest"), F.max("edge")).alias("gap_max"),

@@ -6,6 +6,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
 from sparkfeat.operators import ranks, sequence
 from sparkfeat.operators.evaluate import (
     best_row,
@@ -118,10 +120,18 @@ def brute_gaps(pdf):
     return s, gap
 
 
-@pytest.mark.parametrize("block", [65_536, 50, 1])
-def test_gaps(skewed, monkeypatch, block):
+@pytest.mark.parametrize("ranges", [1, 4, 23])
+def test_gaps(spark, skewed, ranges):
     pdf, df = skewed
-    monkeypatch.setattr(sequence, "BLOCK", block)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
+    try:
+        check_gaps(pdf, df)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def check_gaps(pdf, df):
     s, gap = brute_gaps(pdf)
     filled = gap.fillna(gap.mean())
     want = filled.groupby(s.k).std()
@@ -134,6 +144,18 @@ def test_gaps(skewed, monkeypatch, block):
     np.testing.assert_allclose(got["max"].astype(float), whole["max"])
 
 
+def test_a_hot_key_of_far_apart_values_is_spread(spark, monkeypatch):
+    """A million values of one key, far apart: no range holds much more than its part of them."""
+    kept = []
+    original = sequence.stored
+    monkeypatch.setattr(sequence, "stored", lambda df: kept.append(original(df)) or kept[-1])
+    df = spark.range(1_000_000).select(F.lit(7).alias("k"), (F.col("id") * 1_000_003 + F.col("id") % 13).alias("v"))
+    got = gap_mean_max(df, "k", "v", "mean", "max").first()
+    sizes = [r["count"] for r in kept[0].groupBy("part").count().collect()]
+    assert sum(sizes) == 1_000_000 and len(sizes) > 1 and max(sizes) < 2 * 1_000_000 / len(sizes)
+    assert got["max"] == 1_000_004 and got["mean"] == pytest.approx(1_000_003, abs=1)
+
+
 def test_equal_numbers_are_a_gap_of_zero(spark):
     df = spark.createDataFrame([(1, 3), (1, 3), (1, 4), (2, 1)], "k int, v int")
     # gaps 0 and 1, mean 0.5; the first rows take the mean

@@ -8,7 +8,7 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfeat.functions.columns import col, numeric_columns
+from sparkfeat.sources.checkpoints import stored
 
 # Columns that are ids or the label and never features.
 NOT_FEATURES = ("TARGET", "SK_ID_CURR", "SK_ID_BUREAU", "SK_ID_PREV", "index")
@@ -213,5 +214,5 @@ def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
 
 
 def keep_matrix(df: DataFrame) -> DataFrame:
-    """Keep the training matrix: every fit reads it again. Lost blocks are recomputed."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Store the training matrix: every fit reads it again, and it survives lost executors."""
+    return stored(df)

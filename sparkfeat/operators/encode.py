@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +12,7 @@ from sparkfeat.functions.columns import col, integer_columns
 from sparkfeat.functions.scalars import ratio
 from sparkfeat.operators.impute import global_values
 from sparkfeat.operators.lookup import MAX_BROADCAST_ROWS, counted_lookup
+from sparkfeat.sources.checkpoints import stored
 
 MAX_EXPONENT = 700.0
 
@@ -82,7 +82,7 @@ class ValueTable:
 
     @staticmethod
     def of(table: DataFrame) -> ValueTable:
-        kept = table.persist(StorageLevel.MEMORY_AND_DISK)
+        kept = stored(table)
         # one row per encoded column comes back
         rows = kept.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()
         return ValueTable(kept, {r["column"]: r["n"] for r in rows})

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkfeat.functions.columns import col
 from sparkfeat.functions.scalars import ratio
+from sparkfeat.sources.checkpoints import stored
 
 MAX_BROADCAST_ROWS = 100_000
 
@@ -17,12 +17,12 @@ def counted_lookup(
 ) -> DataFrame:
     """Left join a statistics table that has one row per ``on`` value.
 
-    The table is kept and counted first. Up to ``max_rows`` narrow rows it is
+    The table is stored and counted first. Up to ``max_rows`` narrow rows it is
     broadcast, and ``df`` is not shuffled at all, so a value held by a third of the
     rows does no harm. Beyond that it is a shuffled join in which adaptive execution
     splits the heavy partitions of ``df``.
     """
-    kept = table.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = stored(table)
     small = kept.count() <= max_rows
     return df.join(F.broadcast(kept) if small else kept, on, "left")
 

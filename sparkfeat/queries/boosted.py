@@ -115,7 +115,7 @@ def boosted_trees(spark: SparkSession, sf: str) -> DataFrame:
 
 #: Held-out AUC that the trees must pass; a constant model has 0.5.
 LEAST_AUC = 0.8
-MANY = {"n_estimators": 1000, "num_leaves": 12, "max_bin": 64, "learning_rate": 0.6, "min_data_in_leaf": 20, "lambda_l2": 1.0}
+MANY = {"n_estimators": 1000, "num_leaves": 8, "max_bin": 64, "learning_rate": 1.0, "min_data_in_leaf": 20, "lambda_l2": 1.0}
 
 
 @query(
@@ -130,7 +130,7 @@ def boosted_rounds(spark: SparkSession, sf: str) -> DataFrame:
     predictions of rows by the models that have not seen them pass a bound of the AUC.
     """
     df = labelled_lines(spark, sf).withColumn("fold", kfold("line", 2, 3))
-    fitted = fit_until_best(df, "line", "label", FEATURES, MANY, 2, "fold", patience=4)
+    fitted = fit_until_best(df, "line", "label", FEATURES, MANY, 2, "fold", patience=2)
     own = fitted.out_of_fold()
     facts = own.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("label").cast("bigint").alias("n_positive"))
     best = len(fitted.forests[0].trees)

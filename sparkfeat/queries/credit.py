@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkfeat.functions.columns import col
-from sparkfeat.plans import library, specs
+from sparkfeat.plans import library, selected, specs
 from sparkfeat.queries.registry import query, read
 
 Source = tuple[str, dict[str, str]]
@@ -66,7 +66,7 @@ PREVIOUS: Source = (
         "NAME_CONTRACT_TYPE": "case when o_orderpriority <> '5-LOW' then o_orderpriority end",
         "AMT_ANNUITY": "case when o_orderkey % 7 <> 0 then cast(o_orderkey % 503 as double) end",
         "AMT_APPLICATION": "cast(o_orderkey % 5003 as double)",
-        "AMT_CREDIT": "cast(o_orderkey % 11 * 100 as double)",
+        "AMT_CREDIT": "cast(case o_orderkey % 4 when 0 then 0 when 1 then 64 when 2 then 128 else 256 end as double)",
         "AMT_DOWN_PAYMENT": "case when o_orderkey % 2 = 0 then cast(o_orderkey % 71 as double) end",
         "AMT_GOODS_PRICE": "cast(o_orderkey % 4001 as double)",
         "HOUR_APPR_PROCESS_START": "o_orderkey % 24",
@@ -333,3 +333,109 @@ def avg_payments(spark: SparkSession, sf: str) -> DataFrame:
 def prev_installment_feature(spark: SparkSession, sf: str) -> DataFrame:
     out = library.gen_prev_installment_feature(table(spark, sf, INSTALLMENTS))
     return rounded(out, [c for c in out.columns if c != "SK_ID_CURR"])
+
+
+# --- the builders of the wide pipeline ---------------------------------------------------
+
+POS: Source = (
+    "lineitem",
+    {
+        "SK_ID_CURR": "l_suppkey",
+        "SK_ID_PREV": "l_orderkey",
+        "MONTHS_BALANCE": "-l_linenumber",
+        "CNT_INSTALMENT": "case when l_partkey % 8 <> 0 then cast(l_partkey % 36 as double) end",
+        "SK_DPD": "l_partkey % 6",
+        "SK_DPD_DEF": "l_partkey % 4",
+        "NAME_CONTRACT_STATUS": "case l_returnflag when 'A' then null when 'N' then 'Active' else 'Completed' end",
+    },
+)
+STATUSES = {POS[0]: ["Active", "Completed"], "orders": ["Approved", "Canceled", "Refused"]}
+TYPES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
+
+
+def sql_shares(prefix: str, values: Mapping[str, Sequence[str]], funcs: Sequence[str] = ("mean",)) -> str:
+    """The statistics of the 0/1 indicators of every value and of a missing one."""
+    out = []
+    for c, known in values.items():
+        for v in [*known, "nan"]:
+            x = f"""cast("{c}" is null as int)""" if v == "nan" else f"""cast(coalesce("{c}" = '{v}', false) as int)"""
+            for f in funcs:
+                made = {"mean": f"round(avg({x}), 4)", "var": f"round(var_samp({x}), 4)", "sum": f"cast(sum({x}) as bigint)"}.get(f, f"{f}({x})")
+                out.append(f'{made} as "{prefix}{c}_{v}_{f.upper()}"')
+    return ", ".join(out)
+
+
+def prefixed(prefix: str) -> Callable[[str, str], str]:
+    return lambda c, f: f"{prefix}{c}_{f.upper()}"
+
+
+@query(
+    "wide_pos_cash",
+    f"""select "SK_ID_CURR", {sql_spec(specs.POS_CASH_SPEC, prefixed("POS_"))}, {sql_shares("POS_", {"NAME_CONTRACT_STATUS": STATUSES["lineitem"]})},
+        count(*) as "POS_COUNT" from {sql_table(POS)} group by 1""",
+)
+def wide_pos_cash(spark: SparkSession, sf: str) -> DataFrame:
+    out = selected.pos_cash(table(spark, sf, POS))
+    return rounded(out, long_columns(out))
+
+
+def wide_installments_sql(prefix: str) -> str:
+    return f"""with {SQL_PAID} select "SK_ID_CURR", {sql_spec(specs.SELECTED_INSTALLMENTS_SPEC, prefixed(prefix))},
+        count(*) as "{prefix}COUNT" from i group by 1"""
+
+
+@query("wide_installments", wide_installments_sql("INSTAL_"))
+def wide_installments(spark: SparkSession, sf: str) -> DataFrame:
+    out = selected.installments_payments(table(spark, sf, INSTALLMENTS))
+    return rounded(out, long_columns(out))
+
+
+@query("simple_installments", wide_installments_sql("INS_"))
+def simple_installments(spark: SparkSession, sf: str) -> DataFrame:
+    out = selected.installments_payments(table(spark, sf, INSTALLMENTS), selected.SIMPLE)
+    return rounded(out, long_columns(out))
+
+
+FIVE = ["min", "max", "mean", "sum", "var"]
+
+
+@query(
+    "wide_credit_card",
+    f"""select "SK_ID_CURR", {sql_spec({c: FIVE for c in numbers(CARDS)}, prefixed("CC_"), ["MONTHS_BALANCE", "SK_DPD"])},
+        {sql_shares("CC_", {"NAME_CONTRACT_STATUS": STATUSES["lineitem"]}, FIVE)}, count(*) as "CC_COUNT" from {sql_table(CARDS)} group by 1""",
+)
+def wide_credit_card(spark: SparkSession, sf: str) -> DataFrame:
+    out = selected.credit_card_balance(table(spark, sf, CARDS))
+    return rounded(out, long_columns(out))
+
+
+def sql_subset(spec: Mapping[str, Sequence[str]], prefix: str, where: str) -> str:
+    """The spec over the rows that satisfy the condition; a subset without rows has no sums either."""
+    out = []
+    for c, funcs in spec.items():
+        x = f'case when {where} then "{c}" end'
+        rows = f"count(case when {where} then 1 end)"
+        for f in funcs:
+            made = {"min": f"min({x})", "max": f"max({x})", "mean": f"round(avg({x}), 4)", "var": f"round(var_samp({x}), 4)",
+                    "sum": f"case when {rows} > 0 then cast(coalesce(sum({x}), 0) as double) end"}[f]
+            out.append(f'{made} as "{prefix}{c}_{f.upper()}"')
+    return ", ".join(out)
+
+
+SQL_CLEANED = f"""p as (
+  select * replace ({", ".join(f'nullif("{c}", 365243) as "{c}"' for c in specs.DAY_SENTINEL_COLUMNS)}),
+         "AMT_APPLICATION" / nullif("AMT_CREDIT", 0) as "APP_CREDIT_PERC"
+  from {sql_table(PREVIOUS)})"""
+
+
+@query(
+    "simple_previous",
+    f"""with {SQL_CLEANED} select "SK_ID_CURR", {sql_spec(specs.SELECTED_PREVIOUS_SPEC, prefixed("PREV_"))},
+        {sql_shares("PREV_", {"NAME_CONTRACT_STATUS": STATUSES["orders"], "NAME_CONTRACT_TYPE": TYPES})},
+        {sql_subset(specs.SELECTED_PREVIOUS_SPEC, "APR_", chr(34) + "NAME_CONTRACT_STATUS" + chr(34) + " = 'Approved'")},
+        {sql_subset(specs.SELECTED_PREVIOUS_SPEC, "REF_", chr(34) + "NAME_CONTRACT_STATUS" + chr(34) + " = 'Refused'")}
+    from p group by 1""",
+)
+def simple_previous(spark: SparkSession, sf: str) -> DataFrame:
+    out = selected.previous_applications(table(spark, sf, PREVIOUS), selected.SIMPLE)
+    return rounded(out, long_columns(out))

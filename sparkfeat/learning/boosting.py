@@ -28,6 +28,10 @@ UNIT = 1 << 24
 PENDING = 4
 #: Trees that one projection of a score evaluates.
 SCORED = 25
+#: Rows with different codes whose margins are sent to all tasks at most; more are joined by a shuffle.
+SENT = 100_000
+#: Cells of a partition.
+CELLS = 100_000
 MISSING = -1
 #: Relative error of the quantiles that become bin edges.
 QUANTILE_ERROR = 10_000
@@ -315,9 +319,12 @@ class _Growing:
 class Booster:
     """Trees of ``k`` models over one stored frame of binned rows.
 
-    The frame has the key, ``label`` (null for rows to be scored only), ``weight``, ``fold``,
-    ``codes`` and ``margins`` (one per model). Model ``j`` learns from labelled rows whose fold
-    is not ``j``; without folds there is one model that learns from all.
+    ``rows`` has the key, ``label`` (null for rows to be scored only), ``fold`` and ``codes``.
+    Trees grow over ``cells``: labelled rows that agree in all of these are one, with their
+    number ``n``, ``weights`` and ``margins`` (one per model). All rows of a cell have the same
+    gradients, which are whole numbers, so their sums are those over the rows. Only a drawn
+    share of rows (``row_share``) needs the rows one by one. Model ``j`` learns from labelled
+    rows whose fold is not ``j``; without folds there is one model that learns from all.
     """
 
     def __init__(self, df: DataFrame, key: str, label: str, features: Sequence[str], settings: Boosting, folds: int = 0, fold: str | None = None) -> None:
@@ -326,21 +333,28 @@ class Booster:
         fold_of = F.lit(None).cast("int") if not folds else col(fold).cast("int")
         y = col(label).cast("double")
         rows = self.binning.codes(df, [col(key), y.alias("label"), fold_of.alias("fold")])
-        rows = rows.toDF("key", "label", "fold", "codes")
-        self.bases, weights = self._start(rows)
+        self.rows = stored(rows.toDF("key", "label", "fold", "codes"))
+        known = self.rows.filter("label is not null")
+        if settings.row_share < 1:
+            cells = known.withColumn("n", F.lit(1).cast("long"))
+        else:
+            cells = stored(known.groupBy("label", "fold", "codes").agg(F.count(F.lit(1)).alias("n")))
+            # few rows would lie in one partition, which every pass reads
+            cells = cells.repartition(max(df.sparkSession.sparkContext.defaultParallelism, cells.count() // CELLS))
+        self.bases, weights = self._start(cells)
         own = F.when(F.col("label") > 0, F.array(*[F.lit(w) for w in weights])).otherwise(F.array(*[F.lit(1.0)] * self.k))
-        self.rows = stored(rows.withColumns({"weights": own, "margins": F.array(*[F.lit(b) for b in self.bases])}))
+        self.cells = stored(cells.withColumns({"weights": own, "margins": F.array(*[F.lit(b) for b in self.bases])}))
         self.trees: list[list[Tree]] = [[] for _ in range(self.k)]
         self.pending = 0
 
-    def _start(self, rows: DataFrame) -> tuple[list[float], list[float]]:
+    def _start(self, cells: DataFrame) -> tuple[list[float], list[float]]:
         """The log-odds of each model's rows, and what a positive row weighs in it."""
         s = self.settings
         sums = []
         for j in range(self.k):
-            seen = F.when(F.expr(self._seen_sql(j)), F.col("label"))
-            sums += [F.coalesce(F.sum((seen > 0).cast("long")), F.lit(0)).alias(f"p{j}"), F.count(seen).alias(f"n{j}")]
-        row = rows.agg(*sums).first()
+            n = F.when(F.expr(self._seen_sql(j)), F.col("n"))
+            sums += [F.coalesce(F.sum(x), F.lit(0)).alias(f"{a}{j}") for a, x in (("p", F.when(F.col("label") > 0, n)), ("n", n))]
+        row = cells.agg(*sums).first()
         bases, weights = [], []
         for j in range(self.k):
             pos, neg = row[f"p{j}"], row[f"n{j}"] - row[f"p{j}"]
@@ -361,9 +375,9 @@ class Booster:
         return F.expr(f"array({', '.join(self._margin(j) for j in range(self.k))})")
 
     def settle(self) -> None:
-        """Store the rows with the margins of all trees."""
+        """Store the cells with the margins of all trees."""
         if self.pending:
-            self.rows = stored(self.rows.withColumn("margins", self._margins()))
+            self.cells = stored(self.cells.withColumn("margins", self._margins()))
             self.pending = 0
 
     def grow(self, rounds: int = 1) -> None:
@@ -380,13 +394,11 @@ class Booster:
         n_all = len(self.binning.features)
         drawn = random.Random(s.seed * 1_000_003 + number).sample(range(n_all), max(1, round(s.column_share * n_all))) if n_all else []
         drawn = sorted(drawn)
-        rows = self.rows
+        cells = self.cells
         if s.row_share < 1:
-            rows = rows.filter(F.pmod(F.xxhash64(F.lit(s.seed), F.lit(number), "key"), F.lit(1 << 20)) < int(s.row_share * (1 << 20)))
+            cells = cells.filter(F.pmod(F.xxhash64(F.lit(s.seed), F.lit(number), "key"), F.lit(1 << 20)) < int(s.row_share * (1 << 20)))
         picked = F.col("codes") if len(drawn) == n_all else F.array(*[F.get("codes", F.lit(i)) for i in drawn])
-        now = rows.filter("label is not null").select(
-            "label", "fold", "weights", "codes", picked.alias("picked"), self._margins().alias("m")
-        )
+        now = cells.select("label", "fold", "weights", "codes", "n", picked.alias("picked"), self._margins().alias("m"))
         growing = [_Growing() for _ in range(self.k)]
         while True:
             state = [g.wanted(s) for g in growing]
@@ -410,12 +422,13 @@ class Booster:
             shape = Tree({n: Split(b["feature"], b["code"], bool(b["missing_left"]), b["gain"], *known.children[n]) for n, b in known.known.items() if b and n in known.children})
             node = shape.walk(lambda n, nodes=nodes: str(n) if n in nodes else "cast(null as int)")
             entries.append(f"named_struct('model', {j}, 'node', if({self._seen_sql(j)}, {node}, cast(null as int)), 'm', get(m, {j}), 'w', get(weights, {j}))")
-        met = now.select(F.expr(f"explode(array({', '.join(entries)})) as e"), "label", "picked").filter("e.node is not null")
+        met = now.select(F.expr(f"explode(array({', '.join(entries)})) as e"), "label", "n", "picked").filter("e.node is not null")
         # p is a column of its own, so that g and h do not each work out the margin
-        p = met.select("e.model", "e.node", "label", "picked", "e.w", (1.0 / (1.0 + F.exp(-F.col("e.m")))).alias("p"))
+        p = met.select("e.model", "e.node", "label", "n", "picked", "e.w", (1.0 / (1.0 + F.exp(-F.col("e.m")))).alias("p"))
         g, h = F.round((F.col("p") - F.col("label")) * F.col("w") * UNIT), F.round(F.col("p") * (1.0 - F.col("p")) * F.col("w") * UNIT)
-        cells = p.select("model", "node", g.cast("long").alias("g"), h.cast("long").alias("h"), F.posexplode("picked").alias("at", "code"))
-        sums = cells.groupBy("model", "node", "at", "code").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.count(F.lit(1)).alias("n"))
+        n = F.col("n")
+        bins = p.select("model", "node", (g.cast("long") * n).alias("g"), (h.cast("long") * n).alias("h"), "n", F.posexplode("picked").alias("at", "code"))
+        sums = bins.groupBy("model", "node", "at", "code").agg(*[F.sum(x).alias(x) for x in "ghn"])
         return best_splits(sums, s, drawn)
 
 
@@ -497,16 +510,18 @@ class Boosted:
 
 
 def _finished(booster: Booster, rounds: int, scores: Sequence[float] = ()) -> Boosted:
-    """The models cut down to ``rounds`` trees, with the margins of those."""
-    booster.settle()
-    rows, grown = booster.rows, len(booster.trees[0])
-    for start in range(rounds, grown, SCORED):
-        if start > rounds:
-            rows = stored(rows)
-        late = [f"get(margins, {j}) - ({_sum('0D', t[start : start + SCORED])})" for j, t in enumerate(booster.trees)]
-        rows = rows.withColumn("margins", F.expr(f"array({', '.join(late)})"))
+    """The models cut down to ``rounds`` trees, and all rows with the margins of those.
+
+    Margins are worked out once for all rows of equal codes.
+    """
+    points = booster.rows.select("codes").distinct().withColumn("margins", F.array(*[F.lit(b) for b in booster.bases]))
+    for start in range(0, rounds, SCORED):
+        sums = [_sum(f"get(margins, {j})", t[start : min(start + SCORED, rounds)]) for j, t in enumerate(booster.trees)]
+        points = stored(points.withColumn("margins", F.expr(f"array({', '.join(sums)})")))
+    points = F.broadcast(points) if points.count() <= SENT else points
     forests = tuple(Forest(b, tuple(t[:rounds]), booster.binning) for b, t in zip(booster.bases, booster.trees))
-    return Boosted(forests, stored(rows.select("key", "label", "fold", "margins")), booster.key, tuple(scores))
+    rows = booster.rows.join(points, "codes").select("key", "label", "fold", "margins")
+    return Boosted(forests, stored(rows), booster.key, tuple(scores))
 
 
 def fit_boosted(
@@ -526,15 +541,15 @@ def fit_boosted(
 def round_scores(booster: Booster, rounds: int) -> list[float]:
     """The exact AUC of held-out rows after each of the last ``rounds`` trees, averaged over the folds.
 
-    The margins after every tree are one array per row, made in one pass; ties count half.
+    The margins after every tree are one array per cell, made in one pass; ties count half.
     """
     total = len(booster.trees[0])
     if rounds > booster.pending:
         raise ValueError("the margins of settled trees are not kept")
     per_model = [f"array({', '.join(booster._margin(j, skip) for skip in range(rounds - 1, -1, -1))})" for j in range(booster.k)]
     held = F.expr("case fold " + " ".join(f"when {j} then {x}" for j, x in enumerate(per_model)) + " end")
-    rows = booster.rows.filter("label is not null and fold is not null").select("label", "fold", F.posexplode(held).alias("at", "score"))
-    auc = roc_auc(rows, "label", "score", ["fold", "at"]).groupBy("at").agg(F.avg("auc").alias("auc"))
+    cells = booster.cells.filter("fold is not null").select("label", "fold", "n", F.posexplode(held).alias("at", "score"))
+    auc = roc_auc(cells, "label", "score", ["fold", "at"], count="n").groupBy("at").agg(F.avg("auc").alias("auc"))
     found = {r["at"]: r["auc"] for r in auc.collect()}
     return [float(found.get(i) or 0.0) for i in range(min(rounds, total))]
 
@@ -545,7 +560,8 @@ def fit_until_best(
     """Fit until the mean held-out AUC has not risen for ``patience`` rounds, and keep the best round.
 
     Every model grows on from the trees it has, a few at a time, so no tree is fitted twice,
-    and no more than ``PENDING - 1`` trees beyond those that the decision needs.
+    and no more than ``PENDING - 1`` trees beyond those that the decision needs. What is grown
+    beyond counts for nothing: the scores end with the decision.
     """
     settings = params if isinstance(params, Boosting) else Boosting.of(params)
     booster = Booster(df, key, label, features, settings, folds, fold)
@@ -557,7 +573,8 @@ def fit_until_best(
         scores += round_scores(booster, step)
         if len(scores) - best_round(scores, patience) >= patience:
             break
-    return _finished(booster, best_round(scores, patience), scores)
+    best = best_round(scores, patience)
+    return _finished(booster, best, scores[: best + patience])
 
 
 def best_round(scores: Sequence[float], patience: int) -> int:

@@ -33,17 +33,20 @@ def stratified_split(
     return ranked.select(*[col(c) for c in df.columns], test.cast("int").alias(out))
 
 
-def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), out: str = "auc") -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), out: str = "auc", count: str | None = None) -> DataFrame:
     """Exact area under the ROC curve, ties counting half, over all rows or per group.
 
+    ``count`` names a column that says how many rows a row stands for.
+
     Rows collapse to distinct scores, scores are sorted per score bucket, and bucket
     totals supply the negatives of the lower buckets. A group with one class is NULL.
     """
     by = list(by)
     y = col(label).cast("int")
+    n = F.lit(1) if count is None else col(count)
     rows = df.filter(y.isNotNull() & col(score).isNotNull())
     scores = rows.groupBy(*[col(c) for c in by], col(score).alias("s")).agg(
-        F.sum(y).cast("double").alias("pos"), F.sum(1 - y).cast("double").alias("neg")
+        F.sum(y * n).cast("double").alias("pos"), F.sum((1 - y) * n).cast("double").alias("neg")
     )
     scores = with_quantile_bucket(rows.select(col(score).alias("s")), scores, "s", "b")
     lower = Window.partitionBy(*by, "b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)

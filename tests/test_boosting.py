@@ -205,3 +205,25 @@ def test_settings():
 def test_no_labelled_rows(rows):
     fitted = fit_boosted(rows.filter("y is null"), "id", "y", FEATURES, {"n_estimators": 2})
     assert {r["prediction"] for r in fitted.mean_prediction().collect()} == {0.5}
+
+
+def test_equal_rows_are_grown_over_once(spark):
+    """Rows of equal label, fold and codes are one cell; trees, scores and margins are those of the rows one by one."""
+    df = spark.range(3000).selectExpr("id", "cast(id % 7 as double) as a", "cast(id % 5 as double) as b", "int(id % 7 + id % 5 + id % 3 > 6) as y", "int(id % 2) as fold")
+    s = Boosting.of({"num_leaves": 5, "learning_rate": 0.5})
+    booster = Booster(df, "id", "y", ["a", "b"], s, 2, "fold")
+    assert booster.cells.count() <= 7 * 5 * 2 * 2 and booster.cells.agg(F.sum("n")).first()[0] == 3000
+    single = Booster(df, "id", "y", ["a", "b"], s, 2, "fold")
+    single.cells = single.rows.join(single.cells, ["label", "fold", "codes"]).withColumn("n", F.lit(1).cast("long"))
+    booster.grow(2)
+    single.grow(2)
+    assert booster.trees == single.trees and round_scores(booster, 2) == round_scores(single, 2)
+
+
+def test_trees_beyond_the_decision_do_not_count(rows, monkeypatch):
+    """However many trees are grown at a time, the scores end where the decision falls."""
+    import sparkfeat.learning.boosting as module
+
+    monkeypatch.setattr(module, "round_scores", lambda booster, n: [[0.5, 0.6, 0.55, 0.9][len(booster.trees[0]) - n + i] for i in range(n)])
+    fitted = fit_until_best(rows, "id", "y", FEATURES, {"n_estimators": 4, "num_leaves": 3}, 2, "fold", patience=1)
+    assert fitted.scores == (0.5, 0.6, 0.55) and len(fitted.forests[0].trees) == 2

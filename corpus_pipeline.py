@@ -26,8 +26,12 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five-word shingles, similarity 0.8), the document with the smallest id stays."""
-    return drop_similar(docs, shingle=5, similar=0.8)
+    """Of each group of near duplicates, the document with the smallest id stays.
+
+    SimHash fingerprints that differ in two bits or fewer link documents, and an exact check of each link follows
+    (five-word shingles, similarity 0.8); similar documents whose fingerprints differ more are added to the links.
+    """
+    return drop_similar(docs, shingle=5, similar=0.8, bits=2)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

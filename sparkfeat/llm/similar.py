@@ -1,4 +1,4 @@
-"""Near duplicates by the exact Jaccard similarity of word shingles, found through rare shared shingles."""
+"""Near duplicates by the exact Jaccard similarity of word shingles, found by SimHash and through rare shared shingles."""
 
 from __future__ import annotations
 
@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from sparkfeat.llm.common import LOWER, col, fresh_path, kept
 from sparkfeat.llm.graph import components
-from sparkfeat.llm.simhash import PAIRED, groups_of, one_of_each
+from sparkfeat.llm.simhash import PAIRED, fingerprint_column, groups_of, links, one_of_each
 
 SHINGLE, SIMILAR = 5, 0.8
+#: Words of the shingles that SimHash fingerprints are made of, and bits in which linked fingerprints differ at most.
+PRINTED, BITS = 3, 2
 SEED = 42
 #: Shingles that a pair must share among its rarest ones before it is compared as a whole.
 NEEDED = 4
@@ -159,15 +161,33 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similar: Fracti
     return kept(pairs.join(left, "a").join(right, "b").filter(alike("own_a", "own_b")).select("a", "b"))
 
 
+def _spare(size: Column, similar: Fraction) -> Column:
+    """First shingles of a text (those of ``_rare_tokens``) less all of its shingles: not above 0."""
+    return F.least(F.lit(0), F.lit(NEEDED) - F.ceil(size * float(similar) - 1e-6)).cast("bigint")
+
+
+def _must_share(a: Column, b: Column, similar: Fraction) -> Column:
+    """First shingles that two similar texts of these places have in common at least.
+
+    They share ``similar / (1 + similar)`` of the sum of their sizes, so of one text no more than the rest of its size
+    is missing in the other. The text whose first shingles end earlier in the common order has those that are not
+    missing among the first ones of the other text, too.
+    """
+    a, b = _size(a), _size(b)
+    return F.ceil((a + b) * float(similar / (1 + similar)) - 1e-6) + F.least(_spare(a, similar), _spare(b, similar))
+
+
 def _met(left: Column, right: Column, similar: Fraction, shared: int) -> Column:
-    """Whether a token that two texts (structs of ``fp, place``) have at these places can make them a candidate.
+    """Whether a token that two texts (structs of ``fp, place, met``) have at these places can make them a candidate.
 
     The shorter text (of equally long ones that with the smaller ``fp``) needs the token among its first shingles of
-    the stricter bound, the longer one among those of the weaker; sizes must allow the similarity at all.
+    the stricter bound, the longer one among those of the weaker; sizes must allow the similarity at all, and of each
+    text's first shingles so many (``met``) must occur in other texts as similar ones have in common.
     """
     a, b = _size(left["place"]), _size(right["place"])
     order = F.struct(a, left["fp"]) < F.struct(b, right["fp"])
     fits = F.least(a, b) >= F.greatest(a, b) * float(similar) - 1e-6
+    fits = fits & (F.least(left["met"], right["met"]) >= _must_share(left["place"], right["place"], similar))
     return fits & F.when(order, _reaches(left, right, similar, shared)).otherwise(_reaches(right, left, similar, shared))
 
 
@@ -179,27 +199,46 @@ def _whole(a: Column, b: Column, similar: Fraction) -> Column:
 def _candidates(rows: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Distinct ``(a, b)`` of rows ``a, b, counted, whole``, one per shared token, that share ``whole`` tokens.
 
-    ``counted`` is 1 for tokens that count. ``hot`` has the crowded tokens ``(fp, tokens)`` that a text has besides, of
-    which a row's own ``hot`` says how many both can share at most: pairs that lack some are looked up there.
+    ``counted`` is 1 for tokens that count. ``hot`` has all first tokens ``(fp, tokens)`` of the texts with crowded ones,
+    of which a row's own ``hot`` says how many both can share at most. Pairs of such texts are looked up there and must
+    have ``must`` first tokens in common.
     """
-    each = rows.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "counted", "whole", *(["hot"] if hot is not None else []))
+    each = rows.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "counted", "whole", *([] if hot is None else ["hot", "must"]))
     sums = [F.sum("counted").alias("n"), F.max("whole").alias("whole")]
     if hot is None:
         return kept(each.groupBy("a", "b").agg(*sums).filter("n >= whole").select("a", "b"))
-    pairs = _written(each.groupBy("a", "b").agg(*sums, F.max("hot").alias("hot")).filter("n + hot >= whole").drop("hot"))
-    unsure = pairs.filter("n < whole").join(hot.toDF("a", "hot_a"), "a").join(hot.toDF("b", "hot_b"), "b")
-    enough = unsure.filter(F.size(F.array_intersect("hot_a", "hot_b")) + F.col("n") >= F.col("whole"))
-    return kept(pairs.filter("n >= whole").select("a", "b").unionByName(enough.select("a", "b")))
+    sums += [F.max(c).alias(c) for c in ("hot", "must")]
+    pairs = _written(each.groupBy("a", "b").agg(*sums).filter("n + hot >= whole").drop("hot"))
+    listed = pairs.join(hot.toDF("a", "hot_a"), "a", "left").join(hot.toDF("b", "hot_b"), "b", "left")
+    both = F.size(F.array_intersect("hot_a", "hot_b")) >= F.greatest("whole", "must")
+    enough = F.when(F.col("hot_a").isNotNull() & F.col("hot_b").isNotNull(), both).otherwise(F.col("n") >= F.col("whole"))
+    return kept(listed.filter(enough).select("a", "b"))
 
 
 def _side(rows: DataFrame, name: str) -> DataFrame:
-    return rows.select("token", F.struct("fp", "place", "comp", "hot").alias(name))
+    return rows.select("token", F.struct("fp", "place", "comp", "hot", "met").alias(name))
 
 
-def similar_links(texts: DataFrame, shingle: int = SHINGLE, similar: float = SIMILAR) -> DataFrame:
+def sketched_links(texts: DataFrame, shingle: int = SHINGLE, similar: float = SIMILAR, bits: int = BITS) -> DataFrame:
+    """Edges ``(a, b)`` of texts (``fp, text``) that SimHash finds and whose shingle sets are similar.
+
+    Texts of one fingerprint are linked to one of them, which is linked to those of other
+    fingerprints that differ in ``bits`` bits or fewer.
+    """
+    prints = texts.select("fp", fingerprint_column(F.col("text"), PRINTED).alias("print"))
+    prints = kept(prints.groupBy("fp").agg(F.first("print").alias("print")))
+    one = kept(prints.groupBy("print").agg(F.min("fp").alias("a")))
+    same = prints.join(one, "print").filter("a <> fp").select("a", F.col("fp").alias("b"))
+    near = links(one.select(F.col("print").alias("fp")), bits).toDF("p", "q")
+    across = near.join(one.toDF("p", "a"), "p").join(one.toDF("q", "b"), "q").select("a", "b")
+    return _confirmed(kept(same.unionByName(across)), texts, shingle, Fraction(str(similar)))
+
+
+def similar_links(texts: DataFrame, shingle: int = SHINGLE, similar: float = SIMILAR, known: DataFrame | None = None) -> DataFrame:
     """Edges ``(a, b)`` whose components are those of all pairs of ``similar`` Jaccard similarity or more.
 
-    ``texts`` holds ``fp, text``, equal texts with equal ``fp``. All texts' shingles are put
+    ``texts`` holds ``fp, text``, equal texts with equal ``fp``. ``known`` has edges of similar
+    texts, found before; they are among the result. All texts' shingles are put
     in one order, frequent ones last. Two sets of that similarity share ``NEEDED`` shingles
     (all shared ones, if fewer are enough) among the first ``size - ceil(similar * size) +
     NEEDED`` of the longer and the first ``size - ceil(2 * similar / (1 + similar) * size) +
@@ -213,6 +252,10 @@ def similar_links(texts: DataFrame, shingle: int = SHINGLE, similar: float = SIM
     lost: a pair whose first shared shingle is not crowded meets there, and the crowded ones
     that it shares are counted from a list per text before it is compared as a whole.
 
+    Of a text's first shingles, so many must occur in other texts at all as a similar pair of
+    these sizes has in common. So members of a family that are all far from each other by
+    edits of their own, and near the original only, do not meet.
+
     Texts that consist of the same crowded passages in different choice, and so are close to
     the limit pairwise, are still compared pair by pair.
     """
@@ -221,32 +264,36 @@ def similar_links(texts: DataFrame, shingle: int = SHINGLE, similar: float = SIM
     counted = rare.withColumn("n", F.count("*").over(Window.partitionBy("token"))).filter("n > 1")
     shared = _written(counted.select("token", "fp", "place", (F.col("n") > PAIRED).alias("crowded")))
     crowded = shared.filter("crowded")
-    stars = None
-    if crowded.isEmpty():
-        shared = shared.withColumns({"comp": F.col("fp"), "hot": F.lit(0)})
-    else:
-        tokens = kept(crowded.groupBy("fp").agg(F.collect_list("token").alias("tokens")))
-        named = crowded.join(tokens.select("fp", F.size("tokens").alias("hot")), "fp")
-        hubs = named.groupBy("token").agg(F.max(F.struct("hot", "fp", "place")).alias("hub"))
-        hub, own = F.col("hub"), F.struct("fp", "place")
-        spokes = crowded.join(hubs, "token").filter(F.col("fp") != hub["fp"]).filter(_met(hub, own, share, NEEDED)).select(
+    no_links = texts.sparkSession.createDataFrame([], "a bigint, b bigint")
+    known = no_links if known is None else known
+    sums = [F.count(F.lit(1)).alias("met"), F.count_if(F.col("crowded")).alias("hot"), F.collect_list("token").alias("tokens")]
+    facts = kept(shared.groupBy("fp").agg(*sums).select("fp", "met", "hot", F.when(F.col("hot") > 0, F.col("tokens")).alias("tokens")))
+    tokens = facts.filter("hot > 0").select("fp", "tokens")
+    some_crowded = not tokens.isEmpty()
+    stars = no_links
+    if some_crowded:
+        named = crowded.join(facts.select("fp", "met", "hot"), "fp")
+        hubs = named.groupBy("token").agg(F.max(F.struct("hot", "fp", "place", "met")).alias("hub"))
+        hub, own = F.col("hub"), F.struct("fp", "place", "met")
+        spokes = named.join(hubs, "token").filter(F.col("fp") != hub["fp"]).filter(_met(hub, own, share, NEEDED)).select(
             hub["fp"].alias("a"), F.col("fp").alias("b"), F.lit(1).alias("counted"), _whole(hub["place"], F.col("place"), share).alias("whole")
         )
         stars = _confirmed(_candidates(spokes), texts, shingle, share)
-        roots = components(stars).withColumnRenamed("node", "fp")
-        facts = tokens.select("fp", F.size("tokens").alias("hot")).join(roots, "fp", "left")
-        comp, hot = F.coalesce("root", "fp").alias("comp"), F.coalesce("hot", F.lit(0)).alias("hot")
-        shared = _written(shared.join(facts, "fp", "left").select("token", "fp", "place", "crowded", comp, hot))
-        crowded = shared.filter("crowded")
+    stars = stars.unionByName(known)
+    roots = components(stars).withColumnRenamed("node", "fp")
+    facts = facts.select("fp", "met", "hot").join(roots, "fp", "left").withColumn("comp", F.coalesce("root", "fp"))
+    shared = _written(shared.join(facts.drop("root"), "fp"))
+    crowded = shared.filter("crowded")
     small = shared.filter("not crowded")
     x, y = F.col("x"), F.col("y")
     apart = x["comp"] != y["comp"]
     ends = (x["fp"].alias("a"), y["fp"].alias("b"))
     whole = _whole(x["place"], y["place"], share).alias("whole")
     pairs = _side(small, "x").join(_side(small, "y"), "token").filter(x["fp"] < y["fp"]).filter(apart & _met(x, y, share, NEEDED))
-    pairs = pairs.select(*ends, F.lit(1).alias("counted"), whole, F.least(x["hot"], y["hot"]).alias("hot"))
-    if stars is None:
-        return _confirmed(_candidates(pairs), texts, shingle, share)
+    must = _must_share(x["place"], y["place"], share).cast("int").alias("must")
+    pairs = pairs.select(*ends, F.lit(1).alias("counted"), whole, F.least(x["hot"], y["hot"]).alias("hot"), must)
+    if not some_crowded:
+        return _confirmed(_candidates(pairs), texts, shingle, share).unionByName(stars)
     early = crowded.filter(_early(F.col("place"), share, False, 1)).withColumn("short", _early(F.col("place"), share, True, 1))
     tops = early.groupBy("token", "comp").agg(F.count("*").alias("n"), F.max("short").alias("short")).groupBy("token")
     tops = tops.agg(F.max(F.struct("n", "comp")).alias("m"), F.count("*").alias("comps"), F.max("short").alias("short"))
@@ -256,22 +303,24 @@ def similar_links(texts: DataFrame, shingle: int = SHINGLE, similar: float = SIM
     one = _side(rest.filter("short"), "x").join(_side(early, "y"), "token")
     two = _side(early.filter("short and comp = top"), "x").join(_side(rest, "y"), "token")
     first = F.struct(_size(x["place"]), x["fp"]) < F.struct(_size(y["place"]), y["fp"])
-    met = one.unionByName(two).filter(first & apart & _met(x, y, share, 1)).select(*ends, F.lit(0).alias("counted"), whole, F.lit(NEEDED).alias("hot"))
+    met = one.unionByName(two).filter(first & apart & _met(x, y, share, 1)).select(*ends, F.lit(0).alias("counted"), whole, F.lit(NEEDED).alias("hot"), must)
     found = _confirmed(_candidates(pairs.unionByName(met), tokens), texts, shingle, share)
     return found.unionByName(stars)
 
 
 def drop_similar(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similar: float = SIMILAR
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similar: float = SIMILAR, bits: int = BITS
 ) -> DataFrame:
     """One document of each group of similar texts, with all columns of ``docs``.
 
     Texts whose sets of ``shingle``-word shingles have a Jaccard similarity of ``similar`` or
-    more are linked, and a group is what links lead to. The row with the group's smallest id
+    more are linked, and a group is what links lead to. Links come from SimHash fingerprints
+    that differ in ``bits`` bits or fewer, each confirmed by the similarity; pairs that are
+    similar but further apart in bits are then found by rare shared shingles. The row with the group's smallest id
     stays; if several rows have it (repeated rows, or a group without any id), one of them.
     Null and blank texts are one group. Shingles and texts are compared by 64-bit hashes.
     """
     fp = _text_key(col(text_col))
     rows = kept(docs.select(col(id_col).alias("doc_id"), fp.alias("fp")))
     texts = docs.select(fp.alias("fp"), col(text_col).alias("text"))
-    return one_of_each(docs, id_col, fp, groups_of(rows, lambda _: similar_links(texts, shingle, similar)))
+    return one_of_each(docs, id_col, fp, groups_of(rows, lambda _: similar_links(texts, shingle, similar, sketched_links(texts, shingle, similar, bits))))

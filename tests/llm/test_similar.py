@@ -112,3 +112,33 @@ def test_one_row_of_each_similar_group_stays(awkward, none):
     assert drop_similar(none).count() == 0
     unnamed = awkward.filter(F.col("doc_id").isNull()).unionByName(awkward.filter(F.col("doc_id").isNull()))
     assert drop_similar(unnamed).count() == 2
+
+
+def test_links_of_simhash_are_part_of_the_result(spark, monkeypatch):
+    """Without the search by shared shingles, SimHash still finds the copies that differ little; no link is unconfirmed."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    docs = {0: " ".join(base), 1: " ".join([*base, "more"]), 2: " ".join(base).upper(), 3: " ".join(f"o{i}" for i in range(400)), 4: "", 5: " "}
+    df = spark.createDataFrame(sorted(docs.items()), "doc_id long, text string")
+    monkeypatch.setattr(similar, "similar_links", lambda texts, shingle, share, known: known)
+    assert {r.doc_id for r in corpus_pipeline.without_near_duplicates(spark, df, "").collect()} == plain_kept(docs) == {0, 3, 4}
+
+
+def test_far_members_of_a_family_seldom_meet(spark, monkeypatch):
+    """Most edits of one text that are far from it and from each other are no candidates: too many shingles are their own."""
+    rng = random.Random(4)
+    base = [f"b{i}" for i in range(150)]
+    docs = {i: " ".join(edited(rng, base, 12)) for i in range(200)}
+    monkeypatch.setattr(similar, "FREQUENT", 10**9)
+    met = []
+    original = similar._candidates
+
+    def counted(rows, *hot):
+        out = original(rows, *hot)
+        met.append(out.count())
+        return out
+
+    monkeypatch.setattr(similar, "_candidates", counted)
+    df = spark.createDataFrame(sorted(docs.items()), "doc_id long, text string")
+    assert {r.doc_id for r in drop_similar(df).collect()} == plain_kept(docs)
+    assert sum(met) < len(docs) ** 2 / 8  # of 19,900 pairs

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkfeat.functions.columns import col
+from sparkfeat.sources.checkpoints import stored
 
 #: Formulas of one projection.
 CHUNK = 64
@@ -36,3 +37,12 @@ def formula_chunks(
     names = list(formulas)
     parts = [names[i : i + size] for i in range(0, len(names), size)]
     return [formula_features(df, {n: formulas[n] for n in part}, keep) for part in parts]
+
+
+def equal_rows(df: DataFrame, columns: Sequence[str], count: str) -> DataFrame:
+    """The different rows of ``columns``, each once with its number, stored.
+
+    Formulas depend on their inputs alone, so they are evaluated once per different row. Equal
+    rows combine before the shuffle; where all rows differ, there are as many as before.
+    """
+    return stored(df.groupBy(*[col(c) for c in columns]).agg(F.count(F.lit(1)).alias(count)))

@@ -11,7 +11,7 @@ from sparkfeat.functions.columns import sanitise_columns
 from sparkfeat.operators.categories import MISSING, Vocabulary, first_seen_codes, label_codes, one_hot, with_codes
 from sparkfeat.operators.encode import FoldEncoding, frequency_encode, noise, standardise, target_encode
 from sparkfeat.operators.evaluate import kfold
-from sparkfeat.operators.formula import formula_chunks, formula_features
+from sparkfeat.operators.formula import equal_rows, formula_chunks, formula_features
 from sparkfeat.operators.lookup import unseen_share
 from sparkfeat.queries.registry import (
     SQL_GAPPY,
@@ -23,7 +23,6 @@ from sparkfeat.queries.registry import (
     query,
     read,
 )
-from sparkfeat.sources.checkpoints import stored
 
 K = 5
 
@@ -290,12 +289,13 @@ WIDE_CUT = 0.137913
     select formula, n_above from (unpivot c on columns(*) into name formula value n_above)""",
 )
 def formulas_wide(spark: SparkSession, sf: str) -> DataFrame:
-    """512 formulas in chunks over a stored frame; of each, the rows above a cut."""
-    z = stored(standardise(gappy_lines(spark, sf), STANDARD).select(*STANDARD))
+    """512 formulas in chunks over a stored frame of different inputs; of each, the rows above a cut."""
+    z = equal_rows(standardise(gappy_lines(spark, sf), STANDARD), STANDARD, "n_rows")
     parts = []
-    for chunk in formula_chunks(z, wide_formulas()):
-        counts = chunk.agg(*[F.count_if(F.col(n) > WIDE_CUT).alias(n) for n in chunk.columns])
-        parts.append(counts.unpivot([], chunk.columns, "formula", "n_above"))
+    for chunk in formula_chunks(z, wide_formulas(), ["n_rows"]):
+        names = [c for c in chunk.columns if c != "n_rows"]
+        above = [F.coalesce(F.sum(F.when(F.col(n) > WIDE_CUT, F.col("n_rows"))), F.lit(0)).alias(n) for n in names]
+        parts.append(chunk.agg(*above).unpivot([], names, "formula", "n_above"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from sparkfeat.operators.formula import formula_chunks, formula_features
 from sparkfeat.operators.ranks import HASH_FACTOR, HASH_SPACE, SEED_STEP
 from sparkfeat.plans.formulas import (
     FOLDS,
@@ -118,3 +120,26 @@ def test_formula_matrix(spark, tables):
     assert out.count() == tables["application"].count()
     assert no_nan(out)
     assert out.filter("abs(i7) > 1").count() == 0
+
+
+def test_formulas_of_equal_rows_are_evaluated_once(spark, monkeypatch):
+    """The wide formulas read each different input once, and count all of its rows."""
+    from sparkfeat.queries import encodings
+
+    rows = [(0, 0, 0, 1.0, 2.0, None, 4.0)] * 30 + [(1, 0, 0, None, 5.0, 6.0, 7.0)] * 20 + [(2, 0, 0, 3.0, 9.0, 1.0, 0.0)]
+    lines = spark.createDataFrame(rows, "l_orderkey int, l_partkey int, l_suppkey int, num double, qty double, disc double, tax double")
+    read = []
+
+    def chunks(df, *args):
+        read.append(df.count())
+        return formula_chunks(df, *args)
+
+    monkeypatch.setattr(encodings, "gappy_lines", lambda spark, sf: lines)
+    monkeypatch.setattr(encodings, "formula_chunks", chunks)
+    got = {r["formula"]: r["n_above"] for r in encodings.formulas_wide(spark, "").collect()}
+    assert read == [3]
+    z = encodings.standardise(lines, encodings.STANDARD)
+    few = dict(list(encodings.wide_formulas().items())[:20])
+    counts = formula_features(z, few).agg(*[F.count_if(F.col(n) > encodings.WIDE_CUT).alias(n) for n in few]).first()
+    assert {n: got[n] for n in few} == counts.asDict()
+    assert len(got) == 512

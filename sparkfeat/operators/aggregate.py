@@ -4,7 +4,9 @@ A spec is ``{input: [functions]}``. All functions of all inputs, and all row
 subsets, become expressions of a single ``groupBy``, so a table is scanned and
 shuffled once per key whatever the number of features. Sums, means, deviations,
 minima, maxima and counts keep a small fixed state, so rows combine before the
-shuffle and one heavy key costs no more than the others. Medians are made in a
+shuffle and one heavy key costs no more than the others. Where keys have few rows
+each, nothing combines and the states of many aggregates are wider than the rows:
+then the rows are shuffled instead (``grouped``). Medians are made in a
 pass of their own, and ``nunique`` makes Spark shuffle the distinct values (with
 several conditional ones it first multiplies the rows): ``distinct_counts`` makes
 those in one pass.
@@ -22,6 +24,14 @@ from pyspark.sql import functions as F
 from sparkfeat.functions.columns import col, numeric_columns
 from sparkfeat.functions.scalars import ratio
 
+#: From so many aggregates on, states are taken to be wider than rows.
+WIDE = 16
+#: From so many rows on, it is looked up how they fall on the keys.
+SCATTERED_FROM = 1_000_000
+#: Hash buckets the keys are counted in; a bucket with more than ``CROWDED`` times the mean number of rows holds a heavy
+#: key, and rows of a bucket with more than ``DEEP`` rows a key combine well.
+KEY_BUCKETS, CROWDED, DEEP = 4096, 8, 64
+
 Spec = Mapping[str, Sequence[str]]
 Namer = Callable[[str, str], str]
 
@@ -106,7 +116,7 @@ def aggregate(
         exprs += spec_columns(sub_spec, upper_suffix(sub_prefix), inputs, condition)
     exprs += list(extra)
     present = df.filter(reduce(lambda a, b: a & b, [col(k).isNotNull() for k in keys]))
-    out = present.groupBy(*[col(k) for k in keys]).agg(*exprs)
+    out = grouped(present, keys, exprs)
     medians = {
         name(c, "median"): inputs[c] if inputs and c in inputs else col(c) for c, funcs in spec.items() if "median" in funcs
     }
@@ -117,6 +127,33 @@ def aggregate(
     return out
 
 
+def grouped(rows: DataFrame, keys: Sequence[str], exprs: Sequence[Column]) -> DataFrame:
+    """``groupBy(keys).agg(exprs)``; rows of keys with few rows each are shuffled as they are.
+
+    Spark makes a state per key and task before the shuffle. With few rows a key there are about
+    as many states as rows, and many aggregates make a state several times as wide as a row, so
+    that memory, spill and shuffle grow with both. Keys are counted in ``KEY_BUCKETS`` hash buckets
+    first, in a pass over the keys alone. Rows of buckets that hold a heavy key, or many rows a
+    key, still combine before the shuffle, so no key is gathered in one task row by row.
+    """
+    by = [col(k) for k in keys]
+    if len(exprs) < WIDE:
+        return rows.groupBy(*by).agg(*exprs)
+    bucket = F.pmod(F.xxhash64(*by), F.lit(KEY_BUCKETS))
+    sizes = rows.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64(*by), 0.1).alias("keys"))
+    counted = sizes.collect()  # KEY_BUCKETS rows at most
+    total = sum(r["n"] for r in counted)
+    if total < SCATTERED_FROM:
+        return rows.groupBy(*by).agg(*exprs)
+    deep = [r["b"] for r in counted if r["n"] > CROWDED * total / KEY_BUCKETS or r["n"] > DEEP * r["keys"]]
+    if len(deep) == len(counted):
+        return rows.groupBy(*by).agg(*exprs)
+    if not deep:
+        return rows.repartition(*by).groupBy(*by).agg(*exprs)
+    few = rows.filter(~bucket.isin(deep)).repartition(*by).groupBy(*by).agg(*exprs)
+    return few.unionByName(rows.filter(bucket.isin(deep)).groupBy(*by).agg(*exprs))
+
+
 def all_numeric_spec(df: DataFrame, funcs: Sequence[str], exclude: Iterable[str]) -> dict[str, list[str]]:
     """The same functions for every numeric column but the excluded ids."""
     return {c: list(funcs) for c in numeric_columns(df, exclude)}

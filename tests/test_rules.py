@@ -204,3 +204,24 @@ def test_assemble_keeps_rows_and_refuses_clashes(spark):
     with pytest.raises(ValueError, match="more than one frame"):
         assemble(entity, [child, child], "k")
     assert assemble_families(entity, {"x": child, "y": child}, "k").columns == ["k", "a", "x__b", "y__b"]
+
+
+def test_wide_states_of_scattered_keys_are_not_shuffled(spark, monkeypatch):
+    """Rows of keys with few rows are shuffled as they are; those of a heavy key still combine first."""
+    from sparkfeat.operators import aggregate as module
+
+    monkeypatch.setattr(module, "SCATTERED_FROM", 1000)
+    n = F.col("id")
+    key = F.when(n % 2 == 0, 0).when(n % 97 != 0, n)
+    few = spark.range(20_000).select(F.floor(n / 3).alias("k"), *[(n * (i + 3) % 101).cast("double").alias(f"c{i}") for i in range(4)])
+    heavy = spark.range(20_000).select(key.alias("k"), *[(n * (i + 5) % 103).cast("double").alias(f"c{i}") for i in range(4)])
+    deep = few.withColumn("k", F.col("k") % 7)
+    funcs = ["min", "max", "mean", "sum", "count"]
+    spec = {f"c{i}": funcs for i in range(4)}
+    for rows, dealt, combined in ((few, True, False), (heavy, True, True), (deep, False, True)):
+        out = module.aggregate(rows, "k", spec)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert ("RepartitionByExpression" in plan) == dealt
+        assert ("Union" in plan) == (dealt and combined)
+        plain = rows.filter("k is not null").groupBy("k").agg(*module.spec_columns(spec, module.upper_suffix()))
+        assert sorted(out.collect()) == sorted(plain.collect())

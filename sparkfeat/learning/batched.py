@@ -113,25 +113,36 @@ def fit_logistic_many(matrix: DataFrame, candidates: Sequence[Mapping[str, Any]]
     return BatchedFits([dict(c) for c in candidates], repeats, folds, beta.reshape(shape), passes)
 
 
+def _twins(beta: np.ndarray, left_out: Sequence[tuple[int, int]]) -> list[int]:
+    """Of each fit the first one that stands at the same point on the same rows, as all candidates do at first."""
+    known: dict[tuple, int] = {}
+    return [known.setdefault((r, j, beta[m].tobytes()), m) for m, (r, j) in enumerate(left_out)]
+
+
 def _sums(rows: DataFrame, shared, width: int, repeats: int) -> DataFrame:
     """``model, place, value``: the loss (place 0), the gradient and the upper half of the curvature of every fit."""
     upper = np.triu_indices(width + 1)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models, beta, left_out = shared.value
-        total = np.zeros((len(models), 1 + (width + 1) + len(upper[0])))
+        total = np.zeros((len(models), 1 + (width + 1)))
+        curvature = np.zeros((len(models), width + 1, width + 1))
+        twin = _twins(beta, left_out)
         for batch in batches:
             y = batch.column("label").to_numpy(zero_copy_only=False).astype(np.float64)
             x = np.column_stack([_matrix(batch.column("x"), width), np.ones(len(y))])
             own = _matrix(batch.column("folds"), repeats)
-            margin = x @ beta.T
-            for m, (r, j) in enumerate(left_out):
+            for r, j in dict.fromkeys(left_out):  # the rows of a fold's fits are cut out once
                 use = own[:, r] != j
-                a, z, t = x[use], margin[use, m], y[use]
-                p = _probability(z)
-                total[m, 0] += (np.logaddexp(0, z) - t * z).sum()
-                total[m, 1 : width + 2] += a.T @ (p - t)
-                total[m, width + 2 :] += ((a.T * (p * (1 - p))) @ a)[upper]
+                a, t = x[use], y[use]
+                for m in (m for m, rest in enumerate(left_out) if rest == (r, j) and twin[m] == m):
+                    z = a @ beta[m]
+                    p = _probability(z)
+                    total[m, 0] += (np.logaddexp(0, z) - t * z).sum()
+                    total[m, 1:] += (p - t) @ a
+                    weighted = a * np.sqrt(p * (1 - p))[:, None]
+                    curvature[m] += weighted.T @ weighted  # one factor twice: half of the products
+        total = np.column_stack([total, curvature[:, upper[0], upper[1]]])[twin]
         n = total.shape[1]
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.repeat(models, n).astype(np.int32)), pa.array(np.tile(np.arange(n), len(models)).astype(np.int32)), pa.array(total.ravel())],

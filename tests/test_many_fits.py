@@ -8,7 +8,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from sparkfeat.learning.batched import fit_logistic_many, score_logistic_many
+from sparkfeat.learning.batched import _twins, fit_logistic_many, score_logistic_many
 from sparkfeat.learning.grids import Uniform, random_grid
 from sparkfeat.learning.guided import guided_search
 from sparkfeat.learning.stacking import blend_weights, fit_blend, joined_predictions, on_simplex
@@ -65,6 +65,15 @@ def test_all_fits_equal_single_ones(matrix, pdf):
         assert row.pred == pytest.approx(1 / (1 + np.exp(-(np.dot(beta[:-1], pdf.x[i]) + beta[-1]))))
 
 
+def test_fits_at_one_point_are_summed_once():
+    """Candidates start at the same point; only those on the same rows are twins, and only while they are there."""
+    left_out = [(r, j) for _ in range(3) for r in range(2) for j in range(2)]
+    beta = np.zeros((12, 4))
+    assert _twins(beta, left_out) == [0, 1, 2, 3] * 3
+    beta[5, 2] = 0.5
+    assert _twins(beta, left_out) == [0, 1, 2, 3, 0, 5, 2, 3, 0, 1, 2, 3]
+
+
 def test_steps_are_bounded_and_one_class_is_no_trouble(matrix):
     short = fit_logistic_many(matrix, [{"C": 1.0, "max_iter": 1}], folds=3)
     assert short.passes == 2

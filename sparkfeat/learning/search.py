@@ -55,10 +55,11 @@ class Search:
     parallelism: int = 2
 
     def predictions(self, candidate: int, params: Params, repeats: int) -> DataFrame:
-        """Out-of-fold predictions of one candidate, all repeats."""
+        """Out-of-fold predictions of one candidate, all repeats; with fewer repeats than may run side by side, folds do too."""
+        side_by_side = max(1, self.parallelism // repeats)
 
         def job(r: int) -> Callable[[], FoldModels]:
-            return lambda: FoldModels.fit(self.matrix, self.factory(params), self.folds, f"fold_{r}", [], 1)
+            return lambda: FoldModels.fit(self.matrix, self.factory(params), self.folds, f"fold_{r}", [], side_by_side)
 
         fitted = fit_all(self.matrix.sparkSession, [job(r) for r in range(repeats)], self.parallelism)
         parts = []

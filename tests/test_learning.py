@@ -202,3 +202,25 @@ def test_stages(spark):
     # every candidate is something the model family accepts
     for p in [*drawn, *wide_random_stage(spark, draws=3).candidates({"num_boost_round": 10})]:
         gbt(p)
+
+
+def test_folds_are_fitted_side_by_side_where_repeats_are_few(spark, monkeypatch):
+    """One repeat leaves the whole parallelism to its folds, four repeats none."""
+    from sparkfeat.learning import search as module
+
+    seen = []
+
+    class Fitted:
+        @staticmethod
+        def fit(matrix, estimator, k, fold, names, parallelism):
+            seen.append((fold, parallelism))
+            return Fitted()
+
+        def out_of_fold(self, matrix, keep, out):
+            return matrix.selectExpr("id", "label", "fold_0", "fold_1", "0.5D as pred")
+
+    monkeypatch.setattr(module, "FoldModels", Fitted)
+    work = module.Search(spark.sql("select 1 as id, 0 as label, 0 as fold_0, 1 as fold_1"), "id", lambda p: None, folds=2, repeats=1, parallelism=4)
+    assert work.predictions(0, {}, 1).count() == 1
+    assert work.predictions(0, {}, 2).count() == 2
+    assert sorted(seen) == [("fold_0", 2), ("fold_0", 4), ("fold_1", 2)]

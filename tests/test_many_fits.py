@@ -132,3 +132,21 @@ def test_guided_search_beats_random_draws(spark):
         random.append(max(value(r.asDict()) for r in random_grid(spark, space, 24, seed).collect()))
     assert sum(guided) > sum(random)
     assert found.table(spark).count() == 24
+
+
+def test_linear_families_of_the_blend_share_their_passes(spark, monkeypatch):
+    """Both penalties of ``stacked_blend`` are fitted by one call, and no scores are made beside the blend's."""
+    from sparkfeat.queries import learning as module
+    from tests.conftest import SF
+
+    calls = []
+
+    def fit(matrix, candidates, folds):
+        calls.append([c["C"] for c in candidates])
+        return fit_logistic_many(matrix, candidates, folds)
+
+    monkeypatch.setattr(module, "fit_logistic_many", fit)
+    rows = {r["family"]: r for r in module.stacked_blend(spark, SF).collect()}
+    assert calls == [[1.0, 1e-4]]
+    assert set(rows) == {"trees", "logistic", "strict", "blend"}
+    assert rows["blend"]["auc"] >= max(rows[n]["auc"] for n in ("trees", "logistic", "strict"))

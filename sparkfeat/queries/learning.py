@@ -12,7 +12,7 @@ from sparkfeat.learning.grids import Normal, Uniform, expand_grid, random_grid
 from sparkfeat.learning.guided import guided_search
 from sparkfeat.learning.search import Search, Stage, staged_search, with_repeated_folds
 from sparkfeat.learning.stacking import fit_blend, joined_predictions
-from sparkfeat.learning.training import FeatureVectors, FoldModels, boosting_rounds, feature_names, refit_score
+from sparkfeat.learning.training import FeatureVectors, FoldModels, boosting_rounds, feature_names, fit_all, refit_score
 from sparkfeat.operators.categories import Vocabulary
 from sparkfeat.operators.evaluate import (
     best_row,
@@ -313,11 +313,13 @@ def importance_per_fold(spark: SparkSession, sf: str) -> DataFrame:
 def refit(spark: SparkSession, sf: str) -> DataFrame:
     """Test scores of both model families, each fitted on all of train: probabilities of the unlabelled rows."""
     train, test, _ = training_matrix(spark, sf, 2, 1)
-    trees = refit_score(gbt(TREES), train, test, "c_custkey", "gbt")
     scaled = stored(unit_scaled(train, train))
-    line = refit_score(
-        logistic({"C": 1.0}, scaled.count()), scaled, unit_scaled(train, test), "c_custkey", "logistic_regression"
-    )
+    linear = logistic({"C": 1.0}, scaled.count())
+    jobs = [
+        lambda: refit_score(gbt(TREES), train, test, "c_custkey", "gbt"),
+        lambda: refit_score(linear, scaled, unit_scaled(train, test), "c_custkey", "logistic_regression"),
+    ]
+    trees, line = fit_all(spark, jobs, len(jobs))
     truth = buyers(feature_matrix(spark, sf)).select("c_custkey", "truth")
     scored = stored(trees.join(line, "c_custkey").join(truth, "c_custkey"))
     auc_ok = above_chance(scored, "truth", "pred_gbt") & above_chance(scored, "truth", "pred_logistic_regression")

@@ -150,3 +150,19 @@ def test_linear_families_of_the_blend_share_their_passes(spark, monkeypatch):
     assert calls == [[1.0, 1e-4]]
     assert set(rows) == {"trees", "logistic", "strict", "blend"}
     assert rows["blend"]["auc"] >= max(rows[n]["auc"] for n in ("trees", "logistic", "strict"))
+
+
+def test_refits_of_both_families_run_side_by_side(spark, monkeypatch):
+    from sparkfeat.queries import learning as module
+    from tests.conftest import SF
+
+    calls, run = [], module.fit_all
+
+    def fit_all(spark, jobs, parallelism):
+        calls.append((len(jobs), parallelism))
+        return run(spark, jobs, parallelism)
+
+    monkeypatch.setattr(module, "fit_all", fit_all)
+    out = module.refit(spark, SF)
+    assert calls == [(2, 2)]
+    assert out.filter("pred_gbt_ok and pred_logistic_regression_ok").count() == out.count() > 0

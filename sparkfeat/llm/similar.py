@@ -129,15 +129,22 @@ def _least_shared(size: Column, similar: Fraction, as_shorter: bool) -> Column:
     return F.ceil(size * float(share) - 1e-6)
 
 
-def _reaches(shorter: Column, longer: Column, similar: Fraction, shared: int) -> Column:
+def _pair_shares(a: Column, b: Column, similar: Fraction) -> Column:
+    """Shingles that two similar sets of these places share at least."""
+    return F.ceil((_size(a) + _size(b)) * float(similar / (1 + similar)) - 1e-6)
+
+
+def _reaches(a: Column, b: Column, similar: Fraction, shared: int) -> Column:
     """Whether two sets can have their ``shared``-th common shingle at these places, by what is left after it.
 
-    Each side is a struct with ``place``. If the sets are similar, so many shingles of each must still be common.
+    Of the shingles that these sizes ask for, all but ``shared`` must follow the place in each of the sets.
     """
-    return _early(shorter["place"], similar, True, shared) & _early(longer["place"], similar, False, shared)
+    least = _pair_shares(a, b, similar)
+    return (_at(a) < _size(a) - least + shared) & (_at(b) < _size(b) - least + shared)
 
 
 def _early(place: Column, similar: Fraction, as_shorter: bool, shared: int) -> Column:
+    """Whether ``_reaches`` can hold at this place for any other set that is no shorter (or no longer)."""
     return _at(place) < _size(place) - _least_shared(_size(place), similar, as_shorter) + shared
 
 
@@ -173,22 +180,19 @@ def _must_share(a: Column, b: Column, similar: Fraction) -> Column:
     is missing in the other. The text whose first shingles end earlier in the common order has those that are not
     missing among the first ones of the other text, too.
     """
-    a, b = _size(a), _size(b)
-    return F.ceil((a + b) * float(similar / (1 + similar)) - 1e-6) + F.least(_spare(a, similar), _spare(b, similar))
+    return _pair_shares(a, b, similar) + F.least(_spare(_size(a), similar), _spare(_size(b), similar))
 
 
 def _met(left: Column, right: Column, similar: Fraction, shared: int) -> Column:
     """Whether a token that two texts (structs of ``fp, place, met``) have at these places can make them a candidate.
 
-    The shorter text (of equally long ones that with the smaller ``fp``) needs the token among its first shingles of
-    the stricter bound, the longer one among those of the weaker; sizes must allow the similarity at all, and of each
-    text's first shingles so many (``met``) must occur in other texts as similar ones have in common.
+    So many shingles must be left after the token in both texts as their two sizes ask for; sizes must allow the
+    similarity at all, and of each text's first shingles so many (``met``) must occur in other texts as similar ones
+    have in common.
     """
-    a, b = _size(left["place"]), _size(right["place"])
-    order = F.struct(a, left["fp"]) < F.struct(b, right["fp"])
-    fits = F.least(a, b) >= F.greatest(a, b) * float(similar) - 1e-6
-    fits = fits & (F.least(left["met"], right["met"]) >= _must_share(left["place"], right["place"], similar))
-    return fits & F.when(order, _reaches(left, right, similar, shared)).otherwise(_reaches(right, left, similar, shared))
+    a, b = left["place"], right["place"]
+    fits = F.least(_size(a), _size(b)) >= F.greatest(_size(a), _size(b)) * float(similar) - 1e-6
+    return fits & (F.least(left["met"], right["met"]) >= _must_share(a, b, similar)) & _reaches(a, b, similar, shared)
 
 
 def _whole(a: Column, b: Column, similar: Fraction) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -25,6 +27,11 @@ NEEDED = 4
 #: frequent; as many of them are sent to the tasks at most. They only decide the order, never a result.
 SAMPLED, FREQUENT, MOST_FREQUENT = 16, 4, 200_000
 
+#: 64-bit words of a text's sketch, which marks a bit for each of its shingles.
+WORDS = 16
+#: Up to so many keys of texts are sent to all tasks, more are shuffled.
+SENT_KEYS = 100_000
+
 ORDERED = "struct<size:int,tokens:array<bigint>>"
 
 
@@ -70,6 +77,29 @@ def _sets(text: Column, shingle: int) -> Column:
     return sets.asNondeterministic()(text)
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """``WORDS`` numbers in which each shingle sets one bit."""
+    bits = np.zeros(WORDS * 64, dtype=np.uint8)
+    bits[(tokens & (WORDS * 64 - 1))] = 1
+    return np.packbits(bits, bitorder="little").view("<i8")
+
+
+def _sketches(text: Column, shingle: int) -> Column:
+    @F.pandas_udf("array<bigint>")
+    def sketches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([sketch(shingle_set(t, shingle)) for t in texts], dtype=object)
+
+    return sketches.asNondeterministic()(text)
+
+
+def _once(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """One row ``fp, text`` for each of the distinct ``keys``; only these texts are shuffled if the keys are few."""
+    keys = kept(keys)
+    few = keys.count() <= SENT_KEYS
+    return texts.join(F.broadcast(keys) if few else keys, "fp", "left_semi").dropDuplicates(["fp"])
+
+
 def _frequent(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles of many sampled texts, ascending, and their ranks by frequency."""
 
@@ -152,8 +182,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, similar: Fracti
     """The pairs ``(a, b)`` whose whole shingle sets are similar."""
     num, den = similar.numerator, similar.denominator
     keys = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    own = texts.join(keys, "fp", "left_semi").dropDuplicates(["fp"])
-    sets = kept(own.select("fp", _sets(F.col("text"), shingle).alias("own")))
+    sets = kept(_once(texts, keys).select("fp", _sets(F.col("text"), shingle).alias("own")))
 
     @F.pandas_udf("boolean")
     def alike(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -195,6 +224,19 @@ def _met(left: Column, right: Column, similar: Fraction, shared: int) -> Column:
     return fits & (F.least(left["met"], right["met"]) >= _must_share(a, b, similar)) & _reaches(a, b, similar, shared)
 
 
+def _differ_little(left: Column, right: Column, similar: Fraction) -> Column:
+    """Whether two texts (structs with ``place, bits``) may have as many shingles in common as similar ones.
+
+    Each bit of one sketch that the other lacks stands for a shingle, at least, that the other text lacks.
+    """
+    least = _pair_shares(left["place"], right["place"], similar)
+
+    def missing(x: Column, y: Column) -> Column:
+        return reduce(add, [F.bit_count(x["bits"][k].bitwiseAND(F.bitwise_not(y["bits"][k]))) for k in range(WORDS)])
+
+    return (missing(left, right) <= _size(left["place"]) - least) & (missing(right, left) <= _size(right["place"]) - least)
+
+
 def _whole(a: Column, b: Column, similar: Fraction) -> Column:
     """Shingles that two texts (places) must share among their first ones."""
     return F.least(F.lit(NEEDED), F.ceil(F.greatest(_size(a), _size(b)) * float(similar) - 1e-6)).cast("int")
@@ -219,8 +261,8 @@ def _candidates(rows: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     return kept(listed.filter(enough).select("a", "b"))
 
 
-def _side(rows: DataFrame, name: str) -> DataFrame:
-    return rows.select("token", F.struct("fp", "place", "comp", "hot", "met").alias(name))
+def _side(rows: DataFrame, name: str, *more: str) -> DataFrame:
+    return rows.select("token", F.struct("fp", "place", "comp", "hot", "met", *more).alias(name))
 
 
 def sketched_links(texts: DataFrame, shingle: int = SHINGLE, similar: float = SIMILAR, bits: int = BITS) -> DataFrame:
@@ -260,6 +302,9 @@ def similar_links(texts: DataFrame, shingle: int = SHINGLE, similar: float = SIM
     these sizes has in common. So members of a family that are all far from each other by
     edits of their own, and near the original only, do not meet.
 
+    Texts of different components that meet in a crowded shingle are no candidates if the sketches of
+    their whole sets show more shingles missing in one of them than the limit allows.
+
     Texts that consist of the same crowded passages in different choice, and so are close to
     the limit pairwise, are still compared pair by pair.
     """
@@ -302,12 +347,15 @@ def similar_links(texts: DataFrame, shingle: int = SHINGLE, similar: float = SIM
     tops = early.groupBy("token", "comp").agg(F.count("*").alias("n"), F.max("short").alias("short")).groupBy("token")
     tops = tops.agg(F.max(F.struct("n", "comp")).alias("m"), F.count("*").alias("comps"), F.max("short").alias("short"))
     tops = tops.filter("comps > 1 and short").select("token", F.col("m.comp").alias("top"))
-    early = early.join(tops, "token")
+    early = kept(early.join(tops, "token"))
+    bits = _once(texts, early.select("fp").distinct()).select("fp", _sketches(F.col("text"), shingle).alias("bits"))
+    early = kept(early.join(bits, "fp"))
     rest = early.filter("comp <> top")
-    one = _side(rest.filter("short"), "x").join(_side(early, "y"), "token")
-    two = _side(early.filter("short and comp = top"), "x").join(_side(rest, "y"), "token")
+    one = _side(rest.filter("short"), "x", "bits").join(_side(early, "y", "bits"), "token")
+    two = _side(early.filter("short and comp = top"), "x", "bits").join(_side(rest, "y", "bits"), "token")
     first = F.struct(_size(x["place"]), x["fp"]) < F.struct(_size(y["place"]), y["fp"])
-    met = one.unionByName(two).filter(first & apart & _met(x, y, share, 1)).select(*ends, F.lit(0).alias("counted"), whole, F.lit(NEEDED).alias("hot"), must)
+    near = _met(x, y, share, 1) & _differ_little(x, y, share)
+    met = one.unionByName(two).filter(first & apart & near).select(*ends, F.lit(0).alias("counted"), whole, F.lit(NEEDED).alias("hot"), must)
     found = _confirmed(_candidates(pairs.unionByName(met), tokens), texts, shingle, share)
     return found.unionByName(stars)
 

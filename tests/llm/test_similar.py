@@ -4,6 +4,7 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,3 +143,28 @@ def test_far_members_of_a_family_seldom_meet(spark, monkeypatch):
     df = spark.createDataFrame(sorted(docs.items()), "doc_id long, text string")
     assert {r.doc_id for r in drop_similar(df).collect()} == plain_kept(docs)
     assert sum(met) < len(docs) ** 2 / 8  # of 19,900 pairs
+
+
+def test_copies_too_far_from_each_other_do_not_meet(spark, monkeypatch):
+    """Copies of one length with one own edit are linked, those with three are far from all: few of these pairs are joined."""
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(150)]
+    docs = {i: " ".join(edited(rng, base, 1 if i % 2 else 3)) for i in range(240)}
+    met = []
+    original = similar._candidates
+    monkeypatch.setattr(similar, "_candidates", lambda rows, *hot: met.append(rows.count()) or original(rows, *hot))
+    df = spark.createDataFrame(sorted(docs.items()), "doc_id long, text string")
+    assert {r.doc_id for r in drop_similar(df).collect()} == plain_kept(docs)
+    assert met[-1] < 5000  # 14,400 pairs have one edit and three, 7,140 three and three
+
+
+def test_sketches_never_rule_out_similar_texts():
+    rng = random.Random(6)
+    for n in (5, 40, 150, 2000):
+        for edits in (0, 1, n // 40):
+            base = [f"b{i}" for i in range(n)]
+            a, b = (similar.shingle_set(" ".join(edited(rng, base, edits)), 5) for _ in range(2))
+            x, y = similar.sketch(a), similar.sketch(b)
+            assert len(x) == similar.WORDS
+            missing = sum(int(p & ~q).bit_count() for p, q in zip(x.view("uint64"), y.view("uint64")))
+            assert missing <= len(a) - len(np.intersect1d(a, b))

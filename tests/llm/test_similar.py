@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+from fractions import Fraction
 from itertools import combinations
 
 import numpy as np
@@ -168,3 +169,11 @@ def test_sketches_never_rule_out_similar_texts():
             assert len(x) == similar.WORDS
             missing = sum(int(p & ~q).bit_count() for p, q in zip(x.view("uint64"), y.view("uint64")))
             assert missing <= len(a) - len(np.intersect1d(a, b))
+
+
+def test_places_are_bounded_by_both_sizes(spark):
+    """Sets of 146 are similar with 130 in common, so neither has its first common shingle after 16 others."""
+    side = lambda size, at, fp: F.struct(F.lit(fp).alias("fp"), F.lit((size << 32) + at).alias("place"), F.lit(33).alias("met"))
+    pairs = [((146, 16), (146, 20)), ((146, 16), (146, 16)), ((120, 1), (146, 20)), ((120, 2), (146, 20))]
+    got = spark.range(1).select(*[similar._met(side(*a, 1), side(*b, 2), Fraction(4, 5), 1).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
+    assert list(got.first()) == [False, True, True, False]

@@ -1,8 +1,8 @@
 """Second-order boosted trees: binned rows, gradient histograms as one grouped sum, best leaf first.
 
 Several models grow side by side, one per fold, each on the rows of the other folds: a pass
-over the rows serves all of them. Rows carry their margin under every model, so held-out and
-unlabelled rows are scored by the time training ends.
+over the rows serves all of them. The rows lie packed in blocks beside the tasks, with their margin
+under every model, and a pass is one job that plans no query (the tasks' part is in ``histograms.py``).
 """
 
 from __future__ import annotations
@@ -11,28 +11,35 @@ import heapq
 import math
 import random
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import asdict, dataclass, field, replace
+from types import SimpleNamespace
 from typing import Any
 
+import numpy as np
+from pyspark import RDD, StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkfeat.functions.columns import col
-from sparkfeat.operators.evaluate import roc_auc
+from sparkfeat.learning import histograms as tasks
+from sparkfeat.learning.histograms import MISSING, Walk
 from sparkfeat.sources.checkpoints import stored
 
 #: Gradients are whole multiples of 1 / UNIT, so that their sums are the same in any order.
 UNIT = 1 << 24
-#: Trees whose margins are computed on the way before the rows are stored with new margins.
+#: Trees whose margins are computed on the way before the blocks get new margins.
 PENDING = 4
+#: Trees after which blocks are packed anew from the cells, which bounds their lineage; a draw of rows takes one bit of a long each.
+PACKED = 60
 #: Trees that one projection of a score evaluates.
 SCORED = 25
 #: Rows with different codes whose margins are sent to all tasks at most; more are joined by a shuffle.
 SENT = 100_000
-#: Cells of a partition.
+#: Cells of a partition, and of a range of scores.
 CELLS = 100_000
-MISSING = -1
+#: Bytes of sums that all tasks of a pass send home at most; more are added up and searched in tasks.
+HOME = 16 << 20
 #: Relative error of the quantiles that become bin edges.
 QUANTILE_ERROR = 10_000
 
@@ -183,6 +190,12 @@ class Tree:
     values: dict[int, float] = field(default_factory=dict)
     rows: dict[int, int] = field(default_factory=dict)
 
+    def steps(self) -> Walk:
+        """What ``histograms.leaves`` follows, and the values of the nodes by number."""
+        values = np.zeros(max(self.values) + 1)
+        values[list(self.values)] = list(self.values.values())
+        return {n: (p.feature, p.code, p.missing_left, p.left, p.right) for n, p in self.splits.items()}, values
+
     def paths(self) -> dict[int, str]:
         """The turns that lead to each node."""
         out = {0: ""}
@@ -248,11 +261,6 @@ def probability(margin: Column) -> Column:
     return 1.0 / (1.0 + F.exp(-margin))
 
 
-def _gain_sql(g: str, h: str, s: Boosting) -> str:
-    pull = f"greatest(abs({g}) - {_double(s.l1)}, 0D)"
-    return f"coalesce(try_divide({pull} * {pull}, {h} + {_double(s.l2)}), 0D)"
-
-
 def leaf_weight(g: float, h: float, s: Boosting) -> float:
     pull = max(abs(g) - s.l1, 0.0)
     return -s.rate * math.copysign(pull, g) / (h + s.l2) if h + s.l2 > 0 else 0.0
@@ -321,10 +329,11 @@ class Booster:
 
     ``rows`` has the key, ``label`` (null for rows to be scored only), ``fold`` and ``codes``.
     Trees grow over ``cells``: labelled rows that agree in all of these are one, with their
-    number ``n``, ``weights`` and ``margins`` (one per model). All rows of a cell have the same
-    gradients, which are whole numbers, so their sums are those over the rows. Only a drawn
-    share of rows (``row_share``) needs the rows one by one. Model ``j`` learns from labelled
-    rows whose fold is not ``j``; without folds there is one model that learns from all.
+    number ``n``. All rows of a cell have the same gradients, which are whole numbers, so
+    their sums are those over the rows. Only a drawn share of rows (``row_share``) needs the
+    rows one by one. Model ``j`` learns from labelled rows whose fold is not ``j``; without
+    folds there is one model that learns from all. Cells are packed into blocks with one margin
+    per model, which are kept by the executors; lost ones are packed again from the cells.
     """
 
     def __init__(self, df: DataFrame, key: str, label: str, features: Sequence[str], settings: Boosting, folds: int = 0, fold: str | None = None) -> None:
@@ -336,16 +345,19 @@ class Booster:
         self.rows = stored(rows.toDF("key", "label", "fold", "codes"))
         known = self.rows.filter("label is not null")
         if settings.row_share < 1:
-            cells = known.withColumn("n", F.lit(1).cast("long"))
+            self.cells = known.withColumn("n", F.lit(1).cast("long"))
+            self.size = self.cells.count()
         else:
             cells = stored(known.groupBy("label", "fold", "codes").agg(F.count(F.lit(1)).alias("n")))
+            self.size = cells.count()
             # few rows would lie in one partition, which every pass reads
-            cells = cells.repartition(max(df.sparkSession.sparkContext.defaultParallelism, cells.count() // CELLS))
-        self.bases, weights = self._start(cells)
-        own = F.when(F.col("label") > 0, F.array(*[F.lit(w) for w in weights])).otherwise(F.array(*[F.lit(1.0)] * self.k))
-        self.cells = stored(cells.withColumns({"weights": own, "margins": F.array(*[F.lit(b) for b in self.bases])}))
+            self.cells = stored(cells.repartition(max(df.sparkSession.sparkContext.defaultParallelism, self.size // CELLS)))
+        self.bases, self.weights = self._start(self.cells)
         self.trees: list[list[Tree]] = [[] for _ in range(self.k)]
         self.pending = 0
+        self._packed: DataFrame | None = None  # the cells that the blocks were made of
+        self._first = 0  # the number of trees then
+        self._kept: list[RDD] = []  # the blocks, and before them those that they may be computed from
 
     def _start(self, cells: DataFrame) -> tuple[list[float], list[float]]:
         """The log-odds of each model's rows, and what a positive row weighs in it."""
@@ -366,19 +378,45 @@ class Booster:
     def _seen_sql(self, j: int) -> str:
         return f"label is not null and coalesce(fold <> {j}, true)"
 
-    def _margin(self, j: int, skip: int = 0) -> str:
-        """SQL for the stored margin and the trees grown since, less the last ``skip``."""
-        done = len(self.trees[j]) - self.pending
-        return _sum(f"get(margins, {j})", self.trees[j][done : len(self.trees[j]) - skip])
-
-    def _margins(self) -> Column:
-        return F.expr(f"array({', '.join(self._margin(j) for j in range(self.k))})")
+    def steps(self) -> list[list[Walk]]:
+        """Of every model the trees that the blocks' margins lack."""
+        return [[t.steps() for t in own[len(own) - self.pending :]] for own in self.trees]
+
+    def blocks(self) -> RDD:
+        """The packed cells with the margins of all trees but the pending ones."""
+        number = len(self.trees[0])
+        if self._packed is not self.cells or number - self._first >= PACKED:
+            self.release()
+            frame = self.cells.filter("label is not null").select("label", "fold", "n", "codes", *self._draws(number))
+            packed = frame.mapInArrow(tasks.packing(len(self.binning.features), self.bases), "block binary").rdd
+            done = [[t.steps() for t in own[: number - self.pending]] for own in self.trees]
+            self._kept.append(packed.map(tasks.unpacking(done)).persist(StorageLevel.MEMORY_AND_DISK))
+            self._packed, self._first = self.cells, number
+        return self._kept[-1]
+
+    def _draws(self, number: int) -> list[Column]:
+        """One bit for each of the next trees: whether a row is drawn for it."""
+        s = self.settings
+        if s.row_share >= 1:
+            return []
+        bound = int(s.row_share * (1 << 20))
+        drawn = [F.pmod(F.xxhash64(F.lit(s.seed), F.lit(number + i), "key"), F.lit(1 << 20)) < bound for i in range(PACKED)]
+        return [F.aggregate(F.array(*drawn), F.lit(0).cast("long"), lambda bits, one: F.shiftleft(bits, 1).bitwiseOR(one.cast("long"))).alias("draws")]
 
     def settle(self) -> None:
-        """Store the cells with the margins of all trees."""
-        if self.pending:
-            self.cells = stored(self.cells.withColumn("margins", self._margins()))
-            self.pending = 0
+        """Blocks with the margins of all trees."""
+        if self.pending and self._kept:
+            self._kept.append(self._kept[-1].map(tasks.adding(self.steps())).persist(StorageLevel.MEMORY_AND_DISK))
+            for old in self._kept[:-2]:  # the last but one is needed until a pass has made the last
+                old.unpersist()
+            self._kept = self._kept[-2:]
+        self.pending = 0
+
+    def release(self) -> None:
+        """Give back the memory of the blocks; they are packed anew when they are needed again."""
+        for blocks in self._kept:
+            blocks.unpersist()
+        self._kept, self._packed = [], None
 
     def grow(self, rounds: int = 1) -> None:
         """One more tree for every model, ``rounds`` times."""
@@ -394,18 +432,13 @@ class Booster:
         n_all = len(self.binning.features)
         drawn = random.Random(s.seed * 1_000_003 + number).sample(range(n_all), max(1, round(s.column_share * n_all))) if n_all else []
         drawn = sorted(drawn)
-        cells = self.cells
-        if s.row_share < 1:
-            cells = cells.filter(F.pmod(F.xxhash64(F.lit(s.seed), F.lit(number), "key"), F.lit(1 << 20)) < int(s.row_share * (1 << 20)))
-        picked = F.col("codes") if len(drawn) == n_all else F.array(*[F.get("codes", F.lit(i)) for i in drawn])
-        now = cells.select("label", "fold", "weights", "codes", "n", picked.alias("picked"), self._margins().alias("m"))
         growing = [_Growing() for _ in range(self.k)]
         while True:
             state = [g.wanted(s) for g in growing]
             asked = {j: nodes for j, (nodes, _) in enumerate(state) if nodes}
             if not asked:
                 return [g.tree(taken, s) for g, (_, taken) in zip(growing, state)]
-            found = {(r["model"], r["node"]): r.asDict() for r in self._best_splits(now, growing, asked, drawn).collect()}
+            found = self._best_splits(growing, asked, drawn)
             for j, nodes in asked.items():
                 for node in nodes:
                     r = found.get((j, node))
@@ -413,61 +446,29 @@ class Booster:
                         growing[j].sums[0] = (r["g"], r["h"], r["n"]) if r else (0.0, 0.0, 0)
                     growing[j].known[node] = r if r and r["gain"] is not None else None
 
-    def _best_splits(self, now: DataFrame, growing: Sequence[_Growing], asked: Mapping[int, set[int]], drawn: Sequence[int]) -> DataFrame:
-        """One row per asked node: its sums and its best split, if any is allowed."""
-        s = self.settings
-        entries = []
-        for j, nodes in asked.items():
+    def _best_splits(self, growing: Sequence[_Growing], asked: Mapping[int, set[int]], drawn: Sequence[int]) -> dict[tuple[int, int], dict[str, Any]]:
+        """Of every asked (model, node) that has rows: its sums and its best split, if any is allowed."""
+        blocks, s = self.blocks(), SimpleNamespace(**asdict(self.settings))
+        nodes = {j: sorted(own) for j, own in asked.items()}
+        unfinished = {}
+        for j in asked:
             known = growing[j]
-            shape = Tree({n: Split(b["feature"], b["code"], bool(b["missing_left"]), b["gain"], *known.children[n]) for n, b in known.known.items() if b and n in known.children})
-            node = shape.walk(lambda n, nodes=nodes: str(n) if n in nodes else "cast(null as int)")
-            entries.append(f"named_struct('model', {j}, 'node', if({self._seen_sql(j)}, {node}, cast(null as int)), 'm', get(m, {j}), 'w', get(weights, {j}))")
-        met = now.select(F.expr(f"explode(array({', '.join(entries)})) as e"), "label", "n", "picked").filter("e.node is not null")
-        # p is a column of its own, so that g and h do not each work out the margin
-        p = met.select("e.model", "e.node", "label", "n", "picked", "e.w", (1.0 / (1.0 + F.exp(-F.col("e.m")))).alias("p"))
-        g, h = F.round((F.col("p") - F.col("label")) * F.col("w") * UNIT), F.round(F.col("p") * (1.0 - F.col("p")) * F.col("w") * UNIT)
-        n = F.col("n")
-        bins = p.select("model", "node", (g.cast("long") * n).alias("g"), (h.cast("long") * n).alias("h"), "n", F.posexplode("picked").alias("at", "code"))
-        sums = bins.groupBy("model", "node", "at", "code").agg(*[F.sum(x).alias(x) for x in "ghn"])
-        return best_splits(sums, s, drawn)
-
-
-def best_splits(sums: DataFrame, s: Boosting, drawn: Sequence[int]) -> DataFrame:
-    """The best split of each (model, node) from the sums ``g, h, n`` of each (feature, code).
-
-    A split sends codes up to its own to the left; missing cells go to the side where the gain
-    is larger. A window holds the bins of one feature in one node.
-    """
-    cell = "partition by model, node, at"
-    upto = f"{cell} order by code rows between unbounded preceding and current row"
-    windows = []
-    for x in "ghn":
-        windows.append(f"sum({x}) over ({cell}) as {x}_all")
-        windows.append(f"coalesce(sum(if(code = {MISSING}, {x}, null)) over ({cell}), 0) as {x}_gone")
-        windows.append(f"coalesce(sum(if(code <> {MISSING}, {x}, null)) over ({upto}), 0) as {x}_upto")
-    real = sums.selectExpr("model", "node", "at", "code", f"g / {UNIT} as g", f"h / {UNIT} as h", "n")
-    rows = real.selectExpr("model", "node", "at", "code", *windows)
-    feature = f"get(array({', '.join(map(str, drawn))}), at)"
-    options = []
-    for missing_left in (False, True):
-        left = {x: f"({x}_upto + {x}_gone)" if missing_left else f"{x}_upto" for x in "ghn"}
-        right = {x: f"({x}_all - {left[x]})" for x in "ghn"}
-        gain = f"{_gain_sql(left['g'], left['h'], s)} + {_gain_sql(right['g'], right['h'], s)} - {_gain_sql('g_all', 'h_all', s)}"
-        allowed = [f"code <> {MISSING}", f"({gain}) > {_double(max(s.least_gain, 1e-12))}"]
-        for side in (left, right):
-            allowed += [f"{side['n']} >= {max(s.least_rows, 1)}", f"{side['h']} >= {_double(s.least_hessian)}"]
-        if missing_left:
-            allowed.append("n_gone > 0")
-        options.append(
-            f"""named_struct('gain', if({' and '.join(allowed)}, {gain}, null), 'f', -{feature}, 'c', -code, 'missing_right', {int(not missing_left)},
-            'gl', cast({left['g']} as double), 'hl', cast({left['h']} as double), 'nl', cast({left['n']} as bigint))"""
-        )
-    best = rows.groupBy("model", "node").agg(
-        F.expr(f"max(greatest({', '.join(options)})) as b"), *[F.expr(f"max({x}_all) as {x}") for x in "ghn"]
-    )
-    return best.selectExpr(
-        "model", "node", "b.gain", "-b.f as feature", "cast(-b.c as int) as code", "1 - b.missing_right as missing_left", "b.gl", "b.hl", "b.nl", "g", "h", "n"
-    )
+            splits = {n: (b["feature"], b["code"], bool(b["missing_left"]), *known.children[n]) for n, b in known.known.items() if b and n in known.children}
+            unfinished[j] = (splits, nodes[j])
+        widths = [len(e) + 2 for e in self.binning.edges]
+        bit = PACKED - 1 - (len(self.trees[0]) - self._first) if s.row_share < 1 else None
+        sums = blocks.mapPartitions(tasks.summing(self.steps(), unfinished, drawn, widths, self.weights, UNIT, bit))
+        size = sum(map(len, nodes.values())) * sum(widths[f] for f in drawn) * 3 * 8
+        if size * blocks.getNumPartitions() <= HOME:
+            total: dict[int, np.ndarray] = {}
+            for key, x in sums.collect():
+                total[key] = total[key] + x if key in total else x
+            return tasks.best_of(total.items(), nodes, drawn, s, UNIT)
+        out: dict[tuple[int, int], dict[str, Any]] = {}
+        whole = sums.reduceByKey(np.add, min(len(nodes) * len(drawn), blocks.context.defaultParallelism))
+        for part in whole.mapPartitions(tasks.searching(nodes, drawn, s, UNIT)).collect():
+            tasks.better(out, part)
+        return out
 
 
 @dataclass(frozen=True)
@@ -514,13 +515,12 @@ def _finished(booster: Booster, rounds: int, scores: Sequence[float] = ()) -> Bo
 
     Margins are worked out once for all rows of equal codes.
     """
-    points = booster.rows.select("codes").distinct().withColumn("margins", F.array(*[F.lit(b) for b in booster.bases]))
-    for start in range(0, rounds, SCORED):
-        sums = [_sum(f"get(margins, {j})", t[start : min(start + SCORED, rounds)]) for j, t in enumerate(booster.trees)]
-        points = stored(points.withColumn("margins", F.expr(f"array({', '.join(sums)})")))
+    steps = [[t.steps() for t in own[:rounds]] for own in booster.trees]
+    points = stored(booster.rows.select("codes").distinct().mapInArrow(tasks.scoring(len(booster.binning.features), booster.bases, steps), "codes array<smallint>, margins array<double>"))
     points = F.broadcast(points) if points.count() <= SENT else points
     forests = tuple(Forest(b, tuple(t[:rounds]), booster.binning) for b, t in zip(booster.bases, booster.trees))
     rows = booster.rows.join(points, "codes").select("key", "label", "fold", "margins")
+    booster.release()
     return Boosted(forests, stored(rows), booster.key, tuple(scores))
 
 
@@ -541,17 +541,26 @@ def fit_boosted(
 def round_scores(booster: Booster, rounds: int) -> list[float]:
     """The exact AUC of held-out rows after each of the last ``rounds`` trees, averaged over the folds.
 
-    The margins after every tree are one array per cell, made in one pass; ties count half.
+    One pass works out the margins after every tree. Equal scores of a task are one, they are
+    dealt by ranges of about ``CELLS`` cells, and each range is sorted in a task; ties count half.
     """
     total = len(booster.trees[0])
     if rounds > booster.pending:
         raise ValueError("the margins of settled trees are not kept")
-    per_model = [f"array({', '.join(booster._margin(j, skip) for skip in range(rounds - 1, -1, -1))})" for j in range(booster.k)]
-    held = F.expr("case fold " + " ".join(f"when {j} then {x}" for j, x in enumerate(per_model)) + " end")
-    cells = booster.cells.filter("fold is not null").select("label", "fold", "n", F.posexplode(held).alias("at", "score"))
-    auc = roc_auc(cells, "label", "score", ["fold", "at"], count="n").groupBy("at").agg(F.avg("auc").alias("auc"))
-    found = {r["at"]: r["auc"] for r in auc.collect()}
-    return [float(found.get(i) or 0.0) for i in range(min(rounds, total))]
+    blocks, steps = booster.blocks(), booster.steps()
+    cuts = np.zeros(0)
+    if (ranges := booster.size // CELLS) > 1:
+        some = np.sort(np.concatenate([np.zeros(0), *blocks.mapPartitions(tasks.points(steps)).collect()]))
+        cuts = np.unique(some[np.linspace(0, len(some) - 1, ranges + 1).astype(int)[1:-1]]) if len(some) else cuts
+    ranges, groups = len(cuts) + 1, booster.k * rounds
+    dealt = blocks.mapPartitions(tasks.ranging(steps, rounds, cuts)).groupByKey(min(groups * ranges, max(blocks.context.defaultParallelism, ranges)))
+    found = dict(dealt.mapValues(tasks.wins).collect())
+    out = []
+    for at in range(min(rounds, total)):
+        groups_of = [[found[key] for i in range(ranges) if (key := (j * rounds + at) * ranges + i) in found] for j in range(booster.k)]
+        known = [auc for own in groups_of if (auc := tasks.auc_of(own)) is not None]
+        out.append(sum(known) / len(known) if known else 0.0)
+    return out
 
 
 def fit_until_best(

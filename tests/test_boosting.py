@@ -227,3 +227,60 @@ def test_trees_beyond_the_decision_do_not_count(rows, monkeypatch):
     monkeypatch.setattr(module, "round_scores", lambda booster, n: [[0.5, 0.6, 0.55, 0.9][len(booster.trees[0]) - n + i] for i in range(n)])
     fitted = fit_until_best(rows, "id", "y", FEATURES, {"n_estimators": 4, "num_leaves": 3}, 2, "fold", patience=1)
     assert fitted.scores == (0.5, 0.6, 0.55) and len(fitted.forests[0].trees) == 2
+
+
+def test_a_pass_is_one_job_and_plans_no_query(spark, rows, monkeypatch):
+    """Hundreds of passes over few cells took most of their time to plan queries and to store margins."""
+    booster = Booster(rows, "id", "y", FEATURES, Boosting.of({"num_leaves": 4, "learning_rate": 0.5}), 2, "fold")
+    booster.grow(1)
+    passes = []
+    original = Booster._best_splits
+    monkeypatch.setattr(Booster, "_best_splits", lambda self, *a: passes.append(1) or original(self, *a))
+    for name in ("collect", "checkpoint"):
+        monkeypatch.setattr(type(rows), name, lambda *a, name=name: pytest.fail(f"{name} of a query"))
+    spark.sparkContext.setJobGroup("passes", "passes")
+    try:
+        booster.settle()
+        booster.grow(4)
+    finally:
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("passes")
+        spark.sparkContext._jsc.clearJobGroup()
+    assert len(booster.trees[0]) == 5 and len(passes) >= 8 and len(jobs) == len(passes)
+
+
+def test_many_sums_blocks_and_ranges_give_the_same(rows, monkeypatch):
+    """Sums that are too many to be sent home, small blocks and scores in several ranges change nothing."""
+    import sparkfeat.learning.boosting as boosting
+    import sparkfeat.learning.histograms as tasks
+
+    def grown():
+        booster = Booster(rows, "id", "y", FEATURES, Boosting.of({"num_leaves": 6, "learning_rate": 0.5}), 2, "fold")
+        booster.grow(6)
+        return booster.trees, round_scores(booster, 2)
+
+    want = grown()
+    for module, name, value in ((boosting, "HOME", 0), (boosting, "CELLS", 40), (boosting, "PACKED", 3), (tasks, "HELD", 0), (tasks, "BLOCK", 17), (tasks, "EXACT", 0.0)):
+        monkeypatch.setattr(module, name, value)
+    assert grown() == want
+
+
+def test_rows_are_drawn_by_key_and_tree(rows, monkeypatch):
+    """The root of every tree has the labelled rows drawn for it, also after blocks were packed anew."""
+    import sparkfeat.learning.boosting as boosting
+
+    monkeypatch.setattr(boosting, "PACKED", 3)
+    booster = Booster(rows, "id", "y", FEATURES, Boosting.of({"num_leaves": 3, "subsample": 0.5, "seed": 4}), 2, "fold")
+    booster.grow(8)
+    for t in range(8):
+        drawn = rows.filter("y is not null").filter(F.pmod(F.xxhash64(F.lit(4), F.lit(t), "id"), F.lit(1 << 20)) < (1 << 19))
+        counts = {r["fold"]: r["count"] for r in drawn.groupBy("fold").count().collect()}
+        assert [booster.trees[j][t].rows[0] for j in range(2)] == [counts[1], counts[0]]
+
+
+def test_whole_gradients():
+    """Halves are rounded away from zero, and sums beyond the doubles' whole numbers stay exact."""
+    from sparkfeat.learning.histograms import _summed, _whole
+
+    assert _whole(np.array([0.5, 1.5, -0.5, -2.5, 0.49999999999999994, 2.4])).tolist() == [1, 2, -1, -3, 0, 2]
+    big = np.array([1 << 60, 1, 1 << 60, -1])
+    assert _summed(np.array([0, 0, 1, 1]), big, 2).tolist() == [(1 << 60) + 1, (1 << 60) - 1]
